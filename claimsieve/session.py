@@ -37,5 +37,4 @@ def scratch_folder(spark: SparkSession) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
         shared = tempfile.mkdtemp(prefix="claimsieve-")
-        spark.conf.set("spark.checkpoint.dir", shared)
     return f"{shared.rstrip('/')}/{uuid.uuid4().hex}"

@@ -39,7 +39,7 @@ def read_json_array(spark: SparkSession, path: str, schema: StructType) -> DataF
     misread. Read it with `read_json_whole` then.
     """
     pieces = spark.read.option("lineSep", "}").text(path)
-    body = F.regexp_replace("value", r"^[\s\[,﻿]+", "")
+    body = F.regexp_replace("value", r"^[\s\[,\uFEFF]+", "")
     closing = body.rlike(r"^[\s\]]*$")
     parsed = F.from_json(F.concat(body, F.lit("}")), schema, {"mode": "FAILFAST"})
     return pieces.filter(~closing).select(F.inline(F.array(parsed)))
