@@ -1,7 +1,7 @@
 """They decide results, so they must stay as they are."""
 
 # Text forms -----------------------------------------------------------------
-DATE_PATTERN = "yyyy-MM-dd"
+DATE_SHAPE = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}\z"
 MONEY = (14, 2)
 LOAD_NULL_TOKENS = ("NULL", "null", "")
 

@@ -46,19 +46,28 @@ def uppered(value: Column) -> Column:
 
 
 def whole_number(value: Column) -> Column:
-    """SC-05: text to int; a plain fraction is cut off, anything else that is no number is null."""
-    integral = F.regexp_replace(value.cast("string"), r"^(\s*[+-]?[0-9]+)\.[0-9]*\s*$", "$1")
-    return integral.try_cast("int")
+    """SC-05: text to int; a plain fraction is cut off, anything else that is no number is null.
+
+    The pattern (SC-12) keeps other text away from the cast, which handles it by way of an
+    exception per value.
+    """
+    digits = F.regexp_extract(value.cast("string"), r"^\s*([+-]?[0-9]+)(?:\.[0-9]*)?\s*\z", 1)
+    return F.nullif(digits, F.lit("")).try_cast("int")
 
 
 def safe_decimal(value: Column, precision: int = fixed.MONEY[0], scale: int = fixed.MONEY[1]) -> Column:
     """SC-06: drops thousands commas; half-up to `scale`; null when not a number or too large."""
-    return F.regexp_replace(value.cast("string"), ",", "").try_cast(DecimalType(precision, scale))
+    return F.replace(value.cast("string"), F.lit(","), F.lit("")).try_cast(DecimalType(precision, scale))
 
 
 def strict_date(value: Column) -> Column:
-    """SC-07: `yyyy-MM-dd` with two-digit month and day, or null."""
-    return F.try_to_date(value.cast("string"), fixed.DATE_PATTERN)
+    """SC-07: `yyyy-MM-dd` with two-digit month and day, or null.
+
+    A shape check and a cast give the dates of `try_to_date(value, "yyyy-MM-dd")` at a fraction of
+    the cost of its formatter.
+    """
+    text = value.cast("string")
+    return F.when(text.rlike(fixed.DATE_SHAPE), text.try_cast("date"))
 
 
 def decode(value: Column, table: Sequence[tuple[Sequence[str], str]], other: str) -> Column:

@@ -25,14 +25,23 @@ def _fixed_weight(pairs: Column, scale: int) -> Column:
 def allocation_weights(bridge: DataFrame, weight_scale: int | None = None) -> DataFrame:
     """One row per (subgroup, group) pair with weight 1 / pairs of the subgroup.
 
-    `weight_scale` gives fixed-point weights with that many digits instead of doubles.
+    Pairs without a subgroup share one weight among them. `weight_scale` gives fixed-point weights
+    with that many digits instead of doubles.
     """
+
+    def weight(pairs: Column) -> Column:
+        exact = F.lit(1.0) / pairs if weight_scale is None else _fixed_weight(pairs, weight_scale)
+        return exact.alias("allocation_weight")
+
     pairs = bridge.select("subgrp_id", "grp_id")
-    fan = rows_per_key(pairs, "subgrp_id", "pairs")
-    matched = join_one_per_key(pairs, fan, fan, "subgrp_id", "pairs", null_safe=True)
-    count = F.col("pairs")
-    weight = F.lit(1.0) / count if weight_scale is None else _fixed_weight(count, weight_scale)
-    return matched.select("subgrp_id", "grp_id", weight.alias("allocation_weight"))
+    keyed = pairs.filter(F.col("subgrp_id").isNotNull())
+    fan = rows_per_key(keyed, "subgrp_id", "pairs")
+    matched = join_one_per_key(keyed, fan, fan, "subgrp_id", "pairs")
+    unkeyed = pairs.filter(F.col("subgrp_id").isNull())
+    unkeyed_count = unkeyed.agg(F.count("*").alias("pairs")).scalar()
+    return matched.select("subgrp_id", "grp_id", weight(F.col("pairs"))).unionByName(
+        unkeyed.select("subgrp_id", "grp_id", weight(unkeyed_count))
+    )
 
 
 def allocate_to_groups(
@@ -43,7 +52,7 @@ def allocate_to_groups(
     Sums are exact decimals, so they do not depend on the order in which rows arrive. Subgroups
     without a group and groups without a counted subgroup do not appear.
     """
-    pairs = bridge.select("subgrp_id", "grp_id")
+    pairs = bridge.select("subgrp_id", "grp_id").filter(F.col("subgrp_id").isNotNull())
     fan = rows_per_key(pairs, "subgrp_id", "pairs")
     count = F.col("pairs")
     shares = []

@@ -8,7 +8,7 @@ and go through the ordinary join, which the engine may still turn into a broadca
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 HOT_PARTS = 65_536
@@ -24,20 +24,17 @@ def hot_keys(frequency: DataFrame, key: str, count: str) -> DataFrame:
     return frequency.filter(F.col(count) * HOT_PARTS > total.scalar()).select(key)
 
 
-def join_one_per_key(
-    many: DataFrame, one: DataFrame, frequency: DataFrame, key: str, count: str, null_safe: bool = False
-) -> DataFrame:
+def join_one_per_key(many: DataFrame, one: DataFrame, frequency: DataFrame, key: str, count: str) -> DataFrame:
     """Inner join of `many` with `one`, which holds each key once.
 
-    `frequency` counts the rows of `many` by key. With `null_safe` null keys match each other.
+    `frequency` counts the rows of `many` by key; it must hold every key of `many` but null.
     """
-
-    def same(left: str, right: str) -> Column:
-        return F.col(left).eqNullSafe(F.col(right)) if null_safe else F.col(left) == F.col(right)
-
     hot = hot_keys(frequency, key, count).withColumnRenamed(key, "hot key")
     values = one.withColumnRenamed(key, "value key")
-    hot_values = values.join(F.broadcast(hot), same("value key", "hot key"), "left_semi")
-    hot_rows = many.join(F.broadcast(hot_values), same(key, "value key"))
-    cold_rows = many.join(F.broadcast(hot), same(key, "hot key"), "left_anti").join(values, same(key, "value key"))
+    # both sides hold a key once: an inner join, which unlike a semi join leaves the aggregates
+    # below it alone, so that their exchanges are reused
+    hot_values = values.join(F.broadcast(hot), F.col("value key") == F.col("hot key")).drop("hot key")
+    hot_rows = many.join(F.broadcast(hot_values), F.col(key) == F.col("value key"))
+    others = many.join(F.broadcast(hot), F.col(key) == F.col("hot key"), "left_anti")
+    cold_rows = others.join(values, F.col(key) == F.col("value key"))
     return hot_rows.unionByName(cold_rows).drop("value key")

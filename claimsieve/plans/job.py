@@ -15,6 +15,7 @@ from claimsieve.functions.ages import AsOf
 from claimsieve.operators.quality import duplicate_keys, null_profile
 from claimsieve.operators.typed import conform
 from claimsieve.plans.cleansing import apply_rules, clean_normalised, normalise
+from claimsieve.plans.sizing import size_tasks
 from claimsieve.plans.usecases import USE_CASES, answer
 from claimsieve.sinks.writers import export_csv, register_views, write_table
 from claimsieve.sources.layout import Layout
@@ -106,6 +107,7 @@ def run(
     csv: bool = False,
 ) -> None:
     """Everything, from the raw folder to the output tables."""
+    size_tasks(spark, layout.raw(""))
     cleanse(spark, layout, json_layout=json_layout, csv_export=csv)
     core = load_core(spark, layout, csv)
     write_outputs(core, layout, as_of, weight_scale)

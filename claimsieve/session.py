@@ -13,6 +13,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.ui.enabled": "false",
+    # no call-site capture per expression: plans of many columns are built several times faster
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
