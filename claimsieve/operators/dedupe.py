@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+MOST_BROADCAST_KEYS = 500_000
+MOST_BROADCAST_BYTES = 64 << 20
+
 
 def one_row_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keep, per key, the smallest row by the other columns in order (ascending, nulls last).
@@ -19,5 +23,32 @@ def one_row_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     if not others:
         return df.distinct()
     ranked = F.struct(*(part for name in others for part in (F.isnull(name).alias(f"null {name}"), F.col(name))))
-    smallest = df.groupBy(*keys).agg(F.min(ranked).alias("row"))
+    # the aggregate sorts by its grouping columns: a leading hash settles nearly all comparisons
+    # of text keys, which tend to share their first characters
+    spread = F.xxhash64(*keys).alias("key hash")
+    smallest = df.groupBy(spread, *keys).agg(F.min(ranked).alias("row"))
     return smallest.select(*(F.col(name) if name in keys else F.col(f"row.{name}") for name in df.columns))
+
+
+def repeats_fit_broadcast(repeated: DataFrame, keys: Sequence[str]) -> tuple[int, bool]:
+    """The number of repeated keys, and whether their list is small enough to send to every executor."""
+    size = F.sum(reduce(Column.__add__, (F.coalesce(F.octet_length(F.col(key).cast("string")), F.lit(0)) for key in keys)))
+    count, octets = repeated.agg(F.count("*"), F.coalesce(size, F.lit(0))).first()
+    return count, count <= MOST_BROADCAST_KEYS and octets <= MOST_BROADCAST_BYTES
+
+
+def one_row_per_audited_key(df: DataFrame, keys: Sequence[str], repeated: DataFrame) -> DataFrame:
+    """`one_row_per_key` where a stored audit already lists the keys that occur more than once.
+
+    Rows of all other keys are kept without a shuffle or a sort; only rows of repeated keys are
+    compared. The list is broadcast after its size is checked; a longer one takes the general way.
+    """
+    count, fits = repeats_fit_broadcast(repeated, keys)
+    if count == 0:
+        return df
+    if not fits:
+        return one_row_per_key(df, keys)
+    listed = F.broadcast(repeated.select(*(F.col(key).alias(f"repeated {key}") for key in keys)))
+    same = reduce(Column.__and__, (F.col(key).eqNullSafe(F.col(f"repeated {key}")) for key in keys))
+    singles = df.join(listed, same, "left_anti")
+    return singles.unionByName(one_row_per_key(df.join(listed, same, "left_semi"), keys))

@@ -21,14 +21,10 @@ def apply_rules(normalised: DataFrame, spec: TableSpec) -> DataFrame:
     return normalised.select(*(field.rule(named(field.raw)).alias(field.name) for field in spec.fields))
 
 
-def clean_normalised(normalised: DataFrame, spec: TableSpec) -> DataFrame:
-    return one_row_per_key(apply_rules(normalised, spec), spec.keys)
-
-
 def clean(raw: DataFrame, spec: TableSpec, null_tokens: Sequence[str] = ()) -> DataFrame:
     """The whole cleaner. One shuffle, on the key.
 
     By default only blank text is null, so the word `NaN` in a name column stays a word;
     pass `null_tokens=("NaN",)` to treat it as missing.
     """
-    return clean_normalised(normalise(raw, null_tokens), spec)
+    return one_row_per_key(apply_rules(normalise(raw, null_tokens), spec), spec.keys)

@@ -12,9 +12,11 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, SparkSession
 
 from claimsieve.functions.ages import AsOf
+from claimsieve.operators.allocation import allocation_weights
+from claimsieve.operators.dedupe import one_row_per_audited_key
 from claimsieve.operators.quality import duplicate_keys, null_profile
 from claimsieve.operators.typed import conform
-from claimsieve.plans.cleansing import apply_rules, clean_normalised, normalise
+from claimsieve.plans.cleansing import apply_rules, normalise
 from claimsieve.plans.sizing import size_tasks
 from claimsieve.plans.usecases import USE_CASES, answer
 from claimsieve.sinks.writers import export_csv, register_views, write_table
@@ -53,17 +55,22 @@ def cleanse(
     layout: Layout,
     json_layout: str = "array",
     null_tokens: Sequence[str] = (),
-    audit_mode: str = "raw",
     csv_export: bool = False,
 ) -> None:
-    """Raw files to null reports, duplicate reports and clean tables."""
+    """Raw files to null reports, duplicate reports and clean tables.
+
+    The audit of cleaned keys is stored first. It shuffles keys only, and tells the cleaner which
+    rows need comparing at all.
+    """
 
     def table_job(spec: TableSpec) -> None:
         staged = stage_table(spark, layout, spec, json_layout, null_tokens)
         write_table(null_profile(staged, spec.name), layout.null_report(spec.name))
-        write_table(audit_keys(staged, spec, audit_mode), layout.duplicate_report(spec.name))
-        sink = export_csv if csv_export else write_table
-        sink(clean_normalised(staged, spec), layout.clean(spec.name))
+        write_table(audit_keys(staged, spec), layout.duplicate_report(spec.name))
+        write_table(audit_keys(staged, spec, "cleaned"), layout.key_audit(spec.name))
+        repeated = spark.read.parquet(layout.key_audit(spec.name))
+        clean = one_row_per_audited_key(apply_rules(staged, spec), spec.keys, repeated)
+        (export_csv if csv_export else write_table)(clean, layout.clean(spec.name))
 
     _run_all([lambda spec=spec: table_job(spec) for spec in TABLES.values()])
 
@@ -87,6 +94,12 @@ def load_core(spark: SparkSession, layout: Layout, csv: bool = False) -> dict[st
     return core
 
 
+def register_allocation_view(core: Mapping[str, DataFrame], weight_scale: int | None = None) -> None:
+    """SNK-05: the subgroup-to-group weights for SQL users; computed when read."""
+    weights = allocation_weights(core["group_subgroup_bridge"], weight_scale)
+    register_views({"v_subgroup_group_alloc": weights})
+
+
 def write_outputs(
     core: Mapping[str, DataFrame], layout: Layout, as_of: AsOf = None, weight_scale: int | None = None
 ) -> None:
@@ -110,4 +123,5 @@ def run(
     size_tasks(spark, layout.raw(""))
     cleanse(spark, layout, json_layout=json_layout, csv_export=csv)
     core = load_core(spark, layout, csv)
+    register_allocation_view(core, weight_scale)
     write_outputs(core, layout, as_of, weight_scale)

@@ -32,3 +32,6 @@ class Layout:
 
     def duplicate_report(self, table: str) -> str:
         return self._in("logs", "duplicates", table)
+
+    def key_audit(self, table: str) -> str:
+        return self._in("logs", "merged_keys", table)

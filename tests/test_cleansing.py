@@ -6,7 +6,8 @@ from decimal import Decimal
 
 import pytest
 
-from claimsieve.operators.dedupe import one_row_per_key
+from claimsieve.operators import dedupe
+from claimsieve.operators.dedupe import one_row_per_audited_key, one_row_per_key
 from claimsieve.operators.quality import duplicate_keys, duplicate_report, null_profile, null_report
 from claimsieve.operators.typed import conform
 from claimsieve.plans.cleansing import clean, normalise
@@ -120,6 +121,27 @@ def test_survivors_match_brute_force_with_a_hot_and_a_null_key(spark, parts):
     assert set(collected) == expected
 
 
+@pytest.mark.parametrize("limit", [0, 500_000])
+@pytest.mark.parametrize("keys", [["k"], ["k", "b"]])
+def test_audited_keys_give_the_same_survivors(spark, monkeypatch, limit, keys):
+    monkeypatch.setattr(dedupe, "MOST_BROADCAST_KEYS", limit)
+    random.seed(6)
+    rows = [(random.choice("xyz"), random.choice([None, 7, 7, *range(300)]), random.choice([None, 1])) for _ in range(500)]
+    table = spark.createDataFrame(rows, "a string, k int, b int").repartition(7)
+    repeated = duplicate_keys(table, keys, "t")
+    result = one_row_per_audited_key(table, keys, repeated)
+    assert sorted(result.collect(), key=str) == sorted(one_row_per_key(table, keys).collect(), key=str)
+    plan = result._jdf.queryExecution().executedPlan().toString()
+    assert ("BroadcastHashJoin" in plan) == (limit > 0)
+
+
+def test_no_repeated_keys_no_shuffle(spark):
+    table = spark.range(100).withColumnRenamed("id", "k").selectExpr("k", "k AS v")
+    result = one_row_per_audited_key(table, ["k"], duplicate_keys(table, ["k"], "t"))
+    assert result.count() == 100
+    assert "Exchange" not in result._jdf.queryExecution().executedPlan().toString()
+
+
 def test_null_profile_and_duplicates(spark):
     raw = normalise(
         text_table(

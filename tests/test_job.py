@@ -114,6 +114,11 @@ def test_core_tables(spark, finished):
     assert {r.patient_name for r in spark.table("patients").collect()} == {None, "Ravi", "Asha"}
 
 
+def test_allocation_view(spark, finished):
+    rows = spark.sql("SELECT * FROM v_subgroup_group_alloc ORDER BY subgrp_id, grp_id").collect()
+    assert [tuple(row) for row in rows] == [("S1", f"GRP{i}", 1 / 3) for i in (1, 2, 3)] + [("S2", "GRP3", 1.0)]
+
+
 def test_reports(spark, finished):
     nulls = spark.read.parquet(finished.null_report("patients")).first()
     assert (nulls["Patient_name"], nulls["patient_phone"], nulls["city"], nulls["dataset_name"]) == (1, 3, 2, "patients")
@@ -122,6 +127,7 @@ def test_reports(spark, finished):
     assert duplicates.count() == 0  # raw keys differ by their blanks
     staged = spark.read.parquet(finished.stage("patients"))
     assert job.audit_keys(staged, TABLES["patients"], "cleaned").collect() == [("3", 2, "patients")]
+    assert spark.read.parquet(finished.key_audit("patients")).collect() == [("3", 2, "patients")]
     assert duplicate_keys(staged, ["hospital_id"], "x").count() == 1
     bridge = spark.read.parquet(finished.duplicate_report("disease_subgroup_map"))
     assert bridge.columns == ["SubGrpID", " Disease_ID", "count", "dataset_name"]
