@@ -19,6 +19,7 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--json-layout", choices=sorted(JSON_READERS), default="array")
     parser.add_argument("--weight-scale", type=int, help="digits of fixed-point allocation weights; exact by default")
     parser.add_argument("--csv", action="store_true", help="write the clean layer as CSV instead of Parquet")
+    parser.add_argument("--copy-core", action="store_true", help="copy a Parquet clean layer into core tables")
     options = parser.parse_args(arguments)
     spark = SparkSession.builder.appName("claimsieve").getOrCreate()
     run(
@@ -28,6 +29,7 @@ def main(arguments: list[str] | None = None) -> None:
         json_layout=options.json_layout,
         weight_scale=options.weight_scale,
         csv=options.csv,
+        copy_core=options.copy_core,
     )
 
 

@@ -271,10 +271,6 @@ def raw_tables(t: Tables) -> dict[str, DataFrame]:
     return {name: make(t) for name, make in raw.RAW.items()}
 
 
-def cleaned(t: Tables) -> dict[str, DataFrame]:
-    return {name: clean(make(t), TABLES[name]) for name, make in raw.RAW.items()}
-
-
 def _cleaner(name: str) -> Callable[[Tables], DataFrame]:
     return lambda t: clean(raw.RAW[name](t), TABLES[name])
 
@@ -298,7 +294,9 @@ def job_duplicate_report_cleaned(t: Tables) -> DataFrame:
 
 
 def job_answer(name: str) -> Callable[[Tables], DataFrame]:
-    return lambda t: answer(name, cleaned(t), as_of=JOB_AS_OF)
+    """A use case over the cleaned tables it reads."""
+    used = usecases.USE_CASES[name].tables
+    return lambda t: answer(name, {table: _cleaner(table)(t) for table in used}, as_of=JOB_AS_OF)
 
 
 JOB_ANSWERS = [name for name in usecases.USE_CASES if name[:4] not in ("uc12", "uc13")]

@@ -85,6 +85,13 @@ def clean_tables(spark: SparkSession, layout: Layout, csv: bool = False) -> dict
     return tables
 
 
+def open_core(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:
+    """The core tables straight from the Parquet clean layer, which has their types already."""
+    core = clean_tables(spark, layout)
+    register_views(core)
+    return core
+
+
 def load_core(spark: SparkSession, layout: Layout, csv: bool = False) -> dict[str, DataFrame]:
     """SNK-02 / 03: full reload of the core tables from the clean folders, and a view for each."""
     tables = clean_tables(spark, layout, csv)
@@ -118,10 +125,15 @@ def run(
     json_layout: str = "array",
     weight_scale: int | None = None,
     csv: bool = False,
+    copy_core: bool = False,
 ) -> None:
-    """Everything, from the raw folder to the output tables."""
+    """Everything, from the raw folder to the output tables.
+
+    A CSV clean layer is loaded into typed core tables. A Parquet one is typed already and read in
+    place, unless `copy_core` asks for a second copy.
+    """
     size_tasks(spark, layout.raw(""))
     cleanse(spark, layout, json_layout=json_layout, csv_export=csv)
-    core = load_core(spark, layout, csv)
+    core = load_core(spark, layout, csv) if csv or copy_core else open_core(spark, layout)
     register_allocation_view(core, weight_scale)
     write_outputs(core, layout, as_of, weight_scale)

@@ -6,6 +6,7 @@ from decimal import Decimal
 
 import pytest
 
+from claimsieve.__main__ import main
 from claimsieve.operators.quality import duplicate_keys
 from claimsieve.plans import job
 from claimsieve.plans.readback import READ_BACKS, read_back
@@ -58,18 +59,29 @@ CLAIMS = [
 ]
 
 
-@pytest.fixture(scope="module", params=["parquet array", "csv lines"])
-def finished(request, spark, tmp_path_factory):
-    base = tmp_path_factory.mktemp("job")
+def write_raw(base, lines=False):
     (base / "raw").mkdir()
     for file, text in FILES.items():
         (base / "raw" / file).write_bytes(text.encode())
-    clean_format, json_layout = request.param.split()
-    lines = "\n".join(json.dumps(row) for row in CLAIMS)
-    (base / "raw" / "claims.json").write_text(lines if json_layout == "lines" else json.dumps(CLAIMS))
-    layout = Layout(str(base))
+    text = "\n".join(map(json.dumps, CLAIMS)) if lines else json.dumps(CLAIMS)
+    (base / "raw" / "claims.json").write_text(text)
+    return Layout(str(base))
+
+
+@pytest.fixture(scope="module", params=["parquet array", "parquet copied", "csv lines"])
+def finished(request, spark, tmp_path_factory):
+    clean_format, variant = request.param.split()
+    lines = variant == "lines"
+    layout = write_raw(tmp_path_factory.mktemp("job"), lines)
     for _ in range(2):  # a second run replaces the first
-        job.run(spark, layout, as_of=AS_OF, json_layout=json_layout, csv=clean_format == "csv")
+        job.run(
+            spark,
+            layout,
+            as_of=AS_OF,
+            json_layout="lines" if lines else "array",
+            csv=clean_format == "csv",
+            copy_core=variant == "copied",
+        )
     return layout
 
 
@@ -107,7 +119,7 @@ def test_every_output_has_a_read_back():
 
 def test_core_tables(spark, finished):
     for name, spec in TABLES.items():
-        core = spark.read.parquet(finished.core(name))
+        core = spark.table(name)
         assert [(f.name, f.dataType) for f in core.schema] == [(f.name, f.dataType) for f in spec.schema]
     assert spark.table("group_subgroup_bridge").count() == 4
     assert {r.state for r in spark.table("hospitals").collect()} == {"Nan", "Y"}
@@ -133,6 +145,12 @@ def test_reports(spark, finished):
     assert bridge.columns == ["SubGrpID", " Disease_ID", "count", "dataset_name"]
 
 
+def test_command_line(spark, tmp_path):
+    layout = write_raw(tmp_path)
+    main(["--base", layout.base, "--as-of", "2026-06-30", "--weight-scale", "7", "--json-layout", "whole"])
+    assert [tuple(row) for row in read_back(spark, layout, "va10").collect()] == EXPECTED["va10"]
+
+
 def test_task_sizes_grow_with_the_input():
     small, large = task_sizes(10 * MIB), task_sizes(100 << 40)
     assert small == {"spark.sql.shuffle.partitions": 1, "spark.sql.files.maxPartitionBytes": 128 * MIB}
