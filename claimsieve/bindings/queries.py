@@ -12,7 +12,7 @@ from claimsieve.bindings import raw
 from claimsieve.bindings.tables import Tables, comparable, loader
 from claimsieve.functions import rules
 from claimsieve.operators.allocation import allocation_weights
-from claimsieve.operators.dedupe import one_row_per_key
+from claimsieve.operators.dedupe import one_row_per_audited_key, one_row_per_key
 from claimsieve.operators.ordering import top_k
 from claimsieve.operators.quality import duplicate_keys, duplicate_report, null_profile, null_report
 from claimsieve.operators.typed import conform
@@ -22,7 +22,7 @@ from claimsieve.plans.usecases import answer
 from claimsieve.session import scratch_folder
 from claimsieve.sinks.writers import export_csv, export_json_lines, write_table
 from claimsieve.sources.layout import Layout
-from claimsieve.sources.readers import read_csv, read_json_array, read_raw, staged_files
+from claimsieve.sources.readers import read_csv, read_json_split, read_raw, staged_files
 from claimsieve.sources.specs import CLAIMS, TABLES
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -64,7 +64,7 @@ def decode_category(t: Tables) -> DataFrame:
     return t("customer").select(
         "c_custkey",
         rules.decode(F.concat(F.lit(" "), F.lower(segment)), sector, "NA").alias("sector"),
-        rules.gender(raw._code(segment, raw.GENDER_CODES, None)).alias("gender"),
+        rules.gender(raw.coded(segment, raw.GENDER_CODES, None)).alias("gender"),
         rules.claim_status(status_code).alias("status"),
         rules.group_type(group_code).alias("grp_type"),
     )
@@ -326,7 +326,7 @@ def json_array_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     claims = raw.claims(loader(spark, sf_dir))
     objects = claims.select(F.to_json(F.struct(*sorted(claims.columns))).alias("value"))
     objects.write.option("lineSep", ",").text(path)
-    return comparable(clean(read_json_array(spark, path, CLAIMS.raw_schema), CLAIMS))
+    return comparable(clean(read_json_split(spark, path, CLAIMS.raw_schema), CLAIMS))
 
 
 def typed_load(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -348,6 +348,21 @@ def staged_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.select(F.regexp_extract("path", "([^/]+)$", 1).alias("file"), "length")
 
 
+def dedupe_audited(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The audit of repeated keys stored first, then only their rows compared."""
+    keys = ["l_orderkey", "l_linenumber"]
+    lines = loader(spark, sf_dir)("lineitem").withColumn("l_shipdate", F.col("l_shipdate").cast("date"))
+    path = scratch_folder(spark)
+    write_table(duplicate_keys(lines, keys, "lineitem"), path)
+    return comparable(one_row_per_audited_key(lines, keys, spark.read.parquet(path)))
+
+
+def allocation_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The weights as a lazy view, read by SQL."""
+    job.register_allocation_view({"group_subgroup_bridge": nation_bridge(loader(spark, sf_dir))})
+    return spark.sql("SELECT subgrp_id, grp_id, allocation_weight FROM v_subgroup_group_alloc")
+
+
 def output_read_back(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_folder(spark)
     write_table(uc03(loader(spark, sf_dir)), path)
@@ -398,7 +413,10 @@ OPERATORS = {
     "va03": lambda t: readback.view("va03", uc03(t)),
     "va04": lambda t: readback.view("va04", uc04(t)),
     "va05": lambda t: readback.view("va05", uc05(t)),
+    "va06": lambda t: readback.view("va06", uc06(t)),
     "va07": lambda t: readback.view("va07", uc07(t)),
+    "va08": lambda t: readback.view("va08", uc08(t)),
+    "va09": lambda t: readback.view("va09", uc09(t)),
     "va10": lambda t: readback.view("va10", uc10(t)),
     "va11": lambda t: readback.view("va11", uc11(t)),
     **{f"clean_{name}": _cleaner(name) for name in raw.RAW},
@@ -414,6 +432,8 @@ FILE_QUERIES: dict[str, Query] = {
     "json_lines_scan": json_lines_scan,
     "json_array_scan": json_array_scan,
     "typed_load": typed_load,
+    "dedupe_audited": dedupe_audited,
+    "allocation_view": allocation_view,
     "staged_inventory": staged_inventory,
     "output_read_back": output_read_back,
     "full_job": full_job,

@@ -30,7 +30,8 @@ def _twice(df: DataFrame, repeated: Column) -> DataFrame:
     return df.withColumn("copy", F.explode(copies))
 
 
-def _code(value: Column, table: dict[str, str], other: str | None) -> Column:
+def coded(value: Column, table: dict[str, str], other: str | None) -> Column:
+    """The raw code that stands for each value."""
     label = None
     for key, text in table.items():
         label = F.when(value == key, F.lit(text)) if label is None else label.when(value == key, F.lit(text))
@@ -57,7 +58,7 @@ def patients(t: Tables) -> DataFrame:
         .when(second, _join(" the other ", F.upper("c_name")))
         .otherwise(F.upper("c_name"))
         .alias("Patient_name"),
-        _code(segment, GENDER_CODES, "Others").alias("patient_gender"),
+        coded(segment, GENDER_CODES, "Others").alias("patient_gender"),
         birth.alias("patient_birth_date"),
         _join(" +91 ", F.col("c_custkey")).alias("patient_phone"),
         F.when(cancer, _join(F.lower(segment), " cancer ")).otherwise(F.lower(segment)).alias("disease_name"),
@@ -76,7 +77,7 @@ def subscribers(t: Tables) -> DataFrame:
         F.lower("c_name").alias("last_name"),
         _join(" mARIA  lane ", nation).alias("Street"),
         _text(_birth()).alias("Birth_date"),
-        _code(segment, GENDER_CODES, None).alias("Gender"),
+        coded(segment, GENDER_CODES, None).alias("Gender"),
         F.when(second, F.lit(" ")).otherwise(_text(F.col("c_custkey"))).alias("Phone"),
         F.lit("INDIA").alias("Country"),
         _join("new-delhi ", nation).alias("City"),
@@ -98,7 +99,7 @@ def claims(t: Tables) -> DataFrame:
         _text(F.col("o_custkey")).alias("patient_id"),
         F.lower(priority).alias("disease_name"),
         _join("subid", F.col("o_custkey"), " ").alias("SUB_ID"),
-        _code(status, STATUS_CODES, "NaN").alias("Claim_Or_Rejected"),
+        coded(status, STATUS_CODES, "NaN").alias("Claim_Or_Rejected"),
         F.lit(" CLAIMS OF value").alias("claim_type"),
         F.when(priority == "5-LOW", F.lit(" ")).otherwise(F.format_number(amount, 2)).alias("claim_amount"),
         _text(F.col("o_orderdate").cast("date")).alias("claim_date"),

@@ -9,6 +9,14 @@ from pyspark.sql.types import StructType
 from claimsieve.functions.rules import named
 from claimsieve.sources.specs import TableSpec
 
+WHOLE_FILE_BYTES = 256 << 20
+
+
+def staged_files(spark: SparkSession, path: str) -> DataFrame:
+    """SRC-05: the files below a folder; their content is not read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    return files.select("path", "length", "modificationTime")
+
 
 def read_csv(spark: SparkSession, path: str) -> DataFrame:
     """Headed CSV, every column text, names exactly as in the header, blanks kept.
@@ -30,13 +38,17 @@ def read_json_lines(spark: SparkSession, path: str, schema: StructType) -> DataF
     return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
 
 
-def read_json_array(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """One array of flat objects per file, read by many tasks.
+def read_json_whole(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """Any JSON layout; one task per file."""
+    return spark.read.schema(schema).option("multiLine", True).option("mode", "FAILFAST").json(path)
+
 
-    The usual multi-line reader gives a whole file to one task. Here the text source splits files
-    at the closing brace and each piece is parsed as one object. A brace inside a text value or a
-    nested object leaves a piece that is no valid JSON; such a file is refused with an error, never
-    misread. Read it with `read_json_whole` then.
+def read_json_split(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """One array of flat objects per file, each file read by many tasks.
+
+    The text source splits files at the closing brace and each piece is parsed as one object. A
+    brace inside a text value or a nested object leaves a piece that is no valid JSON; such a file
+    is refused with an error, never misread.
     """
     pieces = spark.read.option("lineSep", "}").text(path)
     body = F.regexp_replace("value", r"^[\s\[,\uFEFF]+", "")
@@ -45,12 +57,19 @@ def read_json_array(spark: SparkSession, path: str, schema: StructType) -> DataF
     return pieces.filter(~closing).select(F.inline(F.array(parsed)))
 
 
-def read_json_whole(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """Any JSON layout; one task per file, so meant for many files of moderate size."""
-    return spark.read.schema(schema).option("multiLine", True).option("mode", "FAILFAST").json(path)
+def read_json_array(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """One array per file: files of a task's size are read whole, larger ones in splits."""
+    largest = staged_files(spark, path).agg(F.max("length")).first()[0] or 0
+    reader = read_json_whole if largest <= WHOLE_FILE_BYTES else read_json_split
+    return reader(spark, path, schema)
 
 
-JSON_READERS = {"array": read_json_array, "lines": read_json_lines, "whole": read_json_whole}
+JSON_READERS = {
+    "array": read_json_array,
+    "lines": read_json_lines,
+    "split": read_json_split,
+    "whole": read_json_whole,
+}
 
 
 def read_raw(spark: SparkSession, spec: TableSpec, path: str, json_layout: str = "array") -> DataFrame:
@@ -58,9 +77,3 @@ def read_raw(spark: SparkSession, spec: TableSpec, path: str, json_layout: str =
     if spec.is_json:
         return JSON_READERS[json_layout](spark, path, spec.raw_schema)
     return read_csv(spark, path).select(*(named(column) for column in spec.raw_columns))
-
-
-def staged_files(spark: SparkSession, path: str) -> DataFrame:
-    """SRC-05: the files below a folder; their content is not read."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    return files.select("path", "length", "modificationTime")

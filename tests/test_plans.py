@@ -12,6 +12,9 @@ from claimsieve.operators import skew
 from claimsieve.operators.allocation import allocate_to_groups, allocation_weights
 from claimsieve.operators.dedupe import one_row_per_key
 from claimsieve.plans import usecases as uc
+from claimsieve.plans.job import open_core
+from claimsieve.sources.layout import Layout
+from claimsieve.sources.specs import TABLES
 from tests.comparing import SF_DIR
 
 
@@ -55,6 +58,15 @@ def test_status_filter_and_pruning_reach_the_scan(t):
     assert "ReadSchema: struct<o_orderstatus:string>" in scan
 
 
+def test_core_tables_read_in_place_keep_the_pushdown(spark, tmp_path):
+    layout = Layout(str(tmp_path))
+    for name, spec in TABLES.items():
+        spark.createDataFrame([], spec.schema).write.parquet(layout.clean(name))
+    scan = scan_of(physical(uc.rejected_claims(open_core(spark, layout)["claims"])), "claim_or_rejected")
+    assert "EqualTo(claim_or_rejected,Rejected)" in scan
+    assert "ReadSchema: struct<claim_or_rejected:string>" in scan
+
+
 def test_top_k_is_one_operator(t):
     assert "TakeOrderedAndProject(limit=10" in physical(bound.readback.view("va01", bound.uc01(t)))
 

@@ -8,7 +8,8 @@ from pyspark.errors import PySparkException
 
 from claimsieve.sinks.writers import export_csv, register_views, write_table
 from claimsieve.sources.layout import Layout
-from claimsieve.sources.readers import read_csv, read_json_array, read_raw, staged_files
+from claimsieve.sources import readers
+from claimsieve.sources.readers import read_csv, read_json_split, read_raw, staged_files
 from claimsieve.sources.specs import CLAIMS, DISEASES, SUBGROUPS
 
 
@@ -52,14 +53,15 @@ def claim(i, **changes):
 
 
 @pytest.mark.parametrize("indent", [None, 2])
-@pytest.mark.parametrize("lead", ["", "﻿", " \n"])
-def test_json_array_any_layout(spark, tmp_path, indent, lead):
+@pytest.mark.parametrize("lead", ["", "\ufeff", " \n"])
+@pytest.mark.parametrize("reader", ["whole", "split"])
+def test_json_array_any_layout(spark, tmp_path, indent, lead, reader):
     rows = [claim(i) for i in range(50)]
     rows[3] = dict(reversed(rows[3].items()))
     del rows[4]["claim_type"]
     rows[5]["disease_name"] = 'Ä "quoted" \\ [x], {open'
     path = put(tmp_path / "claims.json", lead + json.dumps(rows, indent=indent))
-    raw = read_raw(spark, CLAIMS, path)
+    raw = read_raw(spark, CLAIMS, path, reader)
     assert raw.columns == CLAIMS.raw_columns
     assert raw.count() == 50
     found = {r.claim_id: r for r in raw.collect()}
@@ -74,8 +76,17 @@ def test_json_array_any_layout(spark, tmp_path, indent, lead):
 def test_json_array_with_a_brace_inside_is_refused_not_misread(spark, tmp_path, bad, action):
     path = put(tmp_path / "claims.json", json.dumps([claim(0), claim(1, **bad), claim(2)]))
     with pytest.raises((PySparkException, Py4JJavaError)):
-        getattr(read_raw(spark, CLAIMS, path), action)()
-    assert read_raw(spark, CLAIMS, path, "whole").count() == 3
+        getattr(read_raw(spark, CLAIMS, path, "split"), action)()
+    assert read_raw(spark, CLAIMS, path).count() == 3
+
+
+@pytest.mark.parametrize("limit", [0, 10, 1 << 20])
+def test_json_array_size_decides_the_reader(spark, tmp_path, monkeypatch, limit):
+    monkeypatch.setattr(readers, "WHOLE_FILE_BYTES", limit)
+    path = put(tmp_path / "claims.json", json.dumps([claim(i) for i in range(5)]))
+    raw = read_raw(spark, CLAIMS, path)
+    assert raw.count() == 5
+    assert ("FileScan json" in raw._jdf.queryExecution().executedPlan().toString()) == (limit > 1000)
 
 
 def test_json_array_is_read_by_many_tasks(spark, tmp_path):
@@ -83,7 +94,7 @@ def test_json_array_is_read_by_many_tasks(spark, tmp_path):
     before = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "200000")
     try:
-        pieces = read_json_array(spark, path, CLAIMS.raw_schema)
+        pieces = read_json_split(spark, path, CLAIMS.raw_schema)
         assert pieces.selectExpr("spark_partition_id() AS p").distinct().count() > 4
         assert pieces.select("claim_id").distinct().count() == pieces.count() == 20_000
     finally:

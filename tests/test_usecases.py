@@ -94,19 +94,19 @@ def tables(request, spark):
 
 
 SQL = {
-    "uc01_claims_per_disease": oracles._uc01("t_claims"),
-    "uc02_young_subscribers": oracles._uc02("t_subscribers", "2020-06-30", 30),
-    "uc03_subgroups_per_group": oracles._uc03("t_groups", "t_group_subgroup_bridge"),
-    "uc04_patients_per_hospital": oracles._uc04("t_hospitals", "t_patients"),
-    "uc05_subscriptions_per_subgroup": oracles._uc05("t_subscribers", "t_subgroups"),
-    "uc06_rejected_claims": oracles._uc06("t_claims", "Rejected"),
-    "uc07_claims_per_city": oracles._uc07("t_claims", "t_patients"),
-    "uc08_policy_type_preference": oracles._uc08("t_subscribers", "t_group_subgroup_bridge", "t_groups"),
-    "uc09_average_premium": oracles._uc09("t_subscribers", "t_subgroups"),
-    "uc10_group_profitability": oracles._uc10(
+    "uc01_claims_per_disease": oracles.uc01_sql("t_claims"),
+    "uc02_young_subscribers": oracles.uc02_sql("t_subscribers", "2020-06-30", 30),
+    "uc03_subgroups_per_group": oracles.uc03_sql("t_groups", "t_group_subgroup_bridge"),
+    "uc04_patients_per_hospital": oracles.uc04_sql("t_hospitals", "t_patients"),
+    "uc05_subscriptions_per_subgroup": oracles.uc05_sql("t_subscribers", "t_subgroups"),
+    "uc06_rejected_claims": oracles.uc06_sql("t_claims", "Rejected"),
+    "uc07_claims_per_city": oracles.uc07_sql("t_claims", "t_patients"),
+    "uc08_policy_type_preference": oracles.uc08_sql("t_subscribers", "t_group_subgroup_bridge", "t_groups"),
+    "uc09_average_premium": oracles.uc09_sql("t_subscribers", "t_subgroups"),
+    "uc10_group_profitability": oracles.uc10_sql(
         "t_groups", "t_group_subgroup_bridge", "t_subscribers", "t_subgroups", "t_claims", "Not Rejected"
     ),
-    "uc11_minor_cancer_patients": oracles._uc11("t_patients", "2020-06-30", 18, "CANCER"),
+    "uc11_minor_cancer_patients": oracles.uc11_sql("t_patients", "2020-06-30", 18, "CANCER"),
 }
 
 
