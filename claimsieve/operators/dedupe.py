@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MOST_BROADCAST_KEYS = 500_000
-MOST_BROADCAST_BYTES = 64 << 20
+MARKS_PER_KEY = 8
+FEWEST_MARKS = 1 << 16
+MOST_MARKS = 1 << 28
+MOST_COMPARED_SHARE = 0.2
 
 
 def one_row_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -30,25 +31,38 @@ def one_row_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return smallest.select(*(F.col(name) if name in keys else F.col(f"row.{name}") for name in df.columns))
 
 
-def repeats_fit_broadcast(repeated: DataFrame, keys: Sequence[str]) -> tuple[int, bool]:
-    """The number of repeated keys, and whether their list is small enough to send to every executor."""
-    size = F.sum(reduce(Column.__add__, (F.coalesce(F.octet_length(F.col(key).cast("string")), F.lit(0)) for key in keys)))
-    count, octets = repeated.agg(F.count("*"), F.coalesce(size, F.lit(0))).first()
-    return count, count <= MOST_BROADCAST_KEYS and octets <= MOST_BROADCAST_BYTES
+def _marks_for(repeated_keys: int) -> int:
+    """A power of two with several marks per repeated key, within fixed bounds."""
+    return min(max(1 << (MARKS_PER_KEY * repeated_keys - 1).bit_length(), FEWEST_MARKS), MOST_MARKS)
 
 
 def one_row_per_audited_key(df: DataFrame, keys: Sequence[str], repeated: DataFrame) -> DataFrame:
-    """`one_row_per_key` where a stored audit already lists the keys that occur more than once.
+    """`one_row_per_key` where a stored audit lists the keys that occur more than once, with their `count`.
 
-    Rows of all other keys are kept without a shuffle or a sort; only rows of repeated keys are
-    compared. The list is broadcast after its size is checked; a longer one takes the general way.
+    Each repeated key sets one mark, chosen by its hash. Rows that hit no mark have a key of their
+    own and are kept without a shuffle or a sort; the rest is compared as usual. A row may hit the
+    mark of another key, which costs time but changes nothing. The marks travel to every executor
+    as 64-bit words, at most MOST_MARKS / 64 of them however long the list is. Where a good part of
+    the rows would be compared anyway, the general way is taken for all.
     """
-    count, fits = repeats_fit_broadcast(repeated, keys)
-    if count == 0:
+    listed, rows = repeated.agg(F.count("*"), F.sum("count")).first()
+    if listed == 0:
         return df
-    if not fits:
+    marks = _marks_for(listed)
+    if listed > marks // 2 or rows > df.count() * MOST_COMPARED_SHARE:
         return one_row_per_key(df, keys)
-    listed = F.broadcast(repeated.select(*(F.col(key).alias(f"repeated {key}") for key in keys)))
-    same = reduce(Column.__and__, (F.col(key).eqNullSafe(F.col(f"repeated {key}")) for key in keys))
-    singles = df.join(listed, same, "left_anti")
-    return singles.unionByName(one_row_per_key(df.join(listed, same, "left_semi"), keys))
+
+    def mark(source: DataFrame) -> Column:
+        typed = [source[key].cast(df.schema[key].dataType) for key in keys]
+        return F.pmod(F.xxhash64(*typed), F.lit(marks))
+
+    def word_and_bit(source: DataFrame) -> DataFrame:
+        with_mark = source.withColumn("mark", mark(source))
+        return with_mark.select("*", F.shiftright("mark", 6).alias("word"), (F.col("mark") % 64).cast("int").alias("bit"))
+
+    set_bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("bit"))
+    words = word_and_bit(repeated.select(*keys)).groupBy("word").agg(F.bit_or(set_bit).alias("bits"))
+    marked = word_and_bit(df).join(F.broadcast(words), "word", "left")
+    hit = F.coalesce(F.getbit("bits", F.col("bit")) == 1, F.lit(False))
+    singles = marked.filter(~hit).select(*df.columns)
+    return singles.unionByName(one_row_per_key(marked.filter(hit).select(*df.columns), keys))

@@ -121,18 +121,34 @@ def test_survivors_match_brute_force_with_a_hot_and_a_null_key(spark, parts):
     assert set(collected) == expected
 
 
-@pytest.mark.parametrize("limit", [0, 500_000])
+@pytest.mark.parametrize(("fewest", "most"), [(1 << 16, 1 << 28), (64, 1024), (64, 64)], ids=["apart", "colliding", "full"])
 @pytest.mark.parametrize("keys", [["k"], ["k", "b"]])
-def test_audited_keys_give_the_same_survivors(spark, monkeypatch, limit, keys):
-    monkeypatch.setattr(dedupe, "MOST_BROADCAST_KEYS", limit)
+def test_audited_keys_give_the_same_survivors(spark, monkeypatch, fewest, most, keys):
+    monkeypatch.setattr(dedupe, "FEWEST_MARKS", fewest)
+    monkeypatch.setattr(dedupe, "MOST_MARKS", most)
+    monkeypatch.setattr(dedupe, "MOST_COMPARED_SHARE", 1.0)
     random.seed(6)
-    rows = [(random.choice("xyz"), random.choice([None, 7, 7, *range(300)]), random.choice([None, 1])) for _ in range(500)]
+    rows = [(random.choice("xyz"), random.choice([None, 7, 7, *range(400)]), random.choice([None, 1])) for _ in range(700)]
     table = spark.createDataFrame(rows, "a string, k int, b int").repartition(7)
     repeated = duplicate_keys(table, keys, "t")
     result = one_row_per_audited_key(table, keys, repeated)
+    assert result.columns == table.columns
     assert sorted(result.collect(), key=str) == sorted(one_row_per_key(table, keys).collect(), key=str)
     plan = result._jdf.queryExecution().executedPlan().toString()
-    assert ("BroadcastHashJoin" in plan) == (limit > 0)
+    assert ("BroadcastHashJoin" in plan) == (most > 64)
+
+
+def test_many_repeats_take_the_general_way(spark):
+    table = spark.range(100).selectExpr("id % 50 AS k", "id AS v")
+    result = one_row_per_audited_key(table, ["k"], duplicate_keys(table, ["k"], "t"))
+    assert "Broadcast" not in result._jdf.queryExecution().executedPlan().toString()
+    assert result.agg({"v": "sum"}).first()[0] == sum(range(50))
+
+
+def test_marks_are_bounded():
+    assert dedupe._marks_for(1) == 1 << 16
+    assert dedupe._marks_for(100_000) == 1 << 20
+    assert dedupe._marks_for(10**12) == 1 << 28
 
 
 def test_no_repeated_keys_no_shuffle(spark):
