@@ -350,7 +350,7 @@ def staged_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dedupe_audited(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The audit of repeated keys stored first, then only their rows compared."""
-    keys = ["l_orderkey", "l_linenumber"]
+    keys = ["l_orderkey", "l_suppkey"]
     lines = loader(spark, sf_dir)("lineitem").withColumn("l_shipdate", F.col("l_shipdate").cast("date"))
     path = scratch_folder(spark)
     write_table(duplicate_keys(lines, keys, "lineitem"), path)

@@ -45,14 +45,19 @@ def uppered(value: Column) -> Column:
     return F.upper(trimmed(value))
 
 
-def whole_number(value: Column) -> Column:
-    """SC-05: text to int; a plain fraction is cut off, anything else that is no number is null.
+def whole_number(value: Column, width: str = "int") -> Column:
+    """SC-05: text to integer; a plain fraction is cut off, anything else that is no number is null.
 
     The pattern (SC-12) keeps other text away from the cast, which handles it by way of an
     exception per value.
     """
     digits = F.regexp_extract(value.cast("string"), r"^\s*([+-]?[0-9]+)(?:\.[0-9]*)?\s*\z", 1)
-    return F.nullif(digits, F.lit("")).try_cast("int")
+    return F.nullif(digits, F.lit("")).try_cast(width)
+
+
+def number_id(value: Column) -> Column:
+    """SC-05 for ids, which outgrow 32 bits on large tables."""
+    return whole_number(value, "bigint")
 
 
 def safe_decimal(value: Column, precision: int = fixed.MONEY[0], scale: int = fixed.MONEY[1]) -> Column:

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 
 def write_table(df: DataFrame, path: str) -> None:
     """Replace the table; running a job again gives the same state."""
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").option("compression", "zstd").parquet(path)
 
 
 def export_csv(df: DataFrame, path: str) -> None:

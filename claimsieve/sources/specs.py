@@ -10,7 +10,16 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column
-from pyspark.sql.types import DataType, DateType, DecimalType, IntegerType, StringType, StructField, StructType
+from pyspark.sql.types import (
+    DataType,
+    DateType,
+    DecimalType,
+    IntegerType,
+    LongType,
+    StringType,
+    StructField,
+    StructType,
+)
 
 from claimsieve.functions import fixed_values as fixed
 from claimsieve.functions import rules
@@ -32,10 +41,6 @@ def _money(name: str, raw: str) -> Field:
     return Field(name, raw, rules.safe_decimal, DecimalType(*fixed.MONEY))
 
 
-def _int(name: str, raw: str) -> Field:
-    return Field(name, raw, rules.whole_number, IntegerType())
-
-
 @dataclass(frozen=True)
 class TableSpec:
     name: str
@@ -108,7 +113,7 @@ CLAIMS = TableSpec(
     "claims.json",
     ("claim_id",),
     (
-        _int("claim_id", "claim_id"),
+        Field("claim_id", "claim_id", rules.number_id, LongType()),
         Field("patient_id", "patient_id", rules.trimmed),
         Field("disease_name", "disease_name", rules.titled),
         Field("sub_id", "SUB_ID", rules.uppered),
@@ -131,7 +136,7 @@ GROUPS = TableSpec(
         Field("grp_name", "Grp_Name", rules.trimmed),
         Field("grp_type", "Grp_Type", rules.group_type),
         Field("city", "city", rules.titled),
-        _int("year", "year"),
+        Field("year", "year", rules.whole_number, IntegerType()),
     ),
 )
 

@@ -54,6 +54,10 @@ def test_whole_number(spark):
     ]
 
 
+def test_ids_may_need_more_than_32_bits(spark):
+    assert apply(spark, rules.number_id, "99999999999", "0", "x") == [99_999_999_999, 0, None]
+
+
 def test_safe_decimal(spark):
     values = ["1,234.567", "13667", "-1.005", "NaN", "", "1,2,3", "1234567890123.00", " 5 ", "abc", None]
     assert apply(spark, rules.safe_decimal, *values) == [
