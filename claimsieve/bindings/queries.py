@@ -296,7 +296,7 @@ def job_duplicate_report_cleaned(t: Tables) -> DataFrame:
 def job_answer(name: str) -> Callable[[Tables], DataFrame]:
     """A use case over the cleaned tables it reads."""
     used = usecases.USE_CASES[name].tables
-    return lambda t: answer(name, {table: _cleaner(table)(t) for table in used}, as_of=JOB_AS_OF)
+    return lambda t: answer(name, {table: _cleaner(table)(t) for table in used}, as_of=JOB_AS_OF, unique_keys=True)
 
 
 JOB_ANSWERS = [name for name in usecases.USE_CASES if name[:4] not in ("uc12", "uc13")]

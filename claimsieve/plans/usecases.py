@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
@@ -48,17 +48,22 @@ def young_subscribers(
     )
 
 
-def subgroups_per_group(groups: DataFrame, bridge: DataFrame) -> DataFrame:
-    """UC03: distinct subgroups of every mapped group."""
-    counts = bridge.groupBy("grp_id").agg(F.countDistinct("subgrp_id").alias("subgroup_count"))
+def _distinct(column: str, unique_keys: bool) -> Column:
+    """A distinct count; where the key is known to be unique, a plain one, which needs no shuffle of all pairs."""
+    return F.count(column) if unique_keys else F.countDistinct(column)
+
+
+def subgroups_per_group(groups: DataFrame, bridge: DataFrame, unique_keys: bool = False) -> DataFrame:
+    """UC03: distinct subgroups of every mapped group. `unique_keys`: no pair of the bridge repeats."""
+    counts = bridge.groupBy("grp_id").agg(_distinct("subgrp_id", unique_keys).alias("subgroup_count"))
     named = counts.join(groups.select("grp_id", "grp_name"), "grp_id")
     merged = named.groupBy("grp_id", "grp_name").agg(F.max("subgroup_count").alias("subgroup_count"))
     return ordered(merged, ("-subgroup_count", "grp_id"))
 
 
-def patients_per_hospital(hospitals: DataFrame, patients: DataFrame) -> DataFrame:
-    """UC04: distinct patients of every hospital that has any."""
-    counts = patients.groupBy("hospital_id").agg(F.countDistinct("patient_id").alias("patient_count"))
+def patients_per_hospital(hospitals: DataFrame, patients: DataFrame, unique_keys: bool = False) -> DataFrame:
+    """UC04: distinct patients of every hospital that has any. `unique_keys`: no patient id repeats."""
+    counts = patients.groupBy("hospital_id").agg(_distinct("patient_id", unique_keys).alias("patient_count"))
     named = counts.join(hospitals.select("hospital_id", "hospital_name"), "hospital_id")
     merged = named.groupBy("hospital_id", "hospital_name").agg(F.max("patient_count").alias("patient_count"))
     return ordered(merged, ("-patient_count", "hospital_id"))
@@ -215,8 +220,8 @@ USE_CASES = {
     for case in (
         UseCase("uc01_claims_per_disease", claims_per_disease, ("claims",)),
         UseCase("uc02_young_subscribers", young_subscribers, ("subscribers",), ("as_of",)),
-        UseCase("uc03_subgroups_per_group", subgroups_per_group, ("groups", "group_subgroup_bridge")),
-        UseCase("uc04_patients_per_hospital", patients_per_hospital, ("hospitals", "patients")),
+        UseCase("uc03_subgroups_per_group", subgroups_per_group, ("groups", "group_subgroup_bridge"), ("unique_keys",)),
+        UseCase("uc04_patients_per_hospital", patients_per_hospital, ("hospitals", "patients"), ("unique_keys",)),
         UseCase("uc05_subscriptions_per_subgroup", subscriptions_per_subgroup, ("subscribers", "subgroups")),
         UseCase("uc06_rejected_claims", rejected_claims, ("claims",)),
         UseCase("uc07_claims_per_city", claims_per_city, ("claims", "patients")),

@@ -34,3 +34,7 @@ def spark_bag(df):
 def oracle_bag(connection, sql):
     result = connection.execute(sql)
     return bag([column[0] for column in result.description], result.fetchall())
+
+
+def physical(df):
+    return df._jdf.queryExecution().executedPlan().toString()

@@ -15,11 +15,7 @@ from claimsieve.plans import usecases as uc
 from claimsieve.plans.job import open_core
 from claimsieve.sources.layout import Layout
 from claimsieve.sources.specs import TABLES
-from tests.comparing import SF_DIR
-
-
-def physical(df):
-    return df._jdf.queryExecution().executedPlan().toString()
+from tests.comparing import SF_DIR, physical
 
 
 def scan_of(plan, column):

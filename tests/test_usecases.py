@@ -9,14 +9,15 @@ import pyarrow as pa
 import pytest
 
 from claimsieve.bindings import oracles
-from claimsieve.bindings.tables import comparable
+from claimsieve.bindings.queries import uc08
+from claimsieve.bindings.tables import comparable, loader
 from claimsieve.functions import fixed_values as fixed
 from claimsieve.operators import skew
 from claimsieve.operators.allocation import allocation_weights
 from claimsieve.operators.ordering import top_k
 from claimsieve.plans import usecases as uc
 from claimsieve.sources.specs import TABLES
-from tests.comparing import oracle_bag, spark_bag
+from tests.comparing import SF_DIR, oracle_bag, physical, spark_bag
 
 AS_OF = datetime.date(2020, 6, 30)
 COLUMNS = {
@@ -110,6 +111,20 @@ SQL = {
 }
 
 
+@pytest.mark.parametrize("name", ["uc03_subgroups_per_group", "uc04_patients_per_hospital"])
+def test_plain_counts_of_unique_keys(spark, name):
+    frames = {table: spark.createDataFrame(rows, COLUMNS[table]) for table, rows in rows_of(4, False).items()}
+    counted, distinct = uc.answer(name, frames, unique_keys=True), uc.answer(name, frames)
+    assert physical(counted).count("hashpartitioning") < physical(distinct).count("hashpartitioning")
+    assert spark_bag(counted) == spark_bag(distinct)
+
+
+def test_weighted_subscriptions_add_up_to_the_subscribers(spark):
+    t = loader(spark, SF_DIR)
+    total = uc08(t).agg({"weighted_subscription_count": "sum"}).first()[0]
+    assert abs(total - t("customer").count()) <= Decimal("0.03")
+
+
 SPLIT_JOINS = ("uc08_policy_type_preference", "uc10_group_profitability")
 
 
