@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import datetime
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 AsOf = datetime.date | None
@@ -20,6 +20,11 @@ def reference_day(as_of: AsOf) -> Column:
     return F.current_date() if as_of is None else F.lit(as_of)
 
 
+def fixed_day(spark: SparkSession, as_of: AsOf = None) -> datetime.date:
+    """The reference day as a value, so that one run counts all ages from the same day."""
+    return spark.range(1).select(reference_day(as_of)).first()[0]
+
+
 def calendar_age(birth: Column, as_of: AsOf = None) -> Column:
     """New-year boundaries between birth and the reference day."""
     return F.year(reference_day(as_of)) - F.year(birth)

@@ -11,7 +11,7 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
-from claimsieve.functions.ages import AsOf
+from claimsieve.functions.ages import AsOf, fixed_day
 from claimsieve.operators.allocation import allocation_weights
 from claimsieve.operators.dedupe import one_row_per_audited_key
 from claimsieve.operators.quality import duplicate_keys, null_profile
@@ -137,4 +137,4 @@ def run(
     cleanse(spark, layout, json_layout=json_layout, csv_export=csv)
     core = load_core(spark, layout, csv) if csv or copy_core else open_core(spark, layout)
     register_allocation_view(core, weight_scale)
-    write_outputs(core, layout, as_of, weight_scale)
+    write_outputs(core, layout, fixed_day(spark, as_of), weight_scale)

@@ -114,6 +114,11 @@ def test_age_ranges_equal_age_comparisons(spark, years):
     assert wrong.count() == 0
 
 
+def test_the_day_of_a_run_is_fixed_once(spark):
+    assert ages.fixed_day(spark, datetime.date(2001, 2, 3)) == datetime.date(2001, 2, 3)
+    assert abs(ages.fixed_day(spark) - datetime.datetime.now(datetime.UTC).date()) <= datetime.timedelta(days=1)
+
+
 def test_past_year_holds_both_ends(spark):
     as_of = datetime.date(2001, 11, 4)
     days = [datetime.date(2000, 11, 3), datetime.date(2000, 11, 4), as_of, datetime.date(2001, 11, 5)]
