@@ -31,10 +31,10 @@ def join_one_per_key(many: DataFrame, one: DataFrame, frequency: DataFrame, key:
     """
     hot = hot_keys(frequency, key, count).withColumnRenamed(key, "hot key")
     values = one.withColumnRenamed(key, "value key")
-    # both sides hold a key once: an inner join, which unlike a semi join leaves the aggregates
-    # below it alone, so that their exchanges are reused
+    # inner and outer joins, unlike semi and anti joins, are not pushed below an aggregate that
+    # makes `many` or `one`, so that its exchange is shared by all branches
     hot_values = values.join(F.broadcast(hot), F.col("value key") == F.col("hot key")).drop("hot key")
     hot_rows = many.join(F.broadcast(hot_values), F.col(key) == F.col("value key"))
-    others = many.join(F.broadcast(hot), F.col(key) == F.col("hot key"), "left_anti")
-    cold_rows = others.join(values, F.col(key) == F.col("value key"))
+    others = many.join(F.broadcast(hot), F.col(key) == F.col("hot key"), "left").filter(F.col("hot key").isNull())
+    cold_rows = others.drop("hot key").join(values, F.col(key) == F.col("value key"))
     return hot_rows.unionByName(cold_rows).drop("value key")
