@@ -13,7 +13,7 @@ from claimsieve.sources.readers import JSON_READERS
 
 
 def main(arguments: list[str] | None = None) -> None:
-    parser = argparse.ArgumentParser(prog="claimsieve", description="Cleanse raw claims data and build the output tables.")
+    parser = argparse.ArgumentParser("claimsieve", description="Cleanse raw claims data and build the output tables.")
     parser.add_argument("--base", required=True, help="folder that holds raw/ and receives the other layers")
     parser.add_argument("--as-of", type=datetime.date.fromisoformat, help="reference day for ages; today by default")
     parser.add_argument("--json-layout", choices=sorted(JSON_READERS), default="array")

@@ -37,9 +37,10 @@ JOB_AS_OF = datetime.date(1965, 6, 30)
 
 
 def blank_to_null_profile(t: Tables) -> DataFrame:
+    status = F.when(F.col("o_orderpriority") == "5-LOW", F.lit("  ")).otherwise(F.col("o_orderstatus"))
     dirty = t("orders").select(
         "o_orderkey",
-        F.when(F.col("o_orderpriority") == "5-LOW", F.lit("  ")).otherwise(F.col("o_orderstatus")).alias("o_orderstatus"),
+        status.alias("o_orderstatus"),
         F.when(F.col("o_orderstatus") != "P", F.col("o_custkey")).alias("o_custkey"),
         "o_orderpriority",
     )
@@ -84,8 +85,8 @@ def whole_number(t: Tables) -> DataFrame:
         .when(F.col("l_returnflag") == "R", F.concat(quantity, F.lit("x")))
         .otherwise(quantity)
     )
-    numbers = t("lineitem").select("l_orderkey", "l_linenumber", "l_partkey", rules.whole_number(text).alias("quantity"))
-    return numbers
+    number = rules.whole_number(text).alias("quantity")
+    return t("lineitem").select("l_orderkey", "l_linenumber", "l_partkey", number)
 
 
 def strict_date(t: Tables) -> DataFrame:

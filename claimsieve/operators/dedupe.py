@@ -23,7 +23,8 @@ def one_row_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     others = [name for name in df.columns if name not in keys]
     if not others:
         return df.distinct()
-    ranked = F.struct(*(part for name in others for part in (F.isnull(name).alias(f"null {name}"), F.col(name))))
+    parts = ((F.isnull(name).alias(f"null {name}"), F.col(name)) for name in others)
+    ranked = F.struct(*(column for pair in parts for column in pair))
     # the aggregate sorts by its grouping columns: a leading hash settles nearly all comparisons
     # of text keys, which tend to share their first characters
     spread = F.xxhash64(*keys).alias("key hash")
@@ -37,13 +38,14 @@ def _marks_for(repeated_keys: int) -> int:
 
 
 def one_row_per_audited_key(df: DataFrame, keys: Sequence[str], repeated: DataFrame) -> DataFrame:
-    """`one_row_per_key` where a stored audit lists the keys that occur more than once, with their `count`.
+    """`one_row_per_key` with the help of a stored audit of the keys that occur more than once.
 
-    Each repeated key sets one mark, chosen by its hash. Rows that hit no mark have a key of their
-    own and are kept without a shuffle or a sort; the rest is compared as usual. A row may hit the
-    mark of another key, which costs time but changes nothing. The marks travel to every executor
-    as 64-bit words, at most MOST_MARKS / 64 of them however long the list is. Where a good part of
-    the rows would be compared anyway, the general way is taken for all.
+    The audit holds the keys and their `count`. Each repeated key sets one mark, chosen by its
+    hash. Rows that hit no mark have a key of their own and are kept without a shuffle or a sort;
+    the rest is compared as usual. A row may hit the mark of another key, which costs time but
+    changes nothing. The marks travel to every executor as 64-bit words, at most MOST_MARKS / 64 of
+    them however long the list is. Where a good part of the rows would be compared anyway, the
+    general way is taken for all.
     """
     listed, rows = repeated.agg(F.count("*"), F.sum("count")).first()
     if listed == 0:
@@ -52,17 +54,17 @@ def one_row_per_audited_key(df: DataFrame, keys: Sequence[str], repeated: DataFr
     if listed > marks // 2 or rows > df.count() * MOST_COMPARED_SHARE:
         return one_row_per_key(df, keys)
 
-    def mark(source: DataFrame) -> Column:
+    def with_mark(source: DataFrame) -> DataFrame:
         typed = [source[key].cast(df.schema[key].dataType) for key in keys]
-        return F.pmod(F.xxhash64(*typed), F.lit(marks))
+        mark = F.pmod(F.xxhash64(*typed), F.lit(marks))
+        marked = source.withColumn("key mark", mark)
+        return marked.withColumns(
+            {"mark word": F.shiftright("key mark", 6), "mark bit": (F.col("key mark") % 64).cast("int")}
+        )
 
-    def word_and_bit(source: DataFrame) -> DataFrame:
-        with_mark = source.withColumn("mark", mark(source))
-        return with_mark.select("*", F.shiftright("mark", 6).alias("word"), (F.col("mark") % 64).cast("int").alias("bit"))
-
-    set_bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("bit"))
-    words = word_and_bit(repeated.select(*keys)).groupBy("word").agg(F.bit_or(set_bit).alias("bits"))
-    marked = word_and_bit(df).join(F.broadcast(words), "word", "left")
-    hit = F.coalesce(F.getbit("bits", F.col("bit")) == 1, F.lit(False))
+    set_bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("mark bit"))
+    words = with_mark(repeated.select(*keys)).groupBy("mark word").agg(F.bit_or(set_bit).alias("word bits"))
+    marked = with_mark(df).join(F.broadcast(words), "mark word", "left")
+    hit = F.coalesce(F.getbit("word bits", F.col("mark bit")) == 1, F.lit(False))
     singles = marked.filter(~hit).select(*df.columns)
     return singles.unionByName(one_row_per_key(marked.filter(hit).select(*df.columns), keys))

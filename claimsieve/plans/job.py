@@ -40,7 +40,7 @@ def stage_table(
     """Parse one raw table, blank to null, and keep it as Parquet under its raw column names."""
     raw = read_raw(spark, spec, layout.raw(spec.file), json_layout)
     write_table(normalise(raw, null_tokens), layout.stage(spec.name))
-    return spark.read.parquet(layout.stage(spec.name))
+    return spark.read.schema(spec.raw_schema).parquet(layout.stage(spec.name))
 
 
 def audit_keys(staged: DataFrame, spec: TableSpec, mode: str = "raw") -> DataFrame:
@@ -80,7 +80,7 @@ def clean_tables(spark: SparkSession, layout: Layout, csv: bool = False) -> dict
     tables = {}
     for name, spec in TABLES.items():
         path = layout.clean(name)
-        source = read_csv(spark, path) if csv else spark.read.parquet(path)
+        source = read_csv(spark, path) if csv else spark.read.schema(spec.schema).parquet(path)
         tables[name] = conform(source, spec.schema, text_input=csv)
     return tables
 
@@ -96,7 +96,7 @@ def load_core(spark: SparkSession, layout: Layout, csv: bool = False) -> dict[st
     """SNK-02 / 03: full reload of the core tables from the clean folders, and a view for each."""
     tables = clean_tables(spark, layout, csv)
     _run_all([lambda name=name, df=df: write_table(df, layout.core(name)) for name, df in tables.items()])
-    core = {name: spark.read.parquet(layout.core(name)) for name in tables}
+    core = {name: spark.read.schema(df.schema).parquet(layout.core(name)) for name, df in tables.items()}
     register_views(core)
     return core
 

@@ -151,6 +151,19 @@ def test_command_line(spark, tmp_path):
     assert [tuple(row) for row in read_back(spark, layout, "va10").collect()] == EXPECTED["va10"]
 
 
+@pytest.mark.parametrize("csv", [False, True])
+def test_empty_tables(spark, tmp_path, csv):
+    layout = write_raw(tmp_path)
+    for file, text in FILES.items():
+        (tmp_path / "raw" / file).write_text(text.splitlines()[0] + "\n")
+    (tmp_path / "raw" / "claims.json").write_text("[]")
+    job.run(spark, layout, as_of=AS_OF, csv=csv)
+    counts = {name: read_back(spark, layout, name).count() for name in READ_BACKS}
+    assert counts == {name: int(name in ("va06", "va09", "va12", "va13")) for name in READ_BACKS}
+    assert read_back(spark, layout, "va06").first()[0] == 0
+    assert read_back(spark, layout, "va09").first()[0] is None
+
+
 def test_task_sizes_grow_with_the_input():
     small, large = task_sizes(10 * MIB), task_sizes(100 << 40)
     assert small == {"spark.sql.shuffle.partitions": 1, "spark.sql.files.maxPartitionBytes": 128 * MIB}
