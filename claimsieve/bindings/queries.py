@@ -172,7 +172,7 @@ def uc07(t: Tables) -> DataFrame:
     claims = t("orders").select(F.col("o_custkey").alias("patient_id"))
     located = t("customer").join(t("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
     patients = located.select(F.col("c_custkey").alias("patient_id"), F.col("n_name").alias("city"))
-    return usecases.claims_per_city(claims, patients)
+    return usecases.claims_per_city(claims, patients, unique_keys=True)
 
 
 def nation_bridge(t: Tables) -> DataFrame:
@@ -212,12 +212,12 @@ def uc10(t: Tables) -> DataFrame:
     subgroups = premiums.agg(F.max("c_acctbal").alias("monthly_premium"))
     claims = _order_claims(t, "o_custkey")
     return usecases.group_profitability(
-        _supplier_groups(t), nation_bridge(t), subscribers, subgroups, claims, status="O"
+        _supplier_groups(t), nation_bridge(t), subscribers, subgroups, claims, status="O", unique_keys=True
     )
 
 
 def uc10_wide(t: Tables) -> DataFrame:
-    """Order lines insured by part, parts shared by suppliers: a large many-to-many bridge."""
+    """Order lines insured by part, parts shared by suppliers: a large bridge, and orders with many lines."""
     subscribers = t("lineitem").select(F.col("l_orderkey").alias("sub_id"), F.col("l_partkey").alias("subgrp_id"))
     subgroups = t("part").select(F.col("p_partkey").alias("subgrp_id"), F.col("p_retailprice").alias("monthly_premium"))
     claims = _order_claims(t, "o_orderkey")

@@ -4,6 +4,9 @@ Each function takes the tables it reads and returns its answer in the declared o
 counted or summed by their key before they meet a dimension, so a key that holds a large part of
 a table is reduced on the map side and no join sees more than one fact row per key. Results are
 the same as for joining first, also when a dimension key occurs more than once.
+
+`unique_keys=True` states that the cleaners have made the table keys unique; it saves work that
+only repeated keys need and must not be set for other tables.
 """
 
 from __future__ import annotations
@@ -20,6 +23,7 @@ from claimsieve.functions.ages import AsOf, calendar_age, older_than, within_pas
 from claimsieve.functions.rules import contains_ignoring_case, money_or_zero
 from claimsieve.operators.allocation import TOTAL, allocate_to_groups
 from claimsieve.operators.ordering import ordered
+from claimsieve.operators.skew import join_one_per_key, rows_per_key
 
 MONEY_RESULT = TOTAL
 
@@ -53,6 +57,13 @@ def _distinct(column: str, unique_keys: bool) -> Column:
     return F.count(column) if unique_keys else F.countDistinct(column)
 
 
+def _attach(per_key: DataFrame, rows: DataFrame, key: str, unique_keys: bool) -> DataFrame:
+    """Inner join of one result row per key with the rows of a large table, evenly even if a key repeats a lot."""
+    if unique_keys:
+        return per_key.join(rows, key)
+    return join_one_per_key(rows, per_key, rows_per_key(rows, key), key, "rows")
+
+
 def subgroups_per_group(groups: DataFrame, bridge: DataFrame, unique_keys: bool = False) -> DataFrame:
     """UC03: distinct subgroups of every mapped group. `unique_keys`: no pair of the bridge repeats."""
     counts = bridge.groupBy("grp_id").agg(_distinct("subgrp_id", unique_keys).alias("subgroup_count"))
@@ -82,10 +93,10 @@ def rejected_claims(claims: DataFrame, status: str = "Rejected") -> DataFrame:
     return claims.filter(F.col("claim_or_rejected") == status).agg(F.count("*").alias("rejected_claim_count"))
 
 
-def claims_per_city(claims: DataFrame, patients: DataFrame) -> DataFrame:
+def claims_per_city(claims: DataFrame, patients: DataFrame, unique_keys: bool = False) -> DataFrame:
     """UC07: claims per city of their patient."""
     per_patient = claims.groupBy("patient_id").agg(F.count("*").alias("claims"))
-    located = per_patient.join(patients.select("patient_id", "city"), "patient_id")
+    located = _attach(per_patient, patients.select("patient_id", "city"), "patient_id", unique_keys)
     counts = located.groupBy("city").agg(F.sum("claims").alias("total_claims"))
     return ordered(counts, ("-total_claims", "city"))
 
@@ -106,10 +117,11 @@ def average_premium(subscribers: DataFrame, subgroups: DataFrame) -> DataFrame:
     """UC09: mean monthly premium over subscribers, null when nobody pays one."""
     per_subgroup = subscribers.groupBy("subgrp_id").agg(F.count("*").alias("subscribers"))
     premium = F.col("monthly_premium").cast(DecimalType(*fixed.MONEY))
-    paid = per_subgroup.join(subgroups.select("subgrp_id", premium.alias("premium")), "subgrp_id")
-    payers = paid.filter(F.col("premium").isNotNull())
-    mean = F.sum(F.col("premium") * F.col("subscribers")).cast(TOTAL) / F.sum("subscribers")
-    return payers.agg(F.round(mean, 2).cast(MONEY_RESULT).alias("avg_monthly_premium"))
+    premiums = subgroups.groupBy("subgrp_id").agg(F.sum(premium).alias("premium"), F.count(premium).alias("premiums"))
+    paid = per_subgroup.join(premiums.filter(F.col("premiums") > 0), "subgrp_id")
+    total = F.sum(F.col("premium") * F.col("subscribers")).cast(TOTAL)
+    mean = total / F.sum(F.col("premiums") * F.col("subscribers"))
+    return paid.agg(F.round(mean, 2).cast(MONEY_RESULT).alias("avg_monthly_premium"))
 
 
 def group_profitability(
@@ -120,6 +132,7 @@ def group_profitability(
     claims: DataFrame,
     status: str = "Not Rejected",
     weight_scale: int | None = None,
+    unique_keys: bool = False,
 ) -> DataFrame:
     """UC10: a year of premium less the claims that were not rejected, per group.
 
@@ -127,14 +140,15 @@ def group_profitability(
     Profit is the difference of the two rounded sums. Groups with neither are left out.
     """
     members = subscribers.groupBy("subgrp_id").agg(F.count("*").alias("members"))
+    monthly = subgroups.groupBy("subgrp_id").agg(F.sum(money_or_zero(F.col("monthly_premium"))).alias("monthly"))
+    yearly = F.coalesce(F.col("monthly"), F.lit(0)) * fixed.MONTHS_PER_YEAR
     # a left join: a subgroup without a premium row counts with premium 0
-    priced = members.join(subgroups.select("subgrp_id", "monthly_premium"), "subgrp_id", "left")
-    yearly = money_or_zero(F.col("monthly_premium")) * fixed.MONTHS_PER_YEAR
-    premiums = priced.groupBy("subgrp_id").agg(F.sum(F.col("members") * yearly).cast(TOTAL).alias("premium"))
+    priced = members.join(monthly, "subgrp_id", "left")
+    premiums = priced.select("subgrp_id", (F.col("members") * yearly).cast(TOTAL).alias("premium"))
 
     accepted = claims.filter(F.col("claim_or_rejected") == status)
     per_subscriber = accepted.groupBy("sub_id").agg(F.sum(money_or_zero(F.col("claim_amount"))).alias("claimed"))
-    insured = per_subscriber.join(subscribers.select("sub_id", "subgrp_id"), "sub_id")
+    insured = _attach(per_subscriber, subscribers.select("sub_id", "subgrp_id"), "sub_id", unique_keys)
     claimed = insured.groupBy("subgrp_id").agg(F.sum("claimed").cast(TOTAL).alias("claimed"))
 
     # every claim reaches its subgroup through a subscriber, so no subgroup is lost on the left side
@@ -224,7 +238,7 @@ USE_CASES = {
         UseCase("uc04_patients_per_hospital", patients_per_hospital, ("hospitals", "patients"), ("unique_keys",)),
         UseCase("uc05_subscriptions_per_subgroup", subscriptions_per_subgroup, ("subscribers", "subgroups")),
         UseCase("uc06_rejected_claims", rejected_claims, ("claims",)),
-        UseCase("uc07_claims_per_city", claims_per_city, ("claims", "patients")),
+        UseCase("uc07_claims_per_city", claims_per_city, ("claims", "patients"), ("unique_keys",)),
         UseCase(
             "uc08_policy_type_preference",
             policy_type_preference,
@@ -236,7 +250,7 @@ USE_CASES = {
             "uc10_group_profitability",
             group_profitability,
             ("groups", "group_subgroup_bridge", "subscribers", "subgroups", "claims"),
-            ("weight_scale",),
+            ("weight_scale", "unique_keys"),
         ),
         UseCase("uc11_minor_cancer_patients", minor_cancer_patients, ("patients",), ("as_of",)),
         UseCase("uc12_cashless_high_charges", cashless_high_charges, ("patients",)),

@@ -122,6 +122,19 @@ def test_allocation_over_a_hot_subgroup(spark, monkeypatch, nothing_fits_a_broad
     assert per_group.agg(F.count("*"), F.min("total"), F.max("total")).first() == (300_000, 2, 2)
 
 
+def test_a_subscriber_with_a_third_of_the_rows_is_spread_over_tasks(
+    spark, tmp_path, monkeypatch, nothing_fits_a_broadcast
+):
+    monkeypatch.setattr(skew, "HOT_PARTS", 1000)
+    skewed_bridge(spark).toDF("patient_id", "city").write.parquet(str(tmp_path / "patients"))
+    patients = spark.read.parquet(str(tmp_path / "patients"))
+    per_patient = patients.select("patient_id").distinct().withColumn("claims", F.lit(2))
+    located = uc._attach(per_patient, patients, "patient_id", unique_keys=False)
+    by_task = located.groupBy(F.spark_partition_id()).count().agg(F.max("count"), F.sum("count")).first()
+    assert by_task[1] == 300_000
+    assert by_task[0] < 60_000
+
+
 def test_the_hot_list_is_bounded(spark):
     frequency = spark.range(200_000).select(F.col("id").alias("k"), F.lit(1).alias("n"))
     assert skew.hot_keys(frequency, "k", "n").count() == 0

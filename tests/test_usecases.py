@@ -111,8 +111,11 @@ SQL = {
 }
 
 
-@pytest.mark.parametrize("name", ["uc03_subgroups_per_group", "uc04_patients_per_hospital"])
-def test_plain_counts_of_unique_keys(spark, name):
+UNIQUE = [name for name, case in uc.USE_CASES.items() if "unique_keys" in case.options]
+
+
+@pytest.mark.parametrize("name", UNIQUE)
+def test_unique_keys_save_shuffles(spark, name):
     frames = {table: spark.createDataFrame(rows, COLUMNS[table]) for table, rows in rows_of(4, False).items()}
     counted, distinct = uc.answer(name, frames, unique_keys=True), uc.answer(name, frames)
     assert physical(counted).count("hashpartitioning") < physical(distinct).count("hashpartitioning")
@@ -125,7 +128,7 @@ def test_weighted_subscriptions_add_up_to_the_subscribers(spark):
     assert abs(total - t("customer").count()) <= Decimal("0.03")
 
 
-SPLIT_JOINS = ("uc08_policy_type_preference", "uc10_group_profitability")
+SPLIT_JOINS = ("uc07_claims_per_city", "uc08_policy_type_preference", "uc10_group_profitability")
 
 
 @pytest.mark.parametrize("name", SQL)
