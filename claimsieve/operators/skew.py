@@ -19,9 +19,10 @@ def rows_per_key(df: DataFrame, key: str, count: str = "rows") -> DataFrame:
 
 
 def hot_keys(frequency: DataFrame, key: str, count: str) -> DataFrame:
-    """Keys with more than 1/HOT_PARTS of all rows: fewer than HOT_PARTS of them exist."""
-    total = frequency.agg(F.sum(count).alias("total"))
-    return frequency.filter(F.col(count) * HOT_PARTS > total.scalar()).select(key)
+    """Keys, but null, with more than 1/HOT_PARTS of all rows: fewer than HOT_PARTS of them exist."""
+    keyed = frequency.filter(F.col(key).isNotNull())
+    total = keyed.agg(F.sum(count).alias("total"))
+    return keyed.filter(F.col(count) * HOT_PARTS > total.scalar()).select(key)
 
 
 def join_one_per_key(many: DataFrame, one: DataFrame, frequency: DataFrame, key: str, count: str) -> DataFrame:
