@@ -20,7 +20,7 @@ WITH texts AS (
   SELECT row_number() OVER () AS row_no, doc_id, coalesce(text, '') AS body FROM documents
 ), cut AS (
   SELECT *, regexp_extract_all(body, '[^{BLANK_CLASS}]+') AS words,
-    list_filter(string_split(body, chr(10)), line -> regexp_matches(line, '[^{BLANK_CLASS}]')) AS lines
+    list_filter(string_split(body, chr(10)), lambda line: regexp_matches(line, '[^{BLANK_CLASS}]')) AS lines
   FROM texts
 ), starts AS (
   SELECT row_no, words, unnest(range(1, len(words) - 1)) AS spot FROM cut WHERE len(words) >= 3
@@ -41,16 +41,16 @@ WITH texts AS (
   SELECT *,
     coalesce(word_chars / nullif(n_words, 0), 0) AS mean_word_chars,
     coalesce(n_symbols / nullif(n_words, 0), 0) AS symbols_per_word,
-    coalesce(len(list_filter(words, w -> lower(rtrim(w, '.,;:!?')) IN ({stop}))) / nullif(n_words, 0), 0)
+    coalesce(len(list_filter(words, lambda w: lower(rtrim(w, '.,;:!?')) IN ({stop}))) / nullif(n_words, 0), 0)
       AS stop_word_share,
     coalesce(n_dup_lines / nullif(len(lines), 0), 0) AS dup_line_share,
-    coalesce(len(list_filter(lines, l -> regexp_matches(l, '^[ \t]*[-*•]'))) / nullif(len(lines), 0), 0)
+    coalesce(len(list_filter(lines, lambda l: regexp_matches(l, '^[ \t]*[-*•]'))) / nullif(len(lines), 0), 0)
       AS bullet_line_share,
-    coalesce(len(list_filter(lines, l -> regexp_matches(l, '(\.\.\.|…)[ \t]*\z'))) / nullif(len(lines), 0), 0)
+    coalesce(len(list_filter(lines, lambda l: regexp_matches(l, '(\.\.\.|…)[ \t]*\z'))) / nullif(len(lines), 0), 0)
       AS ellipsis_line_share,
-    coalesce(len(list_filter(words, w -> NOT regexp_matches(w, '[a-z]') AND regexp_matches(w, '[A-Z].*[A-Z]')))
+    coalesce(len(list_filter(words, lambda w: NOT regexp_matches(w, '[a-z]') AND regexp_matches(w, '[A-Z].*[A-Z]')))
       / nullif(n_words, 0), 0) AS shouting_share,
-    coalesce(len(list_filter(words, w -> regexp_matches(w, '\p{{L}}'))) / nullif(n_words, 0), 0)
+    coalesce(len(list_filter(words, lambda w: regexp_matches(w, '\p{{L}}'))) / nullif(n_words, 0), 0)
       AS alphabetic_word_share
   FROM counted
 )
@@ -59,3 +59,19 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
   (NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND {_verdict()}) AS kept
 FROM measured
 """
+
+
+WARC_SQL = """
+WITH payloads AS (
+  SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages
+), digested AS (
+  SELECT page_id, octet_length(payload)::BIGINT AS payload_bytes, sha1(payload) AS payload_digest FROM payloads
+), latest AS (
+  SELECT *, CASE WHEN payload_bytes >= 1000 THEN max(page_id) OVER (PARTITION BY payload_digest) END AS kept
+  FROM digested
+)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN coalesce(page_id, kept - 1) < kept THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN coalesce(page_id, kept - 1) < kept THEN kept END AS refers_to
+FROM latest
+"""

@@ -6,14 +6,27 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from claimsieve.llm import oracles, prefix_tokens, quality_rules
+from claimsieve.llm import (
+    oracles,
+    pattern_packing,
+    prefix_tokens,
+    quality_cnn,
+    quality_rules,
+    toxicity,
+    warc_writer,
+)
 from claimsieve.llm.shared import table
+from claimsieve.session import scratch_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 TOKEN_LIMIT = 4096
 
 
+def op2_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pattern_packing.pack(table(spark, sf_dir, "documents"))
+
+
 def op3_prefix_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_tokens.budgets(prefix_tokens.prefix_tables(table(spark, sf_dir, "documents")), TOKEN_LIMIT)
 
@@ -24,11 +37,28 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select(*base)
 
 
+def op5_byte_cnn_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_cnn.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op8_ngram_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op10_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc_writer.archive_round_trip(table(spark, sf_dir, "pages"), scratch_folder(spark))
+
+
 QUERIES: dict[str, Query] = {
+    "op2_pattern_packing": op2_pattern_packing,
     "op3_prefix_token_counts": op3_prefix_token_counts,
     "op4_quality_rules": op4_quality_rules,
+    "op5_byte_cnn_quality": op5_byte_cnn_quality,
+    "op8_ngram_toxicity": op8_ngram_toxicity,
+    "op10_warc_round_trip": op10_warc_round_trip,
 }
 
 ORACLES: dict[str, str] = {
     "op4_quality_rules": oracles.quality_rules_sql(),
+    "op10_warc_round_trip": oracles.WARC_SQL,
 }
