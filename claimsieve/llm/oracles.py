@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from claimsieve.llm.quality_rules import STOP_WORDS, THRESHOLDS
+from claimsieve.llm.secret_scan import RULES
 
 BLANK_CLASS = r"\x20\x09-\x0D"
 
@@ -75,3 +76,41 @@ SELECT page_id, payload_bytes, payload_digest,
   CASE WHEN coalesce(page_id, kept - 1) < kept THEN kept END AS refers_to
 FROM latest
 """
+
+
+def secrets_sql() -> str:
+    def found(rank: int, rule) -> str:
+        pattern = rule.pattern.replace("'", "''")
+        return f"""
+  SELECT row_no, {rank} AS rank, '{rule.kind}' AS kind, {rule.base} AS base, gap, hit, tested, place
+  FROM (
+    SELECT row_no, unnest(gaps) AS gap, unnest(hits) AS hit, unnest(tests) AS tested, unnest(range(len(gaps))) AS place
+    FROM (
+      SELECT row_no, string_split_regex(body, '{pattern}') AS gaps, regexp_extract_all(body, '{pattern}', 0) AS hits,
+        list_transform(regexp_extract_all(body, '{pattern}', {rule.group}), lambda t: length(t) >= {rule.least}) AS tests
+      FROM texts
+    )
+  )"""
+
+    kinds = " UNION ALL ".join(found(rank, rule) for rank, rule in enumerate(RULES))
+    counts = ",\n  ".join(
+        f"count(*) FILTER (kind = '{rule.kind}')::BIGINT AS n_{rule.kind}" for rule in RULES if rule.base
+    )
+    return f"""
+WITH texts AS (
+  SELECT row_number() OVER () AS row_no, doc_id, coalesce(text, '') AS body FROM documents
+), cut AS ({kinds}
+), ended AS (
+  SELECT *, sum(length(gap) + coalesce(length(hit), 0)) OVER (PARTITION BY row_no, rank ORDER BY place) AS finish FROM cut
+), spans AS (
+  SELECT row_no, rank, kind, base, finish - length(hit) AS start,
+    kind || ':' || (finish - length(hit)) || ':' || finish AS span
+  FROM ended WHERE tested
+)
+SELECT doc_id,
+  {counts},
+  sha256(coalesce(string_agg(span, ',' ORDER BY start, rank) FILTER (base), '')) AS base_sha256,
+  coalesce(string_agg(span, ',' ORDER BY start, rank), '') AS spans
+FROM texts LEFT JOIN spans USING (row_no)
+GROUP BY row_no, doc_id
+"""

@@ -12,6 +12,7 @@ from claimsieve.llm import (
     prefix_tokens,
     quality_cnn,
     quality_rules,
+    secret_scan,
     toxicity,
     warc_writer,
 )
@@ -45,6 +46,10 @@ def op8_ngram_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op9_trigram_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.report(table(spark, sf_dir, "documents"))
+
+
 def op10_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc_writer.archive_round_trip(table(spark, sf_dir, "pages"), scratch_folder(spark))
 
@@ -55,10 +60,12 @@ QUERIES: dict[str, Query] = {
     "op4_quality_rules": op4_quality_rules,
     "op5_byte_cnn_quality": op5_byte_cnn_quality,
     "op8_ngram_toxicity": op8_ngram_toxicity,
+    "op9_trigram_secret_scan": op9_trigram_secret_scan,
     "op10_warc_round_trip": op10_warc_round_trip,
 }
 
 ORACLES: dict[str, str] = {
     "op4_quality_rules": oracles.quality_rules_sql(),
+    "op9_trigram_secret_scan": oracles.secrets_sql(),
     "op10_warc_round_trip": oracles.WARC_SQL,
 }
