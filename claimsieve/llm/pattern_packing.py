@@ -88,12 +88,12 @@ def pieces(docs: DataFrame, length: int = LENGTH, path: str | None = None) -> Da
                 for piece, start in enumerate(range(0, len(ids), 4 * length)):
                     part = ids[start : start + 4 * length]
                     rows.append((doc_id, piece, start // 4, len(part) // 4, zlib.crc32(part)))
-            yield pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"]).astype(
-                {"doc_id": "Int64"}
-            )
+            yield pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
 
-    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    return texts.mapInPandas(cut, "doc_id long, piece int, start long, length long, ids_crc32 long")
+    # ids travel as text: pandas would turn long ids beside a null into inexact doubles
+    texts = docs.select(F.col("doc_id").cast("string"), F.coalesce("text", F.lit("")).alias("text"))
+    made = texts.mapInPandas(cut, "doc_id string, piece int, start long, length long, ids_crc32 long")
+    return made.withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
 def patterns_of(size: int, bins: np.ndarray) -> np.ndarray:
@@ -221,9 +221,12 @@ def placed(rows: DataFrame, made: Plan) -> DataFrame:
             at = np.searchsorted(keys, pdf["bin"].to_numpy(np.int64) * span + rank, side="right") - 1
             yield pdf.assign(sequence_id=sequences[at] + rank - ranks[at], slot=slots[at])
 
-    fields = "doc_id long, piece int, start long, length long, ids_crc32 long, bin int, rank long"
-    wanted = rows.select("doc_id", "piece", "start", "length", "ids_crc32", "bin", F.col("rank").cast("long"))
-    return wanted.mapInPandas(place, f"{fields}, sequence_id long, slot long")
+    fields = "doc_id string, piece int, start long, length long, ids_crc32 long, bin int, rank long"
+    wanted = rows.select(
+        F.col("doc_id").cast("string"), "piece", "start", "length", "ids_crc32", "bin", F.col("rank").cast("long")
+    )
+    made = wanted.mapInPandas(place, f"{fields}, sequence_id long, slot long")
+    return made.withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
 def pack(docs: DataFrame, length: int = LENGTH, width: int = WIDTH, path: str | None = None) -> DataFrame:

@@ -157,9 +157,11 @@ def prefix_tables(docs: DataFrame, model_file: str | None = None) -> DataFrame:
         for pdf in blocks(pdfs, "text", BLOCK_CHARS):
             yield pdf[["doc_id", "n_bytes"]].assign(prefix_table=made.tables(list(pdf["text"])))
 
-    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    # ids travel as text: pandas would turn long ids beside a null into inexact doubles
+    texts = docs.select(F.col("doc_id").cast("string"), F.coalesce("text", F.lit("")).alias("text"))
     texts = texts.withColumn("n_bytes", F.octet_length("text").cast("long"))
-    return texts.mapInPandas(tables, "doc_id long, n_bytes long, prefix_table binary")
+    made = texts.mapInPandas(tables, "doc_id string, n_bytes long, prefix_table binary")
+    return made.withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
 def budgets(tables: DataFrame, limit: int) -> DataFrame:
@@ -177,6 +179,6 @@ def budgets(tables: DataFrame, limit: int) -> DataFrame:
                 n_tokens=totals, over_limit=[n > limit for n in totals], fit_chars=fits
             )
 
-    return tables.mapInPandas(
-        answers, "doc_id long, n_bytes long, n_tokens long, over_limit boolean, fit_chars long"
-    )
+    fields = "doc_id string, n_bytes long, n_tokens long, over_limit boolean, fit_chars long"
+    answered = tables.withColumn("doc_id", F.col("doc_id").cast("string")).mapInPandas(answers, fields)
+    return answered.withColumn("doc_id", F.col("doc_id").cast("long"))

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from claimsieve.llm import (
+    global_bpe,
     oracles,
     pattern_packing,
     prefix_tokens,
@@ -42,6 +43,10 @@ def op5_byte_cnn_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_cnn.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op7_global_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return global_bpe.digests(table(spark, sf_dir, "documents"))
+
+
 def op8_ngram_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -59,6 +64,7 @@ QUERIES: dict[str, Query] = {
     "op3_prefix_token_counts": op3_prefix_token_counts,
     "op4_quality_rules": op4_quality_rules,
     "op5_byte_cnn_quality": op5_byte_cnn_quality,
+    "op7_global_word_bpe": op7_global_word_bpe,
     "op8_ngram_toxicity": op8_ngram_toxicity,
     "op9_trigram_secret_scan": op9_trigram_secret_scan,
     "op10_warc_round_trip": op10_warc_round_trip,
