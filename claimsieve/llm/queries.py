@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from claimsieve.llm import (
     global_bpe,
+    near_duplicates,
     oracles,
     pattern_packing,
     prefix_tokens,
@@ -25,6 +26,10 @@ Query = Callable[[SparkSession, str], DataFrame]
 TOKEN_LIMIT = 4096
 
 
+def op1_prob_min_hash_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.classes(table(spark, sf_dir, "documents"))
+
+
 def op2_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pattern_packing.pack(table(spark, sf_dir, "documents"))
 
@@ -60,6 +65,7 @@ def op10_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_prob_min_hash_classes": op1_prob_min_hash_classes,
     "op2_pattern_packing": op2_pattern_packing,
     "op3_prefix_token_counts": op3_prefix_token_counts,
     "op4_quality_rules": op4_quality_rules,

@@ -27,6 +27,8 @@ except ImportError:  # Python before 3.11
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from claimsieve.llm.shared import marked
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -59,7 +61,6 @@ RULES = (
     Rule("web_token", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
 )
 
-MARK_BITS = 1 << 22
 MOST_EXACT = 64
 
 Query = list[frozenset[str]]
@@ -192,29 +193,16 @@ def scan(docs: DataFrame, rules=RULES) -> DataFrame:
     texts = docs.select("doc_id", text.alias("text"))
     found = candidates(texts, queries)
 
-    def mark(doc_id, key) -> Column:
-        return F.pmod(F.xxhash64(doc_id, key), F.lit(MARK_BITS))
-
-    place = mark(F.col("doc_id"), F.col("text_key"))
-    bits = F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("mark_bit")))
-    words = (
-        found.select(F.shiftright(place, 6).alias("secret mark word"), (place % 64).cast("int").alias("mark_bit"))
-        .groupBy("secret mark word")
-        .agg(bits.alias("secret mark bits"))
-    )
-    own = mark(F.col("doc_id"), F.md5(text))
-    marked = docs.withColumn("secret mark word", F.shiftright(own, 6)).join(
-        F.broadcast(words), "secret mark word", "left"
-    )
-    hit = F.coalesce(F.getbit("secret mark bits", (own % 64).cast("int")) == 1, F.lit(False))
+    own = F.xxhash64("doc_id", F.md5(text))
+    with_marks, hit = marked(docs, own, found, F.xxhash64("doc_id", "text_key"))
     columns = [F.col(f"`{name}`") for name in docs.columns]
 
-    plain = marked.filter(~hit).select(*columns, F.sort_array(F.concat(*full)).alias("secret_spans"))
+    plain = with_marks.filter(~hit).select(*columns, F.sort_array(F.concat(*full)).alias("secret_spans"))
     named = found.select(
         F.col("doc_id").alias("secret doc"), F.col("text_key").alias("secret key"), F.col("kinds").alias("secret kinds")
     )
     same = F.col("doc_id").eqNullSafe(F.col("secret doc")) & (F.md5(text) == F.col("secret key"))
-    near = marked.filter(hit).join(named, same, "left")
+    near = with_marks.filter(hit).join(named, same, "left")
     none = F.array().cast("array<struct<start:int,end:int,rank:int,kind:string>>")
     verified = [
         F.when(F.array_contains("secret kinds", rule.kind), spans(text, rule, ranks[rule.kind])).otherwise(none)

@@ -52,3 +52,24 @@ def sampled_labels(labels: DataFrame, label: str, training, per_class: int) -> D
     order = F.xxhash64("doc_id"), F.col("doc_id")
     classes = [clear.filter(F.col("label") == value).orderBy(*order).limit(per_class) for value in (0, 1)]
     return classes[0].unionByName(classes[1])
+
+
+MARK_BITS = 1 << 22
+
+
+def marked(df: DataFrame, key, keys: DataFrame, keys_key, bits: int = MARK_BITS) -> tuple[DataFrame, F.Column]:
+    """`df` with the marks that `keys` set, and the condition that a row of `df` hits one.
+
+    Every key sets one of `bits` marks by its hash. The marks are broadcast as 64-bit words, 1 MB at most by default,
+    however many keys there are. A row without a hit is surely not among the keys; one with a hit has to be compared.
+    """
+
+    def place(hashed):
+        return F.pmod(hashed, F.lit(bits))
+
+    set_bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), (place(keys_key) % 64).cast("int"))
+    set_bits = keys.select(F.shiftright(place(keys_key), 6).alias("mark word"), set_bit.alias("mark bit"))
+    words = set_bits.groupBy("mark word").agg(F.bit_or("mark bit").alias("mark bits"))
+    with_word = df.withColumn("mark word", F.shiftright(place(key), 6)).join(F.broadcast(words), "mark word", "left")
+    hit = F.coalesce(F.getbit("mark bits", (place(key) % 64).cast("int")) == 1, F.lit(False))
+    return with_word, hit
