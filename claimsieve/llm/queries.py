@@ -6,8 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from claimsieve.llm import (
     global_bpe,
+    hilbert_search,
     near_duplicates,
     oracles,
     pattern_packing,
@@ -48,6 +50,10 @@ def op5_byte_cnn_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_cnn.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op6_hilbert_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hilbert_search.nearest(table(spark, sf_dir, "embeddings"))
+
+
 def op7_global_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return global_bpe.digests(table(spark, sf_dir, "documents"))
 
@@ -70,10 +76,12 @@ QUERIES: dict[str, Query] = {
     "op3_prefix_token_counts": op3_prefix_token_counts,
     "op4_quality_rules": op4_quality_rules,
     "op5_byte_cnn_quality": op5_byte_cnn_quality,
+    "op6_hilbert_neighbours": op6_hilbert_neighbours,
     "op7_global_word_bpe": op7_global_word_bpe,
     "op8_ngram_toxicity": op8_ngram_toxicity,
     "op9_trigram_secret_scan": op9_trigram_secret_scan,
     "op10_warc_round_trip": op10_warc_round_trip,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLES: dict[str, str] = {
