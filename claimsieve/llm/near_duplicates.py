@@ -157,14 +157,20 @@ def sketched(docs: DataFrame, bands: int, rows: int) -> DataFrame:
     return made.withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
-def shingle_sets(docs: DataFrame, keys: DataFrame) -> DataFrame:
-    """content_key, shingles and weights (binary) of the nodes in `keys`, each once."""
+def content_key(text: Column) -> Column:
+    """The key that documents with the same words share; null without words."""
 
     @F.pandas_udf("binary")
-    def content_key(texts: pd.Series) -> pd.Series:
+    def key(texts: pd.Series) -> pd.Series:
         words = [text.lower().split() for text in texts]
         return pd.Series([xxhash.xxh3_128_digest(" ".join(w)) if w else None for w in words], index=texts.index)
 
+    return key(F.coalesce(text, F.lit("")))
+
+
+def shingle_sets(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """content_key, shingles and weights (binary) of the nodes in `keys`, each once."""
+
     def sets(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in blocks(pdfs, "text", BLOCK_CHARS):
             found, text, shingle, weight = shingles(list(pdf["text"]))
@@ -178,7 +184,7 @@ def shingle_sets(docs: DataFrame, keys: DataFrame) -> DataFrame:
                 }
             )
 
-    texts = docs.filter(F.col("text").isNotNull()).select(content_key("text").alias("content_key"), "text")
+    texts = docs.filter(F.col("text").isNotNull()).select(content_key(F.col("text")).alias("content_key"), "text")
     wanted = keys.select("content_key")
     near, hit = marked(texts, F.xxhash64("content_key"), wanted, F.xxhash64("content_key"))
     once = near.filter(hit).groupBy("content_key").agg(F.min("text").alias("text")).join(wanted, "content_key")
@@ -298,19 +304,15 @@ def one_per_class(docs: DataFrame, similarity: float = SIMILARITY, bands: int =
     """The columns of `docs`, one row of each class: the smallest id, null last. Documents without words all stay."""
     _, components = content_classes(docs, similarity, bands, rows)
 
-    @F.pandas_udf("binary")
-    def content_key(texts: pd.Series) -> pd.Series:
-        words = [text.lower().split() for text in texts]
-        return pd.Series([xxhash.xxh3_128_digest(" ".join(w)) if w else None for w in words], index=texts.index)
-
     columns = [F.col(f"`{name}`") for name in docs.columns]
-    keyed = docs.select(*columns, content_key(F.coalesce("text", F.lit(""))).alias("content key"))
-    joined = keyed.filter(F.col("content key").isNotNull()).join(
-        components, F.col("content key") == components["content_key"], "left"
+    # names with a blank meet no column of `docs`
+    keyed = docs.select(*columns, content_key(F.col("text")).alias("own key"))
+    joined = keyed.filter(F.col("own key").isNotNull()).join(
+        components.toDF("node key", "node class"), F.col("own key") == F.col("node key"), "left"
     )
-    chosen = joined.select(*columns, F.coalesce("component", F.col("content key")).alias("class key"))
+    chosen = joined.select(*columns, F.coalesce("node class", "own key").alias("class key"))
     # the limit on the row number is pushed below the shuffle: a class of any size sends one row per task
     order = Window.partitionBy("class key").orderBy(F.col("doc_id").asc_nulls_last(), F.xxhash64(*columns))
     first = chosen.withColumn("class place", F.row_number().over(order)).filter(F.col("class place") == 1)
-    wordless = keyed.filter(F.col("content key").isNull())
+    wordless = keyed.filter(F.col("own key").isNull())
     return first.select(*columns).unionByName(wordless.select(*columns))

@@ -229,10 +229,8 @@ def read_archives(spark: SparkSession, folder: str, manifest: DataFrame) -> Data
     Digests and lengths of responses are taken from the payload read; one that differs from its headers ends the job.
     The driver holds the names of the files, as it does for any folder that it reads.
     """
-    fields = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
-
-    def number(text: str | None) -> int | None:
-        return None if text is None else int(text)
+    # ids travel as text: pandas would turn long ids beside a null into inexact doubles
+    fields = "page_id string, payload_bytes long, payload_digest string, record_type string, refers_to string"
 
     def parse(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in pdfs:
@@ -247,15 +245,16 @@ def read_archives(spark: SparkSession, folder: str, manifest: DataFrame) -> Data
                         payload = block.partition(b"\r\n\r\n")[2]
                         if (len(payload), hashlib.sha1(payload).hexdigest()) != (size, digest):
                             raise ValueError("a record differs from its headers")
-                    ids = number(headers.get("X-Page-Id")), number(headers.get("X-Refers-To-Page"))
-                    rows.append((ids[0], size, digest, headers["WARC-Type"], ids[1]))
-                names = [field.split(" ")[0] for field in fields.split(", ")]
-                yield pd.DataFrame(rows, columns=names).astype({"page_id": "Int64", "refers_to": "Int64"})
+                    page_id, refers_to = headers.get("X-Page-Id"), headers.get("X-Refers-To-Page")
+                    rows.append((page_id, size, digest, headers["WARC-Type"], refers_to))
+                yield pd.DataFrame(rows, columns=[field.split(" ")[0] for field in fields.split(", ")])
 
     files = [f"{folder}/{row['file']}" for row in manifest.select("file").collect()]
     if not files:
-        return spark.createDataFrame([], fields)
-    return spark.read.format("binaryFile").load(files).select("content").mapInPandas(parse, fields)
+        records = spark.createDataFrame([], fields)
+    else:
+        records = spark.read.format("binaryFile").load(files).select("content").mapInPandas(parse, fields)
+    return records.withColumns({name: F.col(name).cast("long") for name in ("page_id", "refers_to")})
 
 
 def archive_round_trip(pages: DataFrame, folder: str) -> DataFrame:
