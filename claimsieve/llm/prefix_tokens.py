@@ -107,7 +107,7 @@ class PrefixCounter:
         if len(self.memo) > MEMO_WORDS:
             self.memo.clear()
         memo = self.memo
-        new = sorted({word for words in worded for word in words if word not in memo})
+        new = sorted(word for word in set().union(*worded) if word not in memo)
         known = dict(zip(new, self.learn(new), strict=True))
         memo.update((word, table) for word, table in known.items() if len(word) <= MEMO_WORD_CHARS)
         long = {word: table for word, table in known.items() if len(word) > MEMO_WORD_CHARS}
