@@ -172,8 +172,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, training: Column, settings
 
     chosen = texts.join(F.broadcast(sample), "doc_id").select("doc_id", "label", "text")
     rows = chosen.mapInPandas(cut, "doc_id long, label int, chunks binary")
-    # repeated ids could bring more rows than ids; the first by id and content stay within the bound
-    return rows.orderBy("doc_id", "chunks").limit(2 * settings.per_class)
+    # a repeated id counts once, with the first of its texts in order, so the bound on ids is one on rows
+    return rows.groupBy("doc_id", "label").agg(F.min("chunks").alias("chunks"))
 
 
 def train(docs: DataFrame, labels: DataFrame, training: Column, settings: Settings = Settings()) -> ByteNetwork:
@@ -181,7 +181,7 @@ def train(docs: DataFrame, labels: DataFrame, training: Column, settings: Settin
 
     Without a labelled row of either class it stays untrained and every score is near one half.
     """
-    rows = training_rows(docs, labels, training, settings).toPandas()
+    rows = training_rows(docs, labels, training, settings).toPandas().sort_values("doc_id")
     network = ByteNetwork(settings)
     if rows.empty:
         return network

@@ -72,9 +72,8 @@ def training_texts(docs: DataFrame, labels: DataFrame, training: Column, setting
     """doc_id, label, text of the sample; the ids are few enough to broadcast whatever the tables."""
     sample = sampled_labels(labels, "toxic", training, settings.per_class)
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    chosen = texts.join(F.broadcast(sample), "doc_id")
-    # repeated ids could bring more rows than ids; the first by id and hash stay within the bound
-    return chosen.orderBy("doc_id", F.xxhash64("text")).limit(2 * settings.per_class)
+    # a repeated id counts once, with the first of its texts in order, so the bound on ids is one on rows
+    return texts.join(F.broadcast(sample), "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text"))
 
 
 def bucket_counts(texts: DataFrame) -> DataFrame:
