@@ -3,17 +3,20 @@
 from __future__ import annotations
 
 import datetime
+import functools
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from claimsieve.bindings import raw
 from claimsieve.bindings.tables import Tables, comparable, loader
 from claimsieve.functions import rules
+from claimsieve.functions.rules import named
 from claimsieve.operators.allocation import allocation_weights
 from claimsieve.operators.dedupe import one_row_per_audited_key, one_row_per_key
 from claimsieve.operators.ordering import top_k
+from claimsieve.operators.skew import join_one_per_key, rows_per_key
 from claimsieve.operators.quality import duplicate_keys, duplicate_report, null_profile, null_report
 from claimsieve.operators.typed import conform
 from claimsieve.plans import job, readback, usecases
@@ -22,7 +25,7 @@ from claimsieve.plans.usecases import answer
 from claimsieve.session import scratch_folder
 from claimsieve.sinks.writers import export_csv, export_json_lines, write_table
 from claimsieve.sources.layout import Layout
-from claimsieve.sources.readers import read_csv, read_json_split, read_raw, staged_files
+from claimsieve.sources.readers import read_export, read_raw, rows_per_file
 from claimsieve.sources.specs import CLAIMS, TABLES
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -179,12 +182,12 @@ def nation_bridge(t: Tables) -> DataFrame:
     return t("supplier").select(F.col("s_nationkey").alias("subgrp_id"), F.col("s_suppkey").alias("grp_id"))
 
 
-def uc08(t: Tables) -> DataFrame:
+def uc08(t: Tables, weight_scale: int | None = None) -> DataFrame:
     subscribers = t("customer").select(F.col("c_nationkey").alias("subgrp_id"))
     nations = t("nation").join(t("region"), F.col("n_regionkey") == F.col("r_regionkey"))
     located = t("supplier").join(nations, F.col("s_nationkey") == F.col("n_nationkey"))
     groups = located.select(F.col("s_suppkey").alias("grp_id"), F.col("r_name").alias("grp_type"))
-    return usecases.policy_type_preference(subscribers, nation_bridge(t), groups)
+    return usecases.policy_type_preference(subscribers, nation_bridge(t), groups, weight_scale)
 
 
 def uc09(t: Tables) -> DataFrame:
@@ -205,15 +208,14 @@ def _order_claims(t: Tables, subscriber: str) -> DataFrame:
     )
 
 
-def uc10(t: Tables) -> DataFrame:
+def uc10(t: Tables, weight_scale: int | None = None) -> DataFrame:
     """Customers insured by nation; the premium of a nation is its largest account balance."""
     subscribers = t("customer").select(F.col("c_custkey").alias("sub_id"), F.col("c_nationkey").alias("subgrp_id"))
     premiums = t("customer").groupBy(F.col("c_nationkey").alias("subgrp_id"))
     subgroups = premiums.agg(F.max("c_acctbal").alias("monthly_premium"))
     claims = _order_claims(t, "o_custkey")
-    return usecases.group_profitability(
-        _supplier_groups(t), nation_bridge(t), subscribers, subgroups, claims, status="O", unique_keys=True
-    )
+    tables = _supplier_groups(t), nation_bridge(t), subscribers, subgroups, claims
+    return usecases.group_profitability(*tables, status="O", weight_scale=weight_scale, unique_keys=True)
 
 
 def uc10_wide(t: Tables) -> DataFrame:
@@ -241,7 +243,9 @@ def uc11(t: Tables) -> DataFrame:
 
 
 def uc12(t: Tables) -> DataFrame:
-    insured = t("orders").join(t("customer"), F.col("o_custkey") == F.col("c_custkey"))
+    orders = t("orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
+    customers = t("customer").select(F.col("c_custkey").alias("o_custkey"), "c_name")
+    insured = join_one_per_key(orders, customers, rows_per_key(orders, "o_custkey"), "o_custkey", "rows")
     patients = insured.select(
         F.col("o_orderkey").alias("patient_id"),
         F.col("c_name").alias("patient_name"),
@@ -252,7 +256,9 @@ def uc12(t: Tables) -> DataFrame:
 
 
 def uc13(t: Tables) -> DataFrame:
-    lines = t("lineitem").join(t("part"), F.col("l_partkey") == F.col("p_partkey"))
+    shipped = t("lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_shipdate")
+    parts = t("part").select(F.col("p_partkey").alias("l_partkey"), "p_type", "p_size", "p_name")
+    lines = join_one_per_key(shipped, parts, rows_per_key(shipped, "l_partkey"), "l_partkey", "rows")
     birth = F.make_date(F.lit(SHIPPED_AS_OF.year) - F.col("p_size"), F.lit(6), F.lit(30))
     patients = lines.select(
         F.col("l_orderkey").alias("patient_id"),
@@ -307,12 +313,17 @@ JOB_ANSWERS = [name for name in usecases.USE_CASES if name[:4] not in ("uc12", "
 
 
 def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Outer blanks, quotes, commas, line feeds and carriage returns through the delimited layer."""
     label = F.concat(F.lit('  "'), F.col("c_name"), F.lit('", '), F.lower("c_mktsegment"), F.lit(" "))
-    remark = F.when(F.col("c_mktsegment") == "BUILDING", F.lit("a, b")).otherwise(F.lit(" x"))
+    remark = (
+        F.when(F.col("c_mktsegment") == "BUILDING", F.lit("a, b"))
+        .when(F.col("c_mktsegment") == "MACHINERY", F.concat(F.lit("one\ntwo\r\n"), F.col("c_name"), F.lit("\rthree\n")))
+        .otherwise(F.lit(" x"))
+    )
     path = scratch_folder(spark)
     table = loader(spark, sf_dir)("customer").select("c_custkey", label.alias("label"), remark.alias("remark"))
     export_csv(table, path)
-    return read_csv(spark, path).select(F.col("c_custkey").try_cast("bigint").alias("c_custkey"), "label", "remark")
+    return read_export(spark, path).select(F.col("c_custkey").try_cast("bigint").alias("c_custkey"), "label", "remark")
 
 
 def json_lines_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -321,13 +332,31 @@ def json_lines_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(clean(read_raw(spark, CLAIMS, path, "lines"), CLAIMS))
 
 
-def json_array_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Objects separated by commas on one line, fields in another order."""
+def _write_claims_array(spark: SparkSession, sf_dir: str, separator: str) -> str:
+    """One bracketed array per file of the claims, fields in another order. Returns the folder."""
     path = scratch_folder(spark)
     claims = raw.claims(loader(spark, sf_dir))
-    objects = claims.select(F.to_json(F.struct(*sorted(claims.columns))).alias("value"))
-    objects.write.option("lineSep", ",").text(path)
-    return comparable(clean(read_json_split(spark, path, CLAIMS.raw_schema), CLAIMS))
+    line = F.struct(*sorted(claims.columns))
+    objects = claims.select(F.to_json(line).alias("object"), F.spark_partition_id().alias("file"))
+    numbered = objects.withColumn("place", F.row_number().over(Window.partitionBy("file").orderBy("object")))
+    last = F.max("place").over(Window.partitionBy("file"))
+    opening = F.when(F.col("place") == 1, F.lit("[")).otherwise(F.lit(separator))
+    closing = F.when(F.col("place") == last, F.lit("]")).otherwise(F.lit(""))
+    texts = numbered.select("file", "place", F.concat(opening, "object", closing).alias("value"))
+    texts.sortWithinPartitions("file", "place").select("file", "value").write.partitionBy("file").text(path)
+    return path
+
+
+def json_array_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The default reader over bracketed arrays."""
+    path = _write_claims_array(spark, sf_dir, ",")
+    return comparable(clean(read_raw(spark, CLAIMS, f"{path}/*"), CLAIMS))
+
+
+def json_split_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same arrays read by many tasks each."""
+    path = _write_claims_array(spark, sf_dir, " , ")
+    return comparable(clean(read_raw(spark, CLAIMS, f"{path}/*", "split"), CLAIMS))
 
 
 def typed_load(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -340,13 +369,18 @@ def typed_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = claims.withColumn("claim_type", kind.otherwise(F.col("claim_type"))).select(*reversed(claims.columns))
     export_csv(text, path)
     core = scratch_folder(spark)
-    write_table(conform(read_csv(spark, path), CLAIMS.schema, text_input=True), core)
+    write_table(conform(read_export(spark, path), CLAIMS.schema, text_input=True), core)
     return comparable(spark.read.parquet(core))
 
 
+STAGED = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
+
+
 def staged_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
-    files = staged_files(spark, sf_dir)
-    return files.select(F.regexp_extract("path", "([^/]+)$", 1).alias("file"), "length")
+    """The files of the relational tables with their rows; the parts of a table count for it."""
+    name = F.regexp_extract("_metadata.file_path", r"([^/]+\.parquet)(?:/[^/]+)?$", 1)
+    listed = [rows_per_file(loader(spark, sf_dir)(table), name) for table in STAGED]
+    return functools.reduce(DataFrame.unionByName, listed)
 
 
 def dedupe_audited(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -364,20 +398,60 @@ def allocation_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql("SELECT subgrp_id, grp_id, allocation_weight FROM v_subgroup_group_alloc")
 
 
-def output_read_back(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _stored(spark: SparkSession, df: DataFrame) -> DataFrame:
     path = scratch_folder(spark)
-    write_table(uc03(loader(spark, sf_dir)), path)
-    return readback.view("va03", spark.read.parquet(path))
+    write_table(df, path)
+    return spark.read.parquet(path)
 
 
-def full_job(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw files to output tables on disk, then the read-back of the profitability table."""
+def output_read_back(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return readback.view("va03", _stored(spark, uc03(loader(spark, sf_dir))))
+
+
+def stored_view(name: str, make: Callable[[Tables], DataFrame]) -> Query:
+    """A validation read of the stored answer."""
+    return lambda spark, sf_dir: comparable(readback.view(name, _stored(spark, make(loader(spark, sf_dir)))))
+
+
+def va_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(_stored(spark, uc01(loader(spark, sf_dir))), ("-total_claims", "disease_name"), 3)
+
+
+def _run_job(spark: SparkSession, sf_dir: str, **options) -> Layout:
+    """The raw tables as files, then the whole job."""
     layout = Layout(scratch_folder(spark))
     for name, df in raw_tables(loader(spark, sf_dir)).items():
         spec = TABLES[name]
         (export_json_lines if spec.is_json else export_csv)(df, layout.raw(spec.file))
-    job.run(spark, layout, as_of=JOB_AS_OF, json_layout="lines")
-    return comparable(readback.read_back(spark, layout, "va10"))
+    job.run(spark, layout, as_of=JOB_AS_OF, json_layout="lines", **options)
+    return layout
+
+
+def full_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw files to output tables on disk, then the read-back of the profitability table."""
+    return comparable(readback.read_back(spark, _run_job(spark, sf_dir), "va10"))
+
+
+def row_text(df: DataFrame, table: str) -> DataFrame:
+    """Every row of a table as one text, nulls as a dash."""
+    cells = [F.coalesce(F.col(f"`{name}`").cast("string"), F.lit("-")) for name in sorted(df.columns)]
+    return df.select(F.lit(table).alias("table_name"), F.concat_ws("|", *cells).alias("row_text"))
+
+
+def full_job_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Everything that the job writes, by way of the delimited clean layer: answers, null counts, repeated keys."""
+    layout = _run_job(spark, sf_dir, csv=True)
+    read = spark.read.parquet
+    parts = [row_text(read(layout.output(name)), name) for name in JOB_ANSWERS]
+    for name, spec in TABLES.items():
+        nulls = read(layout.null_report(name)).unpivot(
+            "dataset_name", [named(column) for column in spec.raw_columns], "column_name", "null_count"
+        )
+        parts.append(row_text(nulls, "null_report"))
+        keys = F.to_json(F.struct(*(named(key).alias(key.strip()) for key in spec.raw_keys)))
+        repeated = read(layout.duplicate_report(name)).select("dataset_name", keys.alias("duplicate_key"), "count")
+        parts.append(row_text(repeated, "duplicate_report"))
+    return functools.reduce(DataFrame.unionByName, parts)
 
 
 # --- registry ---------------------------------------------------------------------------------
@@ -402,24 +476,14 @@ OPERATORS = {
     "uc06_filtered_count": uc06,
     "uc07_city_count": uc07,
     "uc08_weighted_preference": uc08,
+    "uc08_weighted_seven_digits": lambda t: uc08(t, weight_scale=7),
     "uc09_avg_premium": uc09,
     "uc10_profitability": uc10,
+    "uc10_profitability_seven_digits": lambda t: uc10(t, weight_scale=7),
     "uc10_profitability_wide": uc10_wide,
     "uc11_text_and_age": uc11,
     "uc12_flag_and_amount": uc12,
     "uc13_recent_procedure": uc13,
-    "va_top_k": lambda t: top_k(uc01(t), ("-total_claims", "disease_name"), 3),
-    "va01": lambda t: readback.view("va01", uc01(t)),
-    "va02": lambda t: readback.view("va02", uc02(t)),
-    "va03": lambda t: readback.view("va03", uc03(t)),
-    "va04": lambda t: readback.view("va04", uc04(t)),
-    "va05": lambda t: readback.view("va05", uc05(t)),
-    "va06": lambda t: readback.view("va06", uc06(t)),
-    "va07": lambda t: readback.view("va07", uc07(t)),
-    "va08": lambda t: readback.view("va08", uc08(t)),
-    "va09": lambda t: readback.view("va09", uc09(t)),
-    "va10": lambda t: readback.view("va10", uc10(t)),
-    "va11": lambda t: readback.view("va11", uc11(t)),
     **{f"clean_{name}": _cleaner(name) for name in raw.RAW},
     "clean_claims_null_tokens": null_token_cleaner,
     "job_null_report": job_null_report,
@@ -428,16 +492,34 @@ OPERATORS = {
     **{f"job_{name}": job_answer(name) for name in JOB_ANSWERS},
 }
 
+VIEWS = {
+    "va01": uc01,
+    "va02": uc02,
+    "va03": uc03,
+    "va04": uc04,
+    "va05": uc05,
+    "va06": uc06,
+    "va07": uc07,
+    "va08": uc08,
+    "va09": uc09,
+    "va10": uc10,
+    "va11": uc11,
+}
+
 FILE_QUERIES: dict[str, Query] = {
+    "va_top_k": va_top_k,
+    **{name: stored_view(name, make) for name, make in VIEWS.items()},
     "csv_round_trip": csv_round_trip,
     "json_lines_scan": json_lines_scan,
     "json_array_scan": json_array_scan,
+    "json_split_scan": json_split_scan,
     "typed_load": typed_load,
     "dedupe_audited": dedupe_audited,
     "allocation_view": allocation_view,
     "staged_inventory": staged_inventory,
     "output_read_back": output_read_back,
     "full_job": full_job,
+    "full_job_tables": full_job_tables,
 }
 
 

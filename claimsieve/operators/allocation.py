@@ -34,14 +34,9 @@ def allocation_weights(bridge: DataFrame, weight_scale: int | None = None) -> Da
         return exact.alias("allocation_weight")
 
     pairs = bridge.select("subgrp_id", "grp_id")
-    keyed = pairs.filter(F.col("subgrp_id").isNotNull())
-    fan = rows_per_key(keyed, "subgrp_id", "pairs")
-    matched = join_one_per_key(keyed, fan, fan, "subgrp_id", "pairs")
-    unkeyed = pairs.filter(F.col("subgrp_id").isNull())
-    unkeyed_count = unkeyed.agg(F.count("*").alias("pairs")).scalar()
-    return matched.select("subgrp_id", "grp_id", weight(F.col("pairs"))).unionByName(
-        unkeyed.select("subgrp_id", "grp_id", weight(unkeyed_count))
-    )
+    fan = rows_per_key(pairs, "subgrp_id", "pairs")
+    matched = join_one_per_key(pairs, fan, fan, "subgrp_id", "pairs", nulls=True)
+    return matched.select("subgrp_id", "grp_id", weight(F.col("pairs")))
 
 
 def allocate_to_groups(

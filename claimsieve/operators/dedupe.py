@@ -4,60 +4,38 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-MARKS_PER_KEY = 8
-FEWEST_MARKS = 1 << 16
-MOST_MARKS = 1 << 28
-MOST_COMPARED_SHARE = 0.2
+MARKS = 1 << 24
 
 
 def one_row_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keep, per key, the smallest row by the other columns in order (ascending, nulls last).
 
-    All null keys count as one key. The survivor does not depend on partitioning, retries or file
-    order. `min` over a struct combines on the map side, so each input task ships at most one row
-    per key: a key that holds a third of the table costs its reducer one row per task.
+    All null keys count as one key. The survivor does not depend on partitioning, retries or file order. The limit on
+    the row number is applied before the shuffle too, so each input task ships at most one row per key: a key that holds
+    a third of the table costs its reducer one row per task.
     """
-    others = [name for name in df.columns if name not in keys]
+    others = [F.col(name).asc_nulls_last() for name in df.columns if name not in keys]
     if not others:
         return df.distinct()
-    parts = ((F.isnull(name).alias(f"null {name}"), F.col(name)) for name in others)
-    ranked = F.struct(*(column for pair in parts for column in pair))
-    # the aggregate sorts by its grouping columns: a leading hash settles nearly all comparisons
-    # of text keys, which tend to share their first characters
-    spread = F.xxhash64(*keys).alias("key hash")
-    smallest = df.groupBy(spread, *keys).agg(F.min(ranked).alias("row"))
-    return smallest.select(*(F.col(name) if name in keys else F.col(f"row.{name}") for name in df.columns))
-
-
-def _marks_for(repeated_keys: int) -> int:
-    """A power of two with several marks per repeated key, within fixed bounds."""
-    return min(max(1 << (MARKS_PER_KEY * repeated_keys - 1).bit_length(), FEWEST_MARKS), MOST_MARKS)
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(*others))
+    return df.withColumn("key place", place).filter(F.col("key place") == 1).drop("key place")
 
 
 def one_row_per_audited_key(df: DataFrame, keys: Sequence[str], repeated: DataFrame) -> DataFrame:
     """`one_row_per_key` with the help of a stored audit of the keys that occur more than once.
 
-    The audit holds the keys and their `count`. Each repeated key sets one mark, chosen by its
-    hash. Rows that hit no mark have a key of their own and are kept without a shuffle or a sort;
-    the rest is compared as usual. A row may hit the mark of another key, which costs time but
-    changes nothing. The marks travel to every executor as 64-bit words, at most MOST_MARKS / 64 of
-    them however long the list is. Where a good part of the rows would be compared anyway, the
-    general way is taken for all.
+    Each repeated key sets one of MARKS marks, chosen by its hash. Rows that hit no mark have a key of their own and are
+    kept without a shuffle or a sort; the rest is compared as usual. A row may hit the mark of another key, which costs
+    time but changes nothing; with far more repeated keys than marks all rows are compared. The marks travel to every
+    executor as 64-bit words, MARKS / 64 of them at most. Nothing runs before the result is asked for.
     """
-    listed, rows = repeated.agg(F.count("*"), F.sum("count")).first()
-    if listed == 0:
-        return df
-    marks = _marks_for(listed)
-    if listed > marks // 2 or rows > df.count() * MOST_COMPARED_SHARE:
-        return one_row_per_key(df, keys)
 
     def with_mark(source: DataFrame) -> DataFrame:
         typed = [source[key].cast(df.schema[key].dataType) for key in keys]
-        mark = F.pmod(F.xxhash64(*typed), F.lit(marks))
-        marked = source.withColumn("key mark", mark)
+        marked = source.withColumn("key mark", F.pmod(F.xxhash64(*typed), F.lit(MARKS)))
         return marked.withColumns(
             {"mark word": F.shiftright("key mark", 6), "mark bit": (F.col("key mark") % 64).cast("int")}
         )

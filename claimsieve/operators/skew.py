@@ -1,9 +1,10 @@
 """Joining a table with many rows per key to a table with one row per key, however uneven the keys.
 
-A sort-merge join sends all rows of a key to one task. Keys above 1/HOT_PARTS of all rows are
-therefore joined on the map side against a broadcast list. Fewer than HOT_PARTS keys can be above
-that share, whatever the size of the data, which bounds the broadcast. All other keys are small
-and go through the ordinary join, which the engine may still turn into a broadcast by size.
+A sort-merge join sends all rows of a key to one task. A key above 1/HOT_PARTS of all rows is therefore cut into as
+many parts as it has such shares: its rows are spread over the parts and its one value is copied to each. No part holds
+more than 1/HOT_PARTS of the rows, and the list of hot keys and the copies of their values stay below HOT_PARTS and
+2 x HOT_PARTS rows, whatever the size of the data. The large table is read once; the engine may still turn the join into
+a broadcast by size.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-HOT_PARTS = 65_536
+HOT_PARTS = 8192
 
 
 def rows_per_key(df: DataFrame, key: str, count: str = "rows") -> DataFrame:
@@ -19,23 +20,33 @@ def rows_per_key(df: DataFrame, key: str, count: str = "rows") -> DataFrame:
 
 
 def hot_keys(frequency: DataFrame, key: str, count: str) -> DataFrame:
-    """Keys, but null, with more than 1/HOT_PARTS of all rows: fewer than HOT_PARTS of them exist."""
-    keyed = frequency.filter(F.col(key).isNotNull())
-    total = keyed.agg(F.sum(count).alias("total"))
-    return keyed.filter(F.col(count) * HOT_PARTS > total.scalar()).select(key)
+    """`hot key` and `parts` of the keys, null among them, with more than 1/HOT_PARTS of all rows."""
+    total = frequency.agg(F.sum(count).alias("total"))
+    share = F.col(count) * HOT_PARTS / total.scalar()
+    hot = frequency.select(F.col(key).alias("hot key"), F.ceil(share).cast("int").alias("parts"))
+    return hot.filter(F.col("parts") > 1)
 
 
-def join_one_per_key(many: DataFrame, one: DataFrame, frequency: DataFrame, key: str, count: str) -> DataFrame:
-    """Inner join of `many` with `one`, which holds each key once.
+def join_one_per_key(
+    many: DataFrame, one: DataFrame, frequency: DataFrame, key: str, count: str, how: str = "inner", nulls: bool = False
+) -> DataFrame:
+    """Join of `many` with `one`, which holds each key once; `how` is inner or left.
 
-    `frequency` counts the rows of `many` by key; it must hold every key of `many` but null.
+    `frequency` counts the rows of `many` by key. With `nulls`, a null key meets the null key.
     """
-    hot = hot_keys(frequency, key, count).withColumnRenamed(key, "hot key")
+    hot = F.broadcast(hot_keys(frequency, key, count))
+    parts = F.coalesce(F.col("parts"), F.lit(1))
+
+    def same(left, right):
+        return left.eqNullSafe(right) if nulls else left == right
+
+    spread = many.join(hot, same(F.col(key), F.col("hot key")), "left").withColumn(
+        "part", F.when(parts > 1, F.pmod(F.xxhash64(*many.columns), parts)).otherwise(F.lit(0)).cast("int")
+    )
     values = one.withColumnRenamed(key, "value key")
-    # inner and outer joins, unlike semi and anti joins, are not pushed below an aggregate that
-    # makes `many` or `one`, so that its exchange is shared by all branches
-    hot_values = values.join(F.broadcast(hot), F.col("value key") == F.col("hot key")).drop("hot key")
-    hot_rows = many.join(F.broadcast(hot_values), F.col(key) == F.col("value key"))
-    others = many.join(F.broadcast(hot), F.col(key) == F.col("hot key"), "left").filter(F.col("hot key").isNull())
-    cold_rows = others.drop("hot key").join(values, F.col(key) == F.col("value key"))
-    return hot_rows.unionByName(cold_rows).drop("value key")
+    copies = values.join(hot, same(F.col("value key"), F.col("hot key")), "left").withColumn(
+        "value part", F.explode(F.sequence(F.lit(0), parts - 1))
+    )
+    matching = same(F.col(key), F.col("value key")) & (F.col("part") == F.col("value part"))
+    joined = spread.drop("hot key", "parts").join(copies.drop("hot key", "parts"), matching, how)
+    return joined.drop("value key", "value part", "part")

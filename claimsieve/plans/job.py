@@ -17,11 +17,11 @@ from claimsieve.operators.dedupe import one_row_per_audited_key
 from claimsieve.operators.quality import duplicate_keys, null_profile
 from claimsieve.operators.typed import conform
 from claimsieve.plans.cleansing import apply_rules, normalise
-from claimsieve.plans.sizing import size_tasks
+from claimsieve.plans.sizing import SHUFFLE_TARGET, SPLIT_TARGET, sized_tasks
 from claimsieve.plans.usecases import USE_CASES, answer
 from claimsieve.sinks.writers import export_csv, register_views, write_table
 from claimsieve.sources.layout import Layout
-from claimsieve.sources.readers import read_csv, read_raw
+from claimsieve.sources.readers import read_export, read_raw
 from claimsieve.sources.specs import TABLES, TableSpec
 
 CONCURRENT_WRITES = 4
@@ -80,7 +80,7 @@ def clean_tables(spark: SparkSession, layout: Layout, csv: bool = False) -> dict
     tables = {}
     for name, spec in TABLES.items():
         path = layout.clean(name)
-        source = read_csv(spark, path) if csv else spark.read.schema(spec.schema).parquet(path)
+        source = read_export(spark, path) if csv else spark.read.schema(spec.schema).parquet(path)
         tables[name] = conform(source, spec.schema, text_input=csv)
     return tables
 
@@ -127,14 +127,17 @@ def run(
     weight_scale: int | None = None,
     csv: bool = False,
     copy_core: bool = False,
+    shuffle_target: int = SHUFFLE_TARGET,
+    split_target: int = SPLIT_TARGET,
 ) -> None:
     """Everything, from the raw folder to the output tables.
 
-    A CSV clean layer is loaded into typed core tables. A Parquet one is typed already and read in
-    place, unless `copy_core` asks for a second copy.
+    A CSV clean layer is loaded into typed core tables. A Parquet one is typed already and read in place, unless
+    `copy_core` asks for a second copy. The targets are bytes per shuffle partition and per input split; the session's
+    settings are as before when the job ends.
     """
-    size_tasks(spark, layout.raw(""))
-    cleanse(spark, layout, json_layout=json_layout, csv_export=csv)
-    core = load_core(spark, layout, csv) if csv or copy_core else open_core(spark, layout)
-    register_allocation_view(core, weight_scale)
-    write_outputs(core, layout, fixed_day(spark, as_of), weight_scale)
+    with sized_tasks(spark, layout.raw(""), shuffle_target, split_target):
+        cleanse(spark, layout, json_layout=json_layout, csv_export=csv)
+        core = load_core(spark, layout, csv) if csv or copy_core else open_core(spark, layout)
+        register_allocation_view(core, weight_scale)
+        write_outputs(core, layout, fixed_day(spark, as_of), weight_scale)

@@ -1,6 +1,7 @@
 """UC01..UC13 over the clean tables.
 
-Each function takes the tables it reads and returns its answer in the declared order. Facts are
+Each function takes the tables it reads and returns its answer; a stored table has no order, so orders belong to the
+read-backs. Facts are
 counted or summed by their key before they meet a dimension, so a key that holds a large part of
 a table is reduced on the map side and no join sees more than one fact row per key. Results are
 the same as for joining first, also when a dimension key occurs more than once.
@@ -22,7 +23,6 @@ from claimsieve.functions import fixed_values as fixed
 from claimsieve.functions.ages import AsOf, calendar_age, older_than, within_past_year, younger_than
 from claimsieve.functions.rules import contains_ignoring_case, money_or_zero
 from claimsieve.operators.allocation import TOTAL, allocate_to_groups
-from claimsieve.operators.ordering import ordered
 from claimsieve.operators.skew import join_one_per_key, rows_per_key
 
 MONEY_RESULT = TOTAL
@@ -31,7 +31,7 @@ MONEY_RESULT = TOTAL
 def claims_per_disease(claims: DataFrame) -> DataFrame:
     """UC01: claims per disease; claims without a disease are a group of their own."""
     counts = claims.groupBy("disease_name").agg(F.count("*").alias("total_claims"))
-    return ordered(counts, ("-total_claims", "disease_name"))
+    return counts
 
 
 def young_subscribers(
@@ -69,7 +69,7 @@ def subgroups_per_group(groups: DataFrame, bridge: DataFrame, unique_keys: bool
     counts = bridge.groupBy("grp_id").agg(_distinct("subgrp_id", unique_keys).alias("subgroup_count"))
     named = counts.join(groups.select("grp_id", "grp_name"), "grp_id")
     merged = named.groupBy("grp_id", "grp_name").agg(F.max("subgroup_count").alias("subgroup_count"))
-    return ordered(merged, ("-subgroup_count", "grp_id"))
+    return merged
 
 
 def patients_per_hospital(hospitals: DataFrame, patients: DataFrame, unique_keys: bool = False) -> DataFrame:
@@ -77,7 +77,7 @@ def patients_per_hospital(hospitals: DataFrame, patients: DataFrame, unique_keys
     counts = patients.groupBy("hospital_id").agg(_distinct("patient_id", unique_keys).alias("patient_count"))
     named = counts.join(hospitals.select("hospital_id", "hospital_name"), "hospital_id")
     merged = named.groupBy("hospital_id", "hospital_name").agg(F.max("patient_count").alias("patient_count"))
-    return ordered(merged, ("-patient_count", "hospital_id"))
+    return merged
 
 
 def subscriptions_per_subgroup(subscribers: DataFrame, subgroups: DataFrame) -> DataFrame:
@@ -85,7 +85,7 @@ def subscriptions_per_subgroup(subscribers: DataFrame, subgroups: DataFrame) ->
     counts = subscribers.groupBy("subgrp_id").agg(F.count("*").alias("subscription_count"))
     named = counts.join(subgroups.select("subgrp_id", "subgrp_name"), "subgrp_id", "left")
     merged = named.groupBy("subgrp_id", "subgrp_name").agg(F.sum("subscription_count").alias("subscription_count"))
-    return ordered(merged, ("-subscription_count", "subgrp_id"))
+    return merged
 
 
 def rejected_claims(claims: DataFrame, status: str = "Rejected") -> DataFrame:
@@ -98,7 +98,7 @@ def claims_per_city(claims: DataFrame, patients: DataFrame, unique_keys: bool =
     per_patient = claims.groupBy("patient_id").agg(F.count("*").alias("claims"))
     located = _attach(per_patient, patients.select("patient_id", "city"), "patient_id", unique_keys)
     counts = located.groupBy("city").agg(F.sum("claims").alias("total_claims"))
-    return ordered(counts, ("-total_claims", "city"))
+    return counts
 
 
 def policy_type_preference(
@@ -110,7 +110,7 @@ def policy_type_preference(
     typed = per_group.join(groups.select("grp_id", "grp_type"), "grp_id")
     weighted = F.round(F.sum("subscriptions"), 2).cast(MONEY_RESULT)
     counts = typed.groupBy("grp_type").agg(weighted.alias("weighted_subscription_count"))
-    return ordered(counts, ("-weighted_subscription_count", "grp_type"))
+    return counts
 
 
 def average_premium(subscribers: DataFrame, subgroups: DataFrame) -> DataFrame:
@@ -136,23 +136,25 @@ def group_profitability(
 ) -> DataFrame:
     """UC10: a year of premium less the claims that were not rejected, per group.
 
-    Premium and claims are both summed per subgroup first and spread over the groups in one pass.
+    Every subscriber takes the sum of its claims along, so that members, premium and claims are summed per subgroup in
+    one pass over the subscribers and spread over the groups in another.
     Profit is the difference of the two rounded sums. Groups with neither are left out.
     """
-    members = subscribers.groupBy("subgrp_id").agg(F.count("*").alias("members"))
+    accepted = claims.filter(F.col("claim_or_rejected") == status)
+    per_subscriber = accepted.groupBy("sub_id").agg(F.sum(money_or_zero(F.col("claim_amount"))).alias("claimed"))
+    slim = subscribers.select("sub_id", "subgrp_id")
+    if unique_keys:
+        insured = slim.join(per_subscriber, "sub_id", "left")
+    else:
+        insured = join_one_per_key(slim, per_subscriber, rows_per_key(slim, "sub_id"), "sub_id", "rows", "left")
+    members = insured.groupBy("subgrp_id").agg(
+        F.count("*").alias("members"), F.coalesce(F.sum("claimed"), F.lit(0)).cast(TOTAL).alias("claimed")
+    )
     monthly = subgroups.groupBy("subgrp_id").agg(F.sum(money_or_zero(F.col("monthly_premium"))).alias("monthly"))
     yearly = F.coalesce(F.col("monthly"), F.lit(0)) * fixed.MONTHS_PER_YEAR
     # a left join: a subgroup without a premium row counts with premium 0
     priced = members.join(monthly, "subgrp_id", "left")
-    premiums = priced.select("subgrp_id", (F.col("members") * yearly).cast(TOTAL).alias("premium"))
-
-    accepted = claims.filter(F.col("claim_or_rejected") == status)
-    per_subscriber = accepted.groupBy("sub_id").agg(F.sum(money_or_zero(F.col("claim_amount"))).alias("claimed"))
-    insured = _attach(per_subscriber, subscribers.select("sub_id", "subgrp_id"), "sub_id", unique_keys)
-    claimed = insured.groupBy("subgrp_id").agg(F.sum("claimed").cast(TOTAL).alias("claimed"))
-
-    # every claim reaches its subgroup through a subscriber, so no subgroup is lost on the left side
-    per_subgroup = premiums.join(claimed, "subgrp_id", "left").fillna(0, ["claimed"])
+    per_subgroup = priced.select("subgrp_id", (F.col("members") * yearly).cast(TOTAL).alias("premium"), "claimed")
     per_group = allocate_to_groups(bridge, per_subgroup, ["premium", "claimed"], weight_scale)
     # groups that got no share are 0 on both sides and would be filtered out: an inner join suffices
     rounded = groups.select("grp_id", "grp_name").join(
@@ -165,7 +167,7 @@ def group_profitability(
     )
     premium, claim = F.col("total_allocated_premium"), F.col("total_allocated_claim_amount")
     result = rounded.filter((premium != 0) | (claim != 0)).withColumn("profit", (premium - claim).cast(MONEY_RESULT))
-    return ordered(result, ("-profit", "grp_id"))
+    return result
 
 
 def minor_cancer_patients(

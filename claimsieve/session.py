@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
+_own_folders: set[str] = set()
+
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -30,13 +31,16 @@ def local_session(cpus: int | str = "*", **extra: str) -> SparkSession:
 
 
 def scratch_folder(spark: SparkSession) -> str:
-    """A fresh path below the shared folder named by `spark.checkpoint.dir`.
+    """A fresh path in the session's own folder below `spark.checkpoint.dir`, or below the warehouse where that is unset.
 
-    A machine-local folder is used only in local mode, where driver and executors are one machine.
+    Both are folders that every executor reaches. The session's folder goes when its driver ends.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-        shared = tempfile.mkdtemp(prefix="claimsieve-")
-    return f"{shared.rstrip('/')}/{uuid.uuid4().hex}"
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    folder = f"{base.rstrip('/')}/claimsieve-{spark.sparkContext.applicationId}"
+    if folder not in _own_folders:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        store = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        store.mkdirs(path)
+        store.deleteOnExit(path)
+        _own_folders.add(folder)
+    return f"{folder}/{uuid.uuid4().hex}"

@@ -17,11 +17,12 @@ def write_table(df: DataFrame, path: str) -> None:
 
 
 def export_csv(df: DataFrame, path: str) -> None:
-    """Headed CSV that reads back unchanged: quotes doubled, outer blanks kept, null and '' apart."""
+    """Headed CSV that `read_export` reads back unchanged: quotes doubled, blanks and line breaks kept, null and '' apart."""
     (
         df.write.mode("overwrite")
         .option("header", True)
         .option("escape", '"')
+        .option("lineSep", "\n")
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
         .option("emptyValue", '""')

@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from claimsieve.functions.rules import named
 from claimsieve.sources.specs import TableSpec
 
-WHOLE_FILE_BYTES = 256 << 20
+
+def rows_per_file(df: DataFrame, file: Column | None = None) -> DataFrame:
+    """SRC-05: the files that a table is read from, with their rows; no column is read."""
+    file = F.col("_metadata.file_path") if file is None else file
+    return df.groupBy(file.alias("file")).agg(F.count("*").alias("rows"))
 
 
 def staged_files(spark: SparkSession, path: str) -> DataFrame:
@@ -19,18 +23,26 @@ def staged_files(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Headed CSV, every column text, names exactly as in the header, blanks kept.
+    """Headed CSV as delivered, every column text, names exactly as in the header, blanks kept.
 
-    Files of one folder must agree on the header; a differing one fails the read instead of being
-    matched by position.
+    Files are split like text, so a delivered value cannot hold a line break; `read_export` reads values that do. Files
+    of one folder must agree on the header; a differing one fails the read instead of being matched by position. A row
+    with too few values is filled with nulls and surplus values are cut, as delivered files have such rows.
     """
-    return (
-        spark.read.option("header", True)
-        .option("inferSchema", False)
-        .option("enforceSchema", False)
-        .option("escape", '"')
-        .csv(path)
-    )
+    return _csv(spark).csv(path)
+
+
+def read_export(spark: SparkSession, path: str) -> DataFrame:
+    """CSV that `export_csv` wrote: quoted values may hold line breaks of any kind.
+
+    One task reads a file, and a file is what one of our tasks wrote.
+    """
+    return _csv(spark).option("multiLine", True).option("lineSep", "\n").csv(path)
+
+
+def _csv(spark: SparkSession) -> DataFrameReader:
+    options = {"header": True, "inferSchema": False, "enforceSchema": False, "escape": '"'}
+    return spark.read.options(**options)
 
 
 def read_json_lines(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
@@ -39,37 +51,63 @@ def read_json_lines(spark: SparkSession, path: str, schema: StructType) -> DataF
 
 
 def read_json_whole(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """Any JSON layout; one task per file."""
+    """Any JSON layout, one value per file, whatever its size; one task per file."""
     return spark.read.schema(schema).option("multiLine", True).option("mode", "FAILFAST").json(path)
 
 
+def read_json_array(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """One array per file, whatever its size; one task per file. A damaged file stops the job.
+
+    The parser refuses what is cut or lacks a comma, but takes the first of several bare objects for the whole file. So
+    every file is also checked to start with a bracket, in a branch of the same query that yields no rows: cut at
+    brackets, such a file has a blank piece.
+    """
+    pieces = spark.read.option("lineSep", "[").text(path).select("value", F.col("_metadata.file_path").alias("file"))
+    opened = pieces.groupBy("file").agg(F.bool_or(F.col("value").rlike(r"^[\s\uFEFF]*$")).alias("opened"))
+    refused = F.when(~F.col("opened"), _refuse("no bracket at the start", F.col("file")).cast("string"))
+    return read_json_whole(spark, path, schema).unionByName(_no_rows(opened.filter(refused.isNotNull()), schema))
+
+
+def _refuse(reason: str, file: Column) -> Column:
+    return F.raise_error(F.concat(F.lit(f"not an array of objects ({reason}): "), file))
+
+
+def _no_rows(df: DataFrame, schema: StructType) -> DataFrame:
+    return df.select(*(F.lit(None).cast(field.dataType).alias(field.name) for field in schema))
+
+
 def read_json_split(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """One array of flat objects per file, each file read by many tasks.
+    """One array of flat objects per file, each file read by many tasks: an explicit choice for huge files.
 
-    The text source splits files at the closing brace and each piece is parsed as one object. A
-    brace inside a text value or a nested object leaves a piece that is no valid JSON; such a file
-    is refused with an error, never misread.
+    The text source splits files at the closing brace and each piece is parsed as one object. A file is refused unless
+    it has one opening and one closing bracket and a comma before every object but the first; a cut file lacks its
+    closing bracket. A brace inside a value or a nested object leaves a piece that is no valid JSON and is refused too.
+    The counts per file are a branch of the same query that yields no rows.
     """
-    pieces = spark.read.option("lineSep", "}").text(path)
+    pieces = spark.read.option("lineSep", "}").text(path).select("value", F.col("_metadata.file_path").alias("file"))
+    value = F.col("value")
+    empty = value.rlike(r"^[\s\uFEFF]*\[\s*\]\s*$")
+    closing = value.rlike(r"^\s*\]\s*$") | empty
+    first = value.rlike(r"^[\s\uFEFF]*\[\s*\{")
+    following = value.rlike(r"^\s*,\s*\{")
+
     body = F.regexp_replace("value", r"^[\s\[,\uFEFF]+", "")
-    closing = body.rlike(r"^[\s\]]*$")
-    parsed = F.from_json(F.concat(body, F.lit("}")), schema, {"mode": "FAILFAST"})
-    return pieces.filter(~closing).select(F.inline(F.array(parsed)))
+    text = F.when(first | following, F.concat(body, F.lit("}"))).otherwise(
+        _refuse("no comma or bracket before an object", F.col("file"))
+    )
+    parsed = F.from_json(text, schema, {"mode": "FAILFAST"})
+    rows = pieces.filter(~closing).select(F.inline(F.array(parsed)))
 
+    def number(condition: Column) -> Column:
+        return F.sum(condition.cast("int"))
 
-def read_json_array(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """One array per file: files of a task's size are read whole, larger ones in splits."""
-    largest = staged_files(spark, path).agg(F.max("length")).first()[0] or 0
-    reader = read_json_whole if largest <= WHOLE_FILE_BYTES else read_json_split
-    return reader(spark, path, schema)
-
-
-JSON_READERS = {
-    "array": read_json_array,
-    "lines": read_json_lines,
-    "split": read_json_split,
-    "whole": read_json_whole,
-}
+    brackets = pieces.groupBy("file").agg(number(first | empty).alias("opened"), number(closing).alias("closed"))
+    whole = (F.col("opened") == 1) & (F.col("closed") == 1)
+    refused = F.when(~whole, _refuse("brackets do not match", F.col("file")).cast("string"))
+    return rows.unionByName(_no_rows(brackets.filter(refused.isNotNull()), schema))
+
+
+JSON_READERS = {"array": read_json_array, "whole": read_json_whole, "lines": read_json_lines, "split": read_json_split}
 
 
 def read_raw(spark: SparkSession, spec: TableSpec, path: str, json_layout: str = "array") -> DataFrame:

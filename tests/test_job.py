@@ -10,7 +10,7 @@ from claimsieve.__main__ import main
 from claimsieve.operators.quality import duplicate_keys
 from claimsieve.plans import job
 from claimsieve.plans.readback import READ_BACKS, read_back
-from claimsieve.plans.sizing import MIB, size_tasks, task_sizes
+from claimsieve.plans.sizing import MIB, sized_tasks, task_sizes
 from claimsieve.plans.usecases import USE_CASES
 from claimsieve.sources.layout import Layout
 from claimsieve.sources.specs import TABLES
@@ -147,7 +147,7 @@ def test_reports(spark, finished):
 
 def test_command_line(spark, tmp_path):
     layout = write_raw(tmp_path)
-    main(["--base", layout.base, "--as-of", "2026-06-30", "--weight-scale", "7", "--json-layout", "whole"])
+    main(["--base", layout.base, "--as-of", "2026-06-30", "--weight-scale", "7", "--json-layout", "array"])
     assert [tuple(row) for row in read_back(spark, layout, "va10").collect()] == EXPECTED["va10"]
 
 
@@ -167,11 +167,27 @@ def test_empty_tables(spark, tmp_path, csv):
 def test_task_sizes_grow_with_the_input():
     small, large = task_sizes(10 * MIB), task_sizes(100 << 40)
     assert small == {"spark.sql.shuffle.partitions": 1, "spark.sql.files.maxPartitionBytes": 128 * MIB}
-    assert large["spark.sql.shuffle.partitions"] == 50_000
-    assert 1000 * MIB < large["spark.sql.files.maxPartitionBytes"] < 1100 * MIB
+    assert large == {"spark.sql.shuffle.partitions": 409_600, "spark.sql.files.maxPartitionBytes": 128 * MIB}
+    assert task_sizes(100 << 40, 1 << 30, 1 << 29)["spark.sql.shuffle.partitions"] == 102_400
 
 
-def test_settings_are_never_lowered(spark, finished):
-    before = spark.conf.get("spark.sql.shuffle.partitions")
-    size_tasks(spark, finished.raw(""))
-    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+def test_settings_are_never_lowered_and_put_back(spark, finished):
+    keys = "spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes"
+    before = [spark.conf.get(key) for key in keys]
+    with sized_tasks(spark, finished.raw("")):
+        assert [spark.conf.get(key) for key in keys] == before
+    with sized_tasks(spark, finished.raw(""), shuffle_target=10):
+        assert int(spark.conf.get(keys[0])) > int(before[0])
+    assert [spark.conf.get(key) for key in keys] == before
+
+
+def test_line_breaks_pass_through_the_delimited_layer(spark, tmp_path):
+    layout = write_raw(tmp_path)
+    path = tmp_path / "raw" / "claims.json"
+    claims = json.loads(path.read_text())
+    claims[0]["disease_name"] = 'one\ntwo, "three"\r\nfour'
+    path.write_text(json.dumps(claims))
+    job.run(spark, layout, as_of=AS_OF, csv=True)
+    stored = spark.read.parquet(layout.core("claims"))
+    assert 'one\ntwo, "three"\r\nfour'.title().lower() in {(r.disease_name or "").lower() for r in stored.collect()}
+    assert stored.count() == spark.read.parquet(layout.stage("claims")).select("claim_id").distinct().count()

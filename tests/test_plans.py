@@ -67,17 +67,47 @@ def test_top_k_is_one_operator(t):
     assert "TakeOrderedAndProject(limit=10" in physical(bound.readback.view("va01", bound.uc01(t)))
 
 
-def test_dedupe_shuffles_once_after_a_partial_aggregate(t):
+def test_dedupe_limits_rows_before_its_one_shuffle(t):
     plan = physical(one_row_per_key(t("lineitem"), ["l_orderkey"]))
     assert plan.count("Exchange ") == 1
-    assert plan.index("Exchange ") < plan.index("partial_min(struct")
+    before, after = plan.split("Exchange ")
+    assert re.search(r"WindowGroupLimit.*, Final", before) and re.search(r"WindowGroupLimit.*, Partial", after)
 
 
 def test_counts_are_combined_before_the_join(t):
     plan = physical(bound.uc05(t))
     assert plan.index("Join") < plan.index("partial_count(1)")
-    # one exchange for the counts, one for the broadcast, one for the final order
-    assert len(re.findall(r"Exchange (hash|range)partitioning", plan)) == 2
+    # one exchange for the counts; the other one is the broadcast
+    assert len(re.findall(r"Exchange (hash|range)partitioning", plan)) == 1
+
+
+def scans(df, column):
+    """Scans of files that hold the column in the plan that ran."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    return len(re.findall(rf"FileScan parquet \[[^\]]*{column}", plan))
+
+
+def test_profitability_cleans_each_table_once(spark):
+    """Five tables in the clean layer; the bridge's rows are counted and joined, from one exchange or two reads."""
+    tables = {name: spark.createDataFrame([], spec.schema) for name, spec in TABLES.items()}
+    plan = physical(uc.answer("uc10_group_profitability", tables, unique_keys=True))
+    subscribers = [line for line in plan.splitlines() if "sub_id" in line and "Scan" in line and "subgrp_id" in line]
+    assert len(subscribers) == 1
+
+
+def test_wide_profitability_reads_lines_three_times(t):
+    assert scans(bound.uc10_wide(t), "l_partkey") <= 3
+
+
+def test_answers_are_not_sorted(t):
+    for name, make in bound.VIEWS.items():
+        assert "rangepartitioning" not in physical(make(t)), name
+
+
+@pytest.mark.parametrize("name", ["uc12", "uc13"])
+def test_hot_keys_of_the_wide_filters_are_cut(t, name):
+    assert "hot key" in physical(getattr(bound, name)(t))
 
 
 def skewed_bridge(spark):
@@ -139,4 +169,20 @@ def test_the_hot_list_is_bounded(spark):
     frequency = spark.range(200_000).select(F.col("id").alias("k"), F.lit(1).alias("n"))
     assert skew.hot_keys(frequency, "k", "n").count() == 0
     few = spark.range(1000).select(F.col("id").alias("k"), F.lit(5).alias("n"))
-    assert skew.hot_keys(few, "k", "n").count() == 1000
+    parts = skew.hot_keys(few, "k", "n")
+    assert parts.count() == 1000
+    assert parts.agg(F.sum("parts")).first()[0] <= 2 * skew.HOT_PARTS
+
+
+@pytest.mark.parametrize("hot_parts", [1, 3, 8192])
+def test_left_join_with_repeated_and_null_keys(spark, monkeypatch, hot_parts):
+    monkeypatch.setattr(skew, "HOT_PARTS", hot_parts)
+    many = spark.createDataFrame([(k, i) for i, k in enumerate([1] * 50 + [2, 3, None, None])], "k int, v int")
+    one = spark.createDataFrame([(1, "a"), (3, "c"), (4, "d"), (None, "n")], "k int, w string")
+    frequency = skew.rows_per_key(many, "k")
+    plain = sorted(map(tuple, many.join(one, "k", "left").collect()), key=str)
+    split = skew.join_one_per_key(many, one, frequency, "k", "rows", "left")
+    assert sorted(map(tuple, split.select("k", "v", "w").collect()), key=str) == plain
+    null_safe = skew.join_one_per_key(many, one, frequency, "k", "rows", nulls=True)
+    assert null_safe.filter("k IS NULL AND w = 'n'").count() == 2
+    assert null_safe.count() == 53
