@@ -26,10 +26,10 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimsieve.llm.shared import stored
+from claimsieve.llm.shared import marked, stored
 
 REVISIT_BYTES = 1000
-FILE_BYTES = 16 << 20
+FILE_BYTES = 8 << 20
 SHARD_BYTES = 64 << 20
 READ_BYTES = 64 << 10
 SPANS = 4096
@@ -42,8 +42,8 @@ def with_revisits(pages: DataFrame) -> DataFrame:
     """page_id, url, payload, payload_bytes, payload_digest, record_type, refers_to.
 
     A null html is an empty payload. Among equal payloads a null page id counts as the smallest; repeated rows of the
-    largest id are all responses. Only (digest, largest id) of long payloads that occur under different ids travels to
-    the join, and a digest shared by a third of all pages is summed up on the map side first.
+    largest id are all responses. Only (digest, largest id) of long payloads that occur more than once travels to the
+    join, and a digest shared by a third of all pages is summed up on the map side first.
     """
     digested = pages.select(
         "page_id",
@@ -59,21 +59,25 @@ def with_revisits(pages: DataFrame) -> DataFrame:
         .filter((F.col("rows") > 1) & F.col("kept").isNotNull())
         .select("digest", "kept")
     )
-    # short payloads have no partner and stay out of the join
-    joined = long.join(largest, long["payload_digest"] == largest["digest"], "left").drop("digest")
-    short = digested.filter(F.col("payload_bytes") < REVISIT_BYTES).withColumn("kept", F.lit(None).cast("long"))
+    # payloads that no other page shares hit no mark of a repeated digest and stay out of the join, as short ones do
+    near, hit = marked(digested, F.xxhash64("payload_digest"), largest, F.xxhash64("digest"))
+    shared = hit & (F.col("payload_bytes") >= REVISIT_BYTES)
+    columns = digested.columns
+    joined = near.filter(shared).select(*columns).join(largest, F.col("payload_digest") == F.col("digest"), "left")
+    alone = near.filter(~shared).select(*columns).withColumn("kept", F.lit(None).cast("long"))
     older = F.col("kept").isNotNull() & F.coalesce(F.col("page_id") < F.col("kept"), F.lit(True))
-    marked = joined.unionByName(short).withColumns(
+    typed = joined.drop("digest").unionByName(alone).withColumns(
         {
             "record_type": F.when(older, F.lit("revisit")).otherwise(F.lit("response")),
             "refers_to": F.when(older, F.col("kept")),
         }
     )
-    return marked.drop("kept")
+    return typed.drop("kept")
 
 
-def with_shards(records: DataFrame, shard_bytes: int = SHARD_BYTES) -> DataFrame:
-    """The records with `shard` and `row_hash`; shards follow each other in the order of (page id, row hash).
+def with_shards(records: DataFrame, shard_bytes: int = SHARD_BYTES) -> tuple[DataFrame, int]:
+    """The records with `shard` and `row_hash`, and how many shards there may be; shards follow each other in the order
+    of (page id, row hash).
 
     The ids between the smallest and the largest are cut into equal spans, null ids being a span of their own. The
     driver sees a count of bytes per span and lays neighbouring spans together. There are SPANS spans, or four per shard
@@ -100,7 +104,7 @@ def with_shards(records: DataFrame, shard_bytes: int = SHARD_BYTES) -> DataFrame
     share = (F.shiftright("row_hash", 33) + (1 << 30)) * F.col("parts")
     placed = spanned.join(F.broadcast(table), "span")
     shard_of = F.col("first_shard") + F.shiftright(share, 31)
-    return placed.withColumn("shard", shard_of).drop("span", "first_shard", "parts")
+    return placed.withColumn("shard", shard_of).drop("span", "first_shard", "parts"), shard + 1
 
 
 def _member(kind: str, headers: list[tuple[str, str]], block: bytes) -> bytes:
@@ -201,9 +205,12 @@ def write_archives(
         names = [field.split(" ")[0] for field in MANIFEST.split(", ")]
         yield pd.DataFrame([row for row in done if row], columns=names)
 
-    sharded = with_shards(with_revisits(pages), shard_bytes).withColumn("page_id", F.col("page_id").cast("string"))
+    records, shards = with_shards(with_revisits(pages), shard_bytes)
+    sharded = records.withColumn("page_id", F.col("page_id").cast("string"))
     numeric = F.col("page_id").cast("long")
-    ordered = sharded.repartition("shard").sortWithinPartitions("shard", numeric, "row_hash", "url")
+    # a task per shard
+    by_shard = sharded.repartitionById(shards, F.col("shard").cast("int"))
+    ordered = by_shard.sortWithinPartitions("shard", numeric, "row_hash", "url")
     wanted = "shard", "page_id", "url", "payload", "record_type", F.col("refers_to").cast("string").alias("refers_to")
     return stored(ordered.select(*wanted).mapInPandas(write, MANIFEST))
 
