@@ -33,7 +33,7 @@ CURVES = 6
 DIRECTIONS = 8
 BITS = 7
 WINDOW = 0.24
-BLOCK_ROWS = 4096
+BLOCK_ROWS = 16_384
 BLOCK_QUERIES = 4096
 SEED = 5
 
