@@ -33,8 +33,8 @@ WORDS = 5
 SIMILARITY = 0.8
 BANDS = 36
 ROWS = 7
-BLOCK_CHARS = 2_000_000
-MEMO_WORDS = 1_000_000
+BLOCK_CHARS = 1_000_000
+MEMO_WORDS = 150_000
 ARRIVALS = 50_000
 
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
