@@ -56,9 +56,6 @@ def repeated_words(words: Column) -> Column:
     whose window equals a neighbour's are kept in order, and each covers the words up to the next one, at most three.
     """
 
-    def window(word, place):
-        return F.concat_ws(" ", word, F.get(words, place + 1), F.get(words, place + 2))
-
     def covered(places):
         def width(place, i):
             return F.least(F.lit(WINDOW), F.coalesce(F.get(places, i + 1) - place, F.lit(WINDOW)))
@@ -79,8 +76,15 @@ def repeated_words(words: Column) -> Column:
         unique = F.size(F.array_distinct(windows)) == F.size(windows)
         return F.when(unique, F.lit(0)).otherwise(bound(in_order, covered))
 
-    starts = F.slice(words, 1, F.greatest(F.size(words) - (WINDOW - 1), F.lit(0)))
-    return bound(F.transform(starts, window), count)
+    def windows(all_words):
+        def window(word, place):
+            return F.concat_ws(" ", word, F.get(all_words, place + 1), F.get(all_words, place + 2))
+
+        starts = F.slice(all_words, 1, F.greatest(F.size(all_words) - (WINDOW - 1), F.lit(0)))
+        return bound(F.transform(starts, window), count)
+
+    # a filter on the result is pushed below the projection that splits words; bound, they are split once even then
+    return bound(words, windows)
 
 
 def _share(part: Column, whole: Column) -> Column:
