@@ -36,7 +36,7 @@ def test_base_counts(spark):
 
 def test_clean_prose_is_kept_and_junk_is_not(spark):
     words = WORDY.replace(".", "").split() + [f"thing{chr(97 + i)}" for i in range(26)]
-    prose = " ".join(random.Random(1).choice(words) for _ in range(150)) + "."
+    prose = " ".join(random.Random(1).choices(words, k=150)) + "."
     table = " | ".join(f"cell{i}" for i in range(200))
     shouting = " ".join(f"WORD{i} THE!!" for i in range(80))
     kept = {r.doc_id: r.kept for r in quality_rules.judge(documents(spark, [(1, prose), (2, table), (3, shouting)])).collect()}
