@@ -160,10 +160,13 @@ def sketched(docs: DataFrame, bands: int, rows: int) -> DataFrame:
 def content_key(text: Column) -> Column:
     """The key that documents with the same words share; null without words."""
 
+    def of(text: str) -> bytes | None:
+        words = text.lower().split()
+        return xxhash.xxh3_128_digest(" ".join(words)) if words else None
+
     @F.pandas_udf("binary")
     def key(texts: pd.Series) -> pd.Series:
-        words = [text.lower().split() for text in texts]
-        return pd.Series([xxhash.xxh3_128_digest(" ".join(w)) if w else None for w in words], index=texts.index)
+        return texts.map(of)
 
     return key(F.coalesce(text, F.lit("")))
 
