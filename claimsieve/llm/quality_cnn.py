@@ -21,6 +21,9 @@ from pyspark.sql import functions as F
 
 from claimsieve.llm.shared import crc_of_id, sampled_labels
 
+# log-odds of a network that has learned nothing: on the good side, so that nobody is rejected
+UNLEARNED = 1.0
+
 
 @dataclass(frozen=True)
 class Settings:
@@ -180,11 +183,14 @@ def training_rows(docs: DataFrame, labels: DataFrame, training: Column, settings
 def train(docs: DataFrame, labels: DataFrame, training: Column, settings: Settings = Settings()) -> ByteNetwork:
     """A network fitted to the labelled rows that `training` (a condition on doc_id) allows.
 
-    Without a labelled row of either class it stays untrained and every score is near one half.
+    Without labelled rows of both classes among `docs` nothing can be learned: every score is the same and on the good
+    side, so no document is called bad.
     """
     rows = training_rows(docs, labels, training, settings).toPandas().sort_values("doc_id")
     network = ByteNetwork(settings)
-    if rows.empty:
+    if rows["label"].nunique() < 2:
+        network.weights["out"][:] = 0
+        network.weights["out bias"][:] = UNLEARNED
         return network
     chunks = [np.frombuffer(c, np.uint8).reshape(-1, settings.chunk) for c in rows["chunks"]]
     of_chunk = np.repeat(rows["label"].to_numpy(np.float32), [len(c) for c in chunks])
@@ -205,6 +211,7 @@ def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     held_out: crc32 of the id as text leaves 1 on division by 3; false for a null id. Null and empty texts get the
     score of a chunk of zeros. Repeated rows give equal rows; further columns are ignored whatever their names.
+    Where the training labels lack a class, every document is predicted 1.
     """
     held_out = F.coalesce(crc_of_id(F.col("doc_id")) % 3 == 1, F.lit(False))
     network = train(docs, labels, ~held_out)

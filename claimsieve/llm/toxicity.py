@@ -27,6 +27,8 @@ LENGTHS = (3, 4, 5)
 BITS = 20
 FACTOR = np.uint32(0x01000193)
 MIX = np.uint32(0x9E3779B1)
+# log-odds of a model that has learned nothing: on the clean side, so that nobody is rejected
+UNLEARNED = -1.0
 
 
 @dataclass(frozen=True)
@@ -125,9 +127,10 @@ def fit(features: list[np.ndarray], labels: np.ndarray, ratios: np.ndarray, sett
 def train(docs: DataFrame, labels: DataFrame, training: Column, settings: Settings = Settings()) -> Model:
     """A model fitted to the labelled rows that `training` (a condition on doc_id) allows.
 
-    Without labelled rows of both classes nothing can be learned and every score is one half.
+    Without labelled rows of both classes among `docs`, or without an n-gram that tells them apart, nothing can be
+    learned: every score is the same and on the clean side, so no document is called toxic.
     """
-    nothing = Model(np.zeros(1 << BITS), 0.0)
+    nothing = Model(np.zeros(1 << BITS), UNLEARNED)
     texts = stored(training_texts(docs, labels, training, settings))
     sizes = {row["label"]: row["n"] for row in texts.groupBy("label").agg(F.count("*").alias("n")).collect()}
     if len(sizes) < 2:
@@ -166,6 +169,7 @@ def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     held_out: crc32 of the id as text leaves 0 on division by 5; false for a null id. Null and empty texts hold no
     feature and get the bias alone. Repeated rows give equal rows; further columns are ignored whatever their names.
+    Where the training labels lack a class, every document is predicted 0.
     """
     held_out = F.coalesce(crc_of_id(F.col("doc_id")) % 5 == 0, F.lit(False))
     model = train(docs, labels, ~held_out)

@@ -16,14 +16,14 @@ from claimsieve.llm.shared import crc_of_id, stored, table
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the byte network rejects go."""
+    """Documents that the byte network rejects go; none where the labels of `docs` lack a class to learn from."""
     training = F.coalesce(crc_of_id(F.col("doc_id")) % 3 != 1, F.lit(True))
     network = quality_cnn.train(docs, table(spark, sf_dir, "labels"), training)
     return docs.filter(quality_cnn.quality(network, F.col("text")) >= 0.5)
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the n-gram classifier rejects go."""
+    """Documents that the n-gram classifier rejects go; none where the labels of `docs` lack a class to learn from."""
     training = F.coalesce(crc_of_id(F.col("doc_id")) % 5 != 0, F.lit(True))
     model = toxicity.train(docs, table(spark, sf_dir, "labels"), training)
     return docs.filter(toxicity.toxicity(model, F.col("text")) < 0.5)

@@ -76,6 +76,22 @@ def test_classifiers_on_odd_rows(spark, classifier):
     assert classifier.score_documents(df.limit(0), labels).count() == 0
 
 
+@pytest.mark.parametrize("label", [None, 0, 1])
+@pytest.mark.parametrize(("classifier", "kept"), [(quality_cnn, 1), (toxicity, 0)])
+def test_labels_without_both_classes_reject_nothing(spark, classifier, kept, label):
+    rows = ODD + random_texts(60)
+    labelled = [] if label is None else [(i, label, label) for i in range(300, 360)]
+    labels = spark.createDataFrame(labelled, "doc_id long, quality int, toxic int")
+    scored = classifier.score_documents(documents(spark, rows), labels).collect()
+    assert len(scored) == len(rows) and {r.predicted for r in scored} == {kept}
+
+
+def test_texts_that_no_ngram_tells_apart_are_not_toxic(spark):
+    labels = spark.createDataFrame([(i, 1, i % 2) for i in range(40)], "doc_id long, quality int, toxic int")
+    scored = toxicity.score_documents(documents(spark, [(i, None) for i in range(40)]), labels).collect()
+    assert {r.predicted for r in scored} == {0}
+
+
 def test_chunks_cover_the_whole_text():
     settings = quality_cnn.Settings()
     text = "".join(chr(33 + i % 90) for i in range(5000))

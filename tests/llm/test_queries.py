@@ -64,3 +64,15 @@ def test_pipeline_stages_on_odd_rows(spark):
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, nothing, SMALL).count() == 0
     assert secret_scan.scan(nothing).count() == 0
+
+
+@pytest.mark.parametrize("label", [None, 0, 1])
+@pytest.mark.parametrize("stage", ["quality", "toxicity"])
+def test_pipeline_stages_without_both_classes_keep_every_document(spark, tmp_path, stage, label):
+    from tests.llm.cases import bag, documents
+
+    labelled = [] if label is None else [(i, label, label) for i in range(1, 10)]
+    labels = spark.createDataFrame(labelled, "doc_id long, quality int, toxic int")
+    labels.write.parquet(str(tmp_path / "labels.parquet"))
+    docs = documents(spark)
+    assert bag(dict(corpus_pipeline.STAGES)[stage](spark, docs, str(tmp_path))) == bag(docs)
