@@ -8,6 +8,8 @@
 3. A query looks at the points whose rank is within `WINDOW / 2` of all points on either side, on each curve. Ranks fall
    into blocks of fixed size; the query visits the blocks that its window touches, and a block hands back its best.
    The answers of all blocks and curves merge, exact scores decide.
+4. Curves order directions, but a long vector is near to many queries whatever its direction. Where lengths differ, one
+   more order has the points by falling length, and every query looks at the first `WINDOW / 2` of all points there.
 
 Recall at a given window depends on how far the vectors are from a low-dimensional shape. For directions without any
 such shape a curve tells little, and only wide windows, which are a share of all points, reach a recall of 0.9. The
@@ -33,6 +35,8 @@ CURVES = 6
 DIRECTIONS = 8
 BITS = 7
 WINDOW = 0.24
+# the longest vector against the shortest, from which lengths count as uneven
+UNEVEN = 1.05
 BLOCK_ROWS = 16_384
 BLOCK_QUERIES = 4096
 SEED = 5
@@ -79,6 +83,11 @@ def curve_keys(vectors: np.ndarray, curve: int, directions: int, bits: int) -> n
     return hilbert_keys(cells, bits)
 
 
+def length_keys(vectors: np.ndarray) -> np.ndarray:
+    """Keys that put longer vectors first: the bits of a positive double grow with it."""
+    return -np.linalg.norm(vectors, axis=1).view(np.int64)
+
+
 def points(embeddings: DataFrame, keep: int) -> DataFrame:
     """point (the smallest id), vector and ids (the `keep` smallest, ascending) of every distinct usable vector.
 
@@ -159,6 +168,9 @@ def nearest(
     """
     slim = embeddings.select("vec_id", "embedding").filter(F.col("vec_id").isNotNull()).distinct()
     all_points = stored(points(slim, neighbours + 1))
+    length = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda total, c: total + c * c))
+    sizes = all_points.agg(F.count("*").alias("n"), F.min(length).alias("low"), F.max(length).alias("high")).first()
+    total, uneven = sizes["n"], sizes["n"] > 0 and sizes["high"] > UNEVEN * sizes["low"]
 
     def keys(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in pdfs:
@@ -167,10 +179,12 @@ def nearest(
                 for curve in range(curves):
                     own = curve_keys(vectors, curve, DIRECTIONS, BITS)
                     yield pd.DataFrame({"curve": curve, "key": own, "point": same["point"].to_numpy()})
+                if uneven:
+                    own = length_keys(vectors)
+                    yield pd.DataFrame({"curve": curves, "key": own, "point": same["point"].to_numpy()})
 
     keyed = all_points.select("point", "vector").mapInPandas(keys, "curve int, key long, point long")
     places = stored(ranked(keyed))
-    total = all_points.count()
     reach = math.ceil(total * window / 2)
 
     usable = slim.filter(F.col("vec_id") % query_step == 0).select(
@@ -185,14 +199,25 @@ def nearest(
     query_places = with_vector.join(asked, F.col("point") == F.col("query_point"))
     first = F.greatest(F.col("rank") - reach, F.lit(0))
     last = F.least(F.col("rank") + reach, F.lit(max(total - 1, 0)))
+    by_length = F.col("curve") == curves
+    if uneven:
+        held = held.filter(~by_length | (F.col("block") <= reach // block_rows))
+        first = F.when(by_length, F.lit(0)).otherwise(first)
+        last = F.when(by_length, F.lit(min(reach, total - 1))).otherwise(last)
     blocks = F.sequence((first / block_rows).cast("long"), (last / block_rows).cast("long"))
+    # a block with many visitors is copied for every group of them
+    queries = asked.count()
+    groups = F.lit(max(1, math.ceil(queries * (window + block_rows / max(total, 1)) / BLOCK_QUERIES)))
+    if uneven:
+        groups = F.when(by_length, F.lit(max(1, math.ceil(queries / BLOCK_QUERIES)))).otherwise(groups)
     visits = query_places.select(
-        F.col("curve").alias("on_curve"), "query_point", F.col("vector").alias("asked"), F.explode(blocks).alias("visited")
+        F.col("curve").alias("on_curve"),
+        "query_point",
+        F.col("vector").alias("asked"),
+        F.explode(blocks).alias("visited"),
+        F.pmod(F.xxhash64("query_point"), groups).alias("visitors"),
     )
-    # a block with many visitors is copied for every group of them
-    groups = max(1, math.ceil(asked.count() * (window + block_rows / max(total, 1)) / BLOCK_QUERIES))
-    visits = visits.withColumn("visitors", F.pmod(F.xxhash64("query_point"), F.lit(groups)))
-    held = held.withColumn("group", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(groups - 1).cast("long"))))
+    held = held.withColumn("group", F.explode(F.sequence(F.lit(0).cast("long"), (groups - 1).cast("long"))))
 
     def best(asked_rows: pd.DataFrame, held_rows: pd.DataFrame) -> pd.DataFrame:
         return block_best(asked_rows, held_rows, neighbours + 1)

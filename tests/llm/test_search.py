@@ -51,6 +51,15 @@ def test_recall(spark, vectors):
         assert listed == sorted(listed, key=lambda hit: (-hit[1], hit[0]))
 
 
+def test_recall_of_uneven_lengths(spark):
+    rng = np.random.default_rng(9)
+    rows = [(i, [float(c) for c in rng.normal(size=64) * np.exp(rng.normal())]) for i in range(3000)]
+    found = answers(hilbert_search.nearest(table(spark, rows), block_rows=32))
+    expected = brute_force(rows, 20, 20)
+    hits = sum(len({i for i, _ in found[q]} & {i for i, _ in expected[q]}) for q in expected)
+    assert hits >= 0.95 * 20 * len(expected)
+
+
 def test_whole_windows_find_everything(spark, vectors):
     some = vectors[:400] + [(1000 + i, vectors[7][1]) for i in range(50)] + [(2000, None), (None, vectors[1][1])]
     some += [(2020, []), (2040, [0.0] * 16), (2060, [float("nan")] * 16), (2080, [None] * 16), (2100, [float("inf")] * 16)]
