@@ -2,7 +2,8 @@
 
 1. Every document becomes its token ids and an end id; only longer ones are cut. A piece is known by its length.
 2. Lengths fall into bins of `WIDTH` tokens, rounded up, so that any choice of pieces that fills the bins also fits in
-   tokens. The histogram has at most `length / WIDTH` rows, whatever the number of documents.
+   tokens. With bins of one token, whatever fits by tokens also fits by bins. The histogram has at most `length / WIDTH`
+   rows, whatever the number of documents.
 3. Patterns of up to three bins that fill a sequence exactly are enumerated. Non-negative least squares finds how often
    each repeats so that the bins used match the histogram; repeats are rounded down. What is left is packed by best
    fit, over the histogram again: a greedy filling is repeated as often as its bins last.
@@ -30,7 +31,7 @@ from claimsieve.llm.shared import blocks, stored
 TOKENIZER = "word_bpe_49k.json"
 LENGTH = 2048
 END_ID = 0
-WIDTH = 4
+WIDTH = 1
 MEMO_WORDS = 700_000
 MEMO_TOKENS = 500_000
 MEMO_WORD_CHARS = 64
@@ -155,8 +156,10 @@ def repeats(patterns: np.ndarray, histogram: np.ndarray, steps: int = STEPS) ->
     wanted = histogram.astype(float)
     wanted[0] = 0
 
+    places = np.ascontiguousarray(patterns.T)
+
     def used(x):
-        total = np.bincount(patterns.ravel(), np.repeat(x, 3), size)
+        total = sum(np.bincount(place, x, size) for place in places)
         total[0] = 0
         return total
 
@@ -167,7 +170,7 @@ def repeats(patterns: np.ndarray, histogram: np.ndarray, steps: int = STEPS) ->
     for _ in range(steps):
         miss = used(y) - wanted
         miss[0] = 0
-        new = np.maximum(y - miss[patterns].sum(axis=1) / bound, 0)
+        new = np.maximum(y - sum(miss[place] for place in places) / bound, 0)
         following = (1 + math.sqrt(1 + 4 * momentum * momentum)) / 2
         y = new + (momentum - 1) / following * (new - x)
         x, momentum = new, following

@@ -108,6 +108,18 @@ def test_hot_bin_is_ranked_in_parts(spark, monkeypatch):
     check_packing(rows, texts, 64)
 
 
+def test_pieces_that_fit_by_tokens_share_a_sequence(spark):
+    texts = [(i, None) for i in range(64)]
+    assert check_packing(pattern_packing.pack(documents(spark, texts), length=64).collect(), texts, 64)[0] == 1
+    texts = [(i, "word " * 20) for i in range(30)]  # 20 tokens and an end id: three make 63
+    assert check_packing(pattern_packing.pack(documents(spark, texts), length=64).collect(), texts, 64)[0] == 10
+    # the default bins, at full length: three pieces of 682, and 1026 with 1022
+    size = pattern_packing.LENGTH // pattern_packing.WIDTH
+    for lengths in ([682] * 300, [1026, 1022] * 50):
+        histogram = np.bincount([-(-n // pattern_packing.WIDTH) for n in lengths], minlength=size + 1)
+        assert pattern_packing.plan(histogram).sequences == -(-sum(lengths) // pattern_packing.LENGTH)
+
+
 def test_plan_covers_the_histogram_with_few_sequences():
     lengths = np.random.default_rng(1).integers(1, 513, 20_000)
     histogram = np.bincount(lengths, minlength=513)
