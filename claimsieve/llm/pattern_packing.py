@@ -5,7 +5,8 @@
    tokens. With bins of one token, whatever fits by tokens also fits by bins. The histogram has at most `length / WIDTH`
    rows, whatever the number of documents.
 3. Patterns of up to three bins that fill a sequence exactly are enumerated. Non-negative least squares finds how often
-   each repeats so that the bins used match the histogram; repeats are rounded down. What is left is packed by best
+   each repeats so that the bins used match the histogram; repeats are rounded down, and those of the largest remainder
+   up while their bins last. What is left, such as short pieces that no three fill a sequence with, is packed by best
    fit, over the histogram again: a greedy filling is repeated as often as its bins last.
 4. The plan lists, per bin, which ranks go to which sequences and slots. Its size follows the bins and not the
    documents, so it is broadcast. Ranks within a bin come from counts per part of the bin: a bin that holds a third of
@@ -177,6 +178,22 @@ def repeats(patterns: np.ndarray, histogram: np.ndarray, steps: int = STEPS) ->
     return x
 
 
+def rounded(patterns: np.ndarray, wish: np.ndarray, histogram: np.ndarray) -> list[tuple[list[int], int]]:
+    """Patterns with whole repeats within the histogram: rounded down, then one more for the largest remainders."""
+    left, times = histogram.tolist(), np.zeros(len(patterns), np.int64)
+    whole = np.floor(wish + 1e-6).astype(np.int64)
+    remainder = np.maximum(wish - whole, 0)
+    down = [(at, int(whole[at])) for at in np.argsort(-whole, kind="stable") if whole[at]]
+    up = [(at, 1) for at in np.argsort(-remainder, kind="stable") if remainder[at] > 1e-6]
+    for at, more in down + up:
+        pattern = [b for b in patterns[at].tolist() if b]
+        more = min(more, *(left[b] // pattern.count(b) for b in pattern))
+        for b in pattern:
+            left[b] -= more
+        times[at] += more
+    return [([b for b in patterns[at].tolist() if b], int(times[at])) for at in np.flatnonzero(times)]
+
+
 @dataclass
 class Plan:
     """Per slot: pieces of `bin` with ranks from `rank` on, `count` of them, go to sequences from `sequence` on."""
@@ -207,11 +224,8 @@ def plan(histogram: np.ndarray) -> Plan:
         take([size], int(left[size]))
     if left.sum():
         found = patterns_of(size, np.flatnonzero(left))
-        wish = np.floor(repeats(found, left) + 1e-6).astype(np.int64) if len(found) else []
-        for at in np.argsort([-w for w in wish], kind="stable"):
-            pattern = [int(b) for b in found[at] if b]
-            if times := min(int(wish[at]), lasting(pattern)):
-                take(pattern, times)
+        for pattern, times in rounded(found, repeats(found, left), left) if len(found) else []:
+            take(pattern, times)
     while left.sum():
         pattern, room, spare = [], size, left.copy()
         while room > 0:

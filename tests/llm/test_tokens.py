@@ -120,6 +120,17 @@ def test_pieces_that_fit_by_tokens_share_a_sequence(spark):
         assert pattern_packing.plan(histogram).sequences == -(-sum(lengths) // pattern_packing.LENGTH)
 
 
+def test_repeats_below_one_are_not_all_lost():
+    lengths = np.random.default_rng(2).integers(1, 129, 2_000)
+    histogram = np.bincount(lengths, minlength=129)
+    found = pattern_packing.patterns_of(128, np.flatnonzero(histogram))
+    used = np.zeros(129, np.int64)
+    for pattern, times in pattern_packing.rounded(found, pattern_packing.repeats(found, histogram), histogram):
+        assert sum(pattern) == 128
+        np.add.at(used, pattern, times)
+    assert (used <= histogram).all() and used.sum() >= 0.8 * len(lengths)
+
+
 def test_plan_covers_the_histogram_with_few_sequences():
     lengths = np.random.default_rng(1).integers(1, 513, 20_000)
     histogram = np.bincount(lengths, minlength=513)
