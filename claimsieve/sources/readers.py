@@ -56,18 +56,26 @@ def read_json_whole(spark: SparkSession, path: str, schema: StructType) -> DataF
 
 
 def read_json_array(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """One array per file, whatever its size; one task per file. A damaged file stops the job.
+    """One array per file; one task per file, which parses it whole. A damaged file stops the job.
 
+    No size changes the result, but the rows of a file have to fit that task: `read_json_split` is for files beyond it.
     The parser refuses what is cut or lacks a comma, but takes the first of several bare objects for the whole file. So
-    every file is also checked to start with a bracket, in a branch of the same query that yields no rows: cut at
-    brackets, such a file has a blank piece.
+    every file is also checked to start with a bracket, in a branch of the same query that yields no rows: it reads the
+    pieces up to a closing brace by many tasks, and the first piece of a file counts.
     """
-    pieces = spark.read.option("lineSep", "[").text(path).select("value", F.col("_metadata.file_path").alias("file"))
-    opened = pieces.groupBy("file").agg(F.bool_or(F.col("value").rlike(r"^[\s\uFEFF]*$")).alias("opened"))
+    pieces = _pieces(spark, path, F.monotonically_increasing_id().alias("place"))
+    start = pieces.filter("at = 0").groupBy("file").agg(F.min_by("value", "place").alias("value"))
+    opened = start.select("file", F.col("value").rlike(r"^[\s\uFEFF]*(\[|$)").alias("opened"))
     refused = F.when(~F.col("opened"), _refuse("no bracket at the start", F.col("file")).cast("string"))
     return read_json_whole(spark, path, schema).unionByName(_no_rows(opened.filter(refused.isNotNull()), schema))
 
 
+def _pieces(spark: SparkSession, path: str, *more: Column) -> DataFrame:
+    """value, file, at: the text of files cut at closing braces, and where the split that holds a piece begins."""
+    file, at = F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at")
+    return spark.read.option("lineSep", "}").text(path).select("value", file, at, *more)
+
+
 def _refuse(reason: str, file: Column) -> Column:
     return F.raise_error(F.concat(F.lit(f"not an array of objects ({reason}): "), file))
 
@@ -84,7 +92,7 @@ def read_json_split(spark: SparkSession, path: str, schema: StructType) -> DataF
     closing bracket. A brace inside a value or a nested object leaves a piece that is no valid JSON and is refused too.
     The counts per file are a branch of the same query that yields no rows.
     """
-    pieces = spark.read.option("lineSep", "}").text(path).select("value", F.col("_metadata.file_path").alias("file"))
+    pieces = _pieces(spark, path)
     value = F.col("value")
     empty = value.rlike(r"^[\s\uFEFF]*\[\s*\]\s*$")
     closing = value.rlike(r"^\s*\]\s*$") | empty

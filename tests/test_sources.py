@@ -101,6 +101,23 @@ def test_damaged_arrays_are_refused(spark, tmp_path, text, reader):
         read_raw(spark, CLAIMS, path, reader).collect()
 
 
+@pytest.mark.parametrize("opening", ["[", " \n[", "\ufeff[", ""])
+def test_bracket_check_reads_short_pieces(spark, tmp_path, opening):
+    objects = ",".join(json.dumps(claim(i)) for i in range(3000))
+    path = put(tmp_path / "claims.json", opening + objects + ("]" if opening else ""))
+    raw = read_raw(spark, CLAIMS, path)
+    leaves = raw._jdf.queryExecution().optimizedPlan().collectLeaves()
+    options = [leaves.apply(i).relation().options() for i in range(leaves.size())]
+    cuts = [option.apply("lineSep") for option in options if option.contains("lineSep")]
+    longest = [spark.read.option("lineSep", cut).text(path).selectExpr("max(length(value))").first()[0] for cut in cuts]
+    assert len(longest) == 1 and longest[0] < 1000
+    if opening:
+        assert raw.count() == 3000
+    else:
+        with pytest.raises((PySparkException, Py4JJavaError), match="no bracket at the start"):
+            raw.collect()
+
+
 def test_no_size_decides_how_an_array_is_read():
     assert not [name for name in vars(readers) if "BYTES" in name or "SIZE" in name]
 
