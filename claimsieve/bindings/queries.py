@@ -6,7 +6,7 @@ import datetime
 import functools
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from claimsieve.bindings import raw
@@ -25,7 +25,7 @@ from claimsieve.plans.usecases import answer
 from claimsieve.session import scratch_folder
 from claimsieve.sinks.writers import export_csv, export_json_lines, write_table
 from claimsieve.sources.layout import Layout
-from claimsieve.sources.readers import read_export, read_raw, rows_per_file
+from claimsieve.sources.readers import read_export, read_raw, rows_per_file, staged_files
 from claimsieve.sources.specs import CLAIMS, TABLES
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -377,10 +377,16 @@ STAGED = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 
 
 def staged_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The files of the relational tables with their rows; the parts of a table count for it."""
-    name = F.regexp_extract("_metadata.file_path", r"([^/]+\.parquet)(?:/[^/]+)?$", 1)
-    listed = [rows_per_file(loader(spark, sf_dir)(table), name) for table in STAGED]
-    return functools.reduce(DataFrame.unionByName, listed)
+    """The files of the relational tables with their rows; the parts of a table count for it, an empty file with 0."""
+
+    def name(path: str) -> Column:
+        return F.regexp_extract(path, r"([^/]+\.parquet)(?:/[^/]+)?$", 1)
+
+    files = staged_files(spark, sf_dir).select(name("path").alias("file")).distinct()
+    wanted = files.filter(F.col("file").isin([f"{table}.parquet" for table in STAGED]))
+    counts = [rows_per_file(loader(spark, sf_dir)(table), name("_metadata.file_path")) for table in STAGED]
+    listed = wanted.join(functools.reduce(DataFrame.unionByName, counts), "file", "left")
+    return listed.select("file", F.coalesce("rows", F.lit(0).cast("long")).alias("rows"))
 
 
 def dedupe_audited(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,6 +6,7 @@ import pytest
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 
+from claimsieve.bindings.queries import STAGED, staged_inventory
 from claimsieve.sinks.writers import export_csv, register_views, write_table
 from claimsieve.sources.layout import Layout
 from claimsieve.sources import readers
@@ -166,6 +167,14 @@ def test_rows_per_file(spark, tmp_path):
     assert sum(row.rows for row in listed) == 10 and len(listed) == 2
 
 
+def test_inventory_lists_empty_files(spark, tmp_path):
+    for i, table in enumerate(STAGED):
+        frame = spark.range(i).toPandas()
+        frame.to_parquet(str(tmp_path / f"{table}.parquet"))
+    listed = {row.file: row.rows for row in staged_inventory(spark, str(tmp_path)).collect()}
+    assert listed == {f"{table}.parquet": i for i, table in enumerate(STAGED)}
+
+
 def test_full_refresh_replaces_rows(spark, tmp_path):
     path = Layout(str(tmp_path)).output("t")
     write_table(spark.range(10), path)
