@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from claimsieve.llm.importance_resampling import BUCKETS, LEAST_WORDS, PERCENT, SEED
 from claimsieve.llm.quality_rules import STOP_WORDS, THRESHOLDS
 from claimsieve.llm.secret_scan import RULES
 
 BLANK_CLASS = r"\x20\x09-\x0D"
+WORD_CLASS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]"
 
 
 def _verdict() -> str:
@@ -114,3 +116,60 @@ SELECT doc_id,
 FROM texts LEFT JOIN spans USING (row_no)
 GROUP BY row_no, doc_id
 """
+
+# crc32 of text: `crc_table` holds the 256 steps of the reflected polynomial, a text goes through it byte by byte
+CRC_TABLE = """
+crc_table AS (
+  SELECT list(step ORDER BY i) AS steps FROM (
+    SELECT i, list_reduce(list_prepend(i, range(8)), lambda c, _:
+      CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END) AS step
+    FROM range(256) t(i))
+)"""
+
+
+def _crc32(text: str) -> str:
+    """SQL of the unsigned crc32 of the UTF-8 bytes of `text`, where `steps` of `crc_table` is in reach."""
+    byte = f"('0x' || substr(hex(encode({text})), 2 * k + 1, 2))::BIGINT"
+    numbers = f"list_transform(range(strlen({text})), lambda k: {byte})"
+    return f"""xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, {numbers}),
+      lambda c, b: xor(c >> 8, steps[(xor(c, b) & 255) + 1])))"""
+
+
+def resampling_sql() -> str:
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+    def words(table: str) -> str:
+        cut = rf"regexp_extract_all(translate(coalesce(text, ''), '{upper}', '{lower}'), '{WORD_CLASS}+')"
+        return f"SELECT row_number() OVER () AS row_no, *, {cut} AS words FROM {table}"
+
+    return f"""
+WITH {CRC_TABLE}, docs AS ({words("documents")}), goal AS ({words("benchmark")}),
+raw_words AS (SELECT row_no, unnest(words) AS word FROM docs),
+goal_words AS (SELECT unnest(words) AS word FROM goal),
+known AS (SELECT DISTINCT word FROM (SELECT word FROM raw_words UNION ALL SELECT word FROM goal_words)),
+bucketed AS (SELECT word, {_crc32("word")} % {BUCKETS} AS bucket FROM known, crc_table),
+raw_counts AS (SELECT bucket, count(*) AS s FROM raw_words JOIN bucketed USING (word) GROUP BY bucket),
+goal_counts AS (SELECT bucket, count(*) AS t FROM goal_words JOIN bucketed USING (word) GROUP BY bucket),
+totals AS (SELECT (SELECT count(*) FROM raw_words) AS raw_total, (SELECT count(*) FROM goal_words) AS goal_total),
+gains AS (
+  SELECT bucket, floor(1000 * ln(((coalesce(t, 0) + 1)::DOUBLE * (raw_total + {BUCKETS}))
+    / ((s + 1)::DOUBLE * (goal_total + {BUCKETS}))))::BIGINT AS gain
+  FROM raw_counts LEFT JOIN goal_counts USING (bucket), totals
+), weights AS (
+  SELECT row_no, sum(gain) AS total, count(*) AS n
+  FROM raw_words JOIN bucketed USING (word) JOIN gains USING (bucket) GROUP BY row_no
+), scored AS (
+  SELECT doc_id, len(words)::BIGINT AS n_features,
+    coalesce(floor(total::DOUBLE / n), 0)::BIGINT AS weight,
+    ('0x' || sha256('{SEED}:' || coalesce(doc_id::VARCHAR, ''))[1:8])::BIGINT AS h
+  FROM docs LEFT JOIN weights USING (row_no)
+), noisy AS (
+  SELECT doc_id, n_features, weight,
+    weight + floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score FROM scored
+), placed AS (
+  SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS place, count(*) OVER () AS able
+  FROM noisy WHERE n_features >= {LEAST_WORDS}
+)
+SELECT noisy.doc_id, n_features, weight, score, CASE WHEN place <= {PERCENT} * able // 100 THEN place END AS rank
+FROM noisy LEFT JOIN placed USING (doc_id)
+"""

@@ -10,6 +10,7 @@ import corpus_pipeline
 from claimsieve.llm import (
     global_bpe,
     hilbert_search,
+    importance_resampling,
     near_duplicates,
     oracles,
     pattern_packing,
@@ -70,6 +71,11 @@ def op10_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc_writer.archive_round_trip(table(spark, sf_dir, "pages"), scratch_folder(spark))
 
 
+def op11_batch_concatenated_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return importance_resampling.resample(documents, benchmark).drop("n_words")
+
+
 QUERIES: dict[str, Query] = {
     "op1_prob_min_hash_classes": op1_prob_min_hash_classes,
     "op2_pattern_packing": op2_pattern_packing,
@@ -81,6 +87,7 @@ QUERIES: dict[str, Query] = {
     "op8_ngram_toxicity": op8_ngram_toxicity,
     "op9_trigram_secret_scan": op9_trigram_secret_scan,
     "op10_warc_round_trip": op10_warc_round_trip,
+    "op11_batch_concatenated_resampling": op11_batch_concatenated_resampling,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -88,4 +95,5 @@ ORACLES: dict[str, str] = {
     "op4_quality_rules": oracles.quality_rules_sql(),
     "op9_trigram_secret_scan": oracles.secrets_sql(),
     "op10_warc_round_trip": oracles.WARC_SQL,
+    "op11_batch_concatenated_resampling": oracles.resampling_sql(),
 }

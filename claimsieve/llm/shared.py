@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from claimsieve.session import scratch_folder
@@ -73,3 +73,22 @@ def marked(df: DataFrame, key, keys: DataFrame, keys_key, bits: int = MARK_BITS)
     with_word = df.withColumn("mark word", F.shiftright(place(key), 6)).join(F.broadcast(words), "mark word", "left")
     hit = F.coalesce(F.getbit("mark bits", (place(key) % 64).cast("int")) == 1, F.lit(False))
     return with_word, hit
+
+
+def numbered(df: DataFrame, *order) -> DataFrame:
+    """`df` as a stored table with `place`: the number of each row in the order, from 0.
+
+    Rows are dealt out by ranges of the order and sorted there; a place is the rows of the ranges before and the row's
+    number in its range. Nothing but a row per range goes to a single task, and the broadcast holds as many rows: no
+    more than the session has shuffle partitions. `order` must set rows of a hot key apart, or they share a range.
+    """
+    runs = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    # the id counts the rows of a partition in its low 33 bits and the partitions above them
+    kept = stored(runs.withColumn("place", F.monotonically_increasing_id()))
+    run = F.shiftright("place", 33).alias("run")
+    sizes = kept.groupBy(run).agg(F.count("*").alias("rows"))
+    before = Window.orderBy("run").rowsBetween(Window.unboundedPreceding, -1)
+    ahead = sizes.select("run", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("rows ahead"))
+    counted = kept.select("*", run).join(F.broadcast(ahead), "run")
+    own = F.col("place").bitwiseAND(F.lit((1 << 33) - 1))
+    return counted.withColumn("place", F.col("rows ahead") + own).select(*df.columns, "place")
