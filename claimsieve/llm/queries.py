@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 from claimsieve.llm import (
+    conversation_repair,
     global_bpe,
     hilbert_search,
     importance_resampling,
@@ -76,6 +77,10 @@ def op11_batch_concatenated_resampling(spark: SparkSession, sf_dir: str) -> Data
     return importance_resampling.resample(documents, benchmark).drop("n_words")
 
 
+def op13_suffix_shared_dawg_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.repair(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_prob_min_hash_classes": op1_prob_min_hash_classes,
     "op2_pattern_packing": op2_pattern_packing,
@@ -88,6 +93,7 @@ QUERIES: dict[str, Query] = {
     "op9_trigram_secret_scan": op9_trigram_secret_scan,
     "op10_warc_round_trip": op10_warc_round_trip,
     "op11_batch_concatenated_resampling": op11_batch_concatenated_resampling,
+    "op13_suffix_shared_dawg_repair": op13_suffix_shared_dawg_repair,
     "pipeline": corpus_pipeline.run,
 }
 
