@@ -19,6 +19,7 @@ from claimsieve.llm import (
     quality_cnn,
     quality_rules,
     secret_scan,
+    token_files,
     toxicity,
     warc_writer,
 )
@@ -77,6 +78,10 @@ def op11_batch_concatenated_resampling(spark: SparkSession, sf_dir: str) -> Data
     return importance_resampling.resample(documents, benchmark).drop("n_words")
 
 
+def op12_orc_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.file_round_trip(table(spark, sf_dir, "documents"), scratch_folder(spark))
+
+
 def op13_suffix_shared_dawg_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_repair.repair(table(spark, sf_dir, "conversations"))
 
@@ -93,6 +98,7 @@ QUERIES: dict[str, Query] = {
     "op9_trigram_secret_scan": op9_trigram_secret_scan,
     "op10_warc_round_trip": op10_warc_round_trip,
     "op11_batch_concatenated_resampling": op11_batch_concatenated_resampling,
+    "op12_orc_token_files": op12_orc_token_files,
     "op13_suffix_shared_dawg_repair": op13_suffix_shared_dawg_repair,
     "pipeline": corpus_pipeline.run,
 }
