@@ -14,8 +14,6 @@
 from __future__ import annotations
 
 import math
-import re
-import unicodedata
 import zlib
 from collections.abc import Iterator, Sequence
 
@@ -26,7 +24,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from claimsieve.llm.pattern_packing import BLOCK_CHARS, LATIN_END, SPECIAL, TOGETHER, TOKENIZER, Encoder
+from claimsieve.llm.latin_tokens import LatinEncoder
+from claimsieve.llm.pattern_packing import BLOCK_CHARS, TOKENIZER
 from claimsieve.llm.shared import blocks, stored
 
 END_ID = 1
@@ -34,67 +33,13 @@ FILE_BYTES = 256 << 20
 STRIPE_BYTES = 32 << 20
 ROW_GROUP = 1_000
 BLOOM_MISSES = 0.01
-MEMO_WORDS = 600_000
-MEMO_TOKENS = 400_000
-
-_loaded: dict[str, "TokenEncoder"] = {}
-
-
-def _latin(kind: str) -> str:
-    """The characters of a general category among those below LATIN_END and their lower case, as the inside of a
-    character class. The lower case of some lies beyond LATIN_END."""
-    alphabet = sorted({c for i in range(ord(LATIN_END)) for c in chr(i) + chr(i).lower()})
-    return "".join(re.escape(c) for c in alphabet if unicodedata.category(c)[0] == kind)
-
-
-class TokenEncoder(Encoder):
-    """The encoder of words with its own way to new ones: pre-tokens of Latin words by a plain character class, and
-    those of ASCII straight through the vocabulary's merges, past the normaliser, which leaves them as they are."""
-
-    def __init__(self, path: str):
-        super().__init__(path)
-        letters, digits = _latin("L"), _latin("N")
-        # How the vocabulary splits text, written out for Latin letters; its white space lacks \x1c-\x1f
-        split = rf"'s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[{digits}]|[^\t-\r \x85\xa0{letters}{digits}]+"
-        self.pre_tokens = re.compile(split).findall
-        self.merges = self.tokenizer.model.tokenize
-
-    def learn(self, words: list[str]) -> None:
-        plain = [word for word in words if word and max(word) < LATIN_END and SPECIAL not in word]
-        split = [self.pre_tokens(word.lower()) for word in plain]
-        if len(self.known) > MEMO_TOKENS:
-            self.known.clear()
-        new = sorted(token for token in set().union(*split) if token not in self.known)
-        others = []
-        for token in new:
-            if token.isascii() and token.isprintable():
-                self.known[token] = np.array([piece.id for piece in self.merges(token)], "<u4").tobytes()
-            else:
-                others.append(token)
-        for start in range(0, len(others), TOGETHER):
-            some = others[start : start + TOGETHER]
-            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, "<u4")
-            ends = (np.flatnonzero(self.closing[ids]) + 1) * 4
-            if len(ends) != len(some):
-                raise ValueError("a pre-token does not end in one closing token")
-            data = ids.tobytes()
-            for token, a, b in zip(some, [0, *ends[:-1].tolist()], ends.tolist(), strict=True):
-                self.known[token] = data[a:b]
-        find = self.known.__getitem__
-        self.memo.update((word, b"".join(map(find, tokens))) for word, tokens in zip(plain, split, strict=True))
-        rest = [word for word in words if word not in self.memo]
-        for encoding, word in zip(self.tokenizer.encode_batch_fast(rest, add_special_tokens=False), rest, strict=True):
-            self.memo[word] = np.array(encoding.ids, "<u4").tobytes()
-
-    def encode(self, texts: Sequence[str]) -> list[bytes]:
-        if len(self.memo) > MEMO_WORDS:
-            self.memo.clear()
-        return super().encode(texts)
-
-
-def encoder(path: str) -> TokenEncoder:
+
+_loaded: dict[str, LatinEncoder] = {}
+
+
+def encoder(path: str) -> LatinEncoder:
     if path not in _loaded:
-        _loaded[path] = TokenEncoder(path)
+        _loaded[path] = LatinEncoder(path)
     return _loaded[path]
 
 
@@ -177,9 +122,8 @@ def manifest(files: DataFrame) -> DataFrame:
 
 def in_corpus(files: DataFrame, listing: DataFrame) -> DataFrame:
     """The rows with `start` counted over all files. The join is Spark's choice: a row per file on one side."""
-    return files.join(listing.select("file", "tokens_ahead"), "file").withColumn(
-        "start", F.col("start") + F.col("tokens_ahead")
-    )
+    known = files.join(listing.select("file", "tokens_ahead"), "file")
+    return known.withColumn("start", F.col("start") + F.col("tokens_ahead"))
 
 
 def read_documents(files: DataFrame, doc_ids: Sequence[int]) -> DataFrame:
@@ -209,26 +153,25 @@ def read_span(files: DataFrame, listing: DataFrame, first: int, last: int) -> Da
 
 
 def checksums(rows: DataFrame) -> DataFrame:
-    """doc_id, start, n_tokens and ids_crc32 of rows read from files, the ids taken as little-endian 32-bit integers."""
+    """Rows read from files with ids_crc32, the ids taken as little-endian 32-bit integers, in place of the ids."""
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            doc_id, start, ids = batch.columns
+            *others, ids = batch.columns
             data = memoryview(np.ascontiguousarray(ids.values.to_numpy(zero_copy_only=False), "<i4")).cast("B")
             ends = ids.offsets.to_numpy()
             sums = [zlib.crc32(data[4 * a : 4 * b]) for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
             counts = pa.array(np.diff(ends).astype(np.int64))
-            yield pa.RecordBatch.from_arrays(
-                [doc_id, start, counts, pa.array(sums, pa.int64())], names=["doc_id", "start", "n_tokens", "ids_crc32"]
-            )
+            columns = [*others, counts, pa.array(sums, pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "file", "start", "n_tokens", "ids_crc32"])
 
-    return rows.select("doc_id", "start", "ids").mapInArrow(
-        check, "doc_id long, start long, n_tokens long, ids_crc32 long"
-    )
+    fields = "doc_id long, file string, start long, n_tokens long, ids_crc32 long"
+    return rows.select("doc_id", "file", "start", "ids").mapInArrow(check, fields)
 
 
 def file_round_trip(docs: DataFrame, folder: str, path: str | None = None) -> DataFrame:
-    """The documents written to `folder` and read back: doc_id, start, n_tokens and ids_crc32 of each.
+    """The documents written to `folder` and read back: doc_id, start, n_tokens and ids_crc32 of each. The checksums
+    are taken where the files are read, so no ids are shuffled for the join with the manifest.
 
     A null text counts as empty: the end id alone. Repeated rows are written once each, a null id comes last; only
     doc_id and text of `docs` are read, whatever other columns there are. An empty table makes files without rows.
@@ -236,4 +179,4 @@ def file_round_trip(docs: DataFrame, folder: str, path: str | None = None) -> Da
     """
     write_files(encoded(docs, path=path), folder)
     files = open_files(docs.sparkSession, folder)
-    return checksums(in_corpus(files, manifest(files)))
+    return in_corpus(checksums(files), manifest(files)).drop("file", "tokens_ahead")

@@ -8,6 +8,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
+from claimsieve.llm import latin_tokens as lt
 from claimsieve.llm import token_files as tf
 from claimsieve.session import scratch_folder
 from tests.llm.cases import ODD, bag, documents, random_texts
@@ -42,14 +43,25 @@ def expected(library, rows):
 
 def some_rows():
     rnd = random.Random(9)
-    pieces = ["word", "Word,", "it's", "é", "Ü", "3", "...", "\x1f", " ", "<|", "日", "á", "ͅ", " ", "\n"]
+    pieces = ["word", "Word,", "it's", "'RE", "''ve", "'d't", "averylongwordindeed" * 2, "ÿ", "é", "Ü", "3", "...", "\x1f", " ", "<|", "日", "á", "ͅ", " ", "\n"]
     mixed = [(1000 + i, "".join(rnd.choices(pieces, k=rnd.randrange(30)))) for i in range(400)]
     return ODD + HOSTILE + mixed + random_texts(200, first=2000)
 
 
 def test_every_latin_character(library):
     made = tf.encoder(public_tokenizers.path(tf.TOKENIZER))
-    texts = [t for c in map(chr, range(0x260)) for t in (c, "a" + c, c + "A", "." + c + ".", c + "1" + c, c + "\u0301")]
+    forms = "{0}", "a{0}", "{0}A", ".{0}.", "{0}1{0}", "{0}\u0301", "'s{0}", "it'{0}", "{0}'ll{0}"
+    texts = [form.format(c) for c in map(chr, range(0x260)) for form in forms]
+    found = [np.frombuffer(ids, "<u4").tolist() for ids in made.encode(texts)]
+    assert found == [library.encode(text, add_special_tokens=False).ids for text in texts]
+
+
+def test_small_table_and_blocks_change_nothing(library, monkeypatch):
+    monkeypatch.setattr(lt, "SLOTS", 256)
+    monkeypatch.setattr(lt, "BLOCK", 60)
+    monkeypatch.setattr(lt, "LONGEST", 128)
+    texts = [text or "" for _, text in some_rows() if len(text or "") < 5000]
+    made = lt.LatinEncoder(public_tokenizers.path(tf.TOKENIZER))
     found = [np.frombuffer(ids, "<u4").tolist() for ids in made.encode(texts)]
     assert found == [library.encode(text, add_special_tokens=False).ids for text in texts]
 
