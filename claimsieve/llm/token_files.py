@@ -44,19 +44,26 @@ def encoder(path: str) -> LatinEncoder:
 
 
 def encoded(docs: DataFrame, end_id: int | None = END_ID, path: str | None = None) -> DataFrame:
-    """doc_id, n_tokens and ids (binary, little-endian 32 bits) of every document, its end id included."""
+    """doc_id, n_tokens, ids (binary) and id_bytes of every document, its end id included.
+
+    Ids travel in the narrowest little-endian integers that hold the vocabulary, `id_bytes` wide.
+    """
     path = path or public_tokenizers.path(TOKENIZER)
-    end = b"" if end_id is None else np.array([end_id], "<u4").tobytes()
+    end = [] if end_id is None else [end_id]
 
     def encode(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         made = encoder(path)
+        narrow = "<u2" if max(made.tokenizer.get_vocab_size(), *end, 0) <= 1 << 16 else "<u4"
+        tail = np.array(end, narrow).tobytes()
         for pdf in blocks(pdfs, "text", BLOCK_CHARS):
-            ids = [found + end for found in made.encode(list(pdf["text"]))]
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "n_tokens": [len(i) // 4 for i in ids], "ids": ids})
+            wide = made.encode(list(pdf["text"]))
+            ids = [np.frombuffer(found, "<u4").astype(narrow).tobytes() + tail for found in wide]
+            counts = [len(found) // 4 + len(end) for found in wide]
+            yield pd.DataFrame({"doc_id": pdf["doc_id"], "n_tokens": counts, "ids": ids, "id_bytes": int(narrow[-1])})
 
     # ids of documents travel as text: pandas would turn long ids beside a null into inexact doubles
     texts = docs.select(F.col("doc_id").cast("string"), F.coalesce("text", F.lit("")).alias("text"))
-    made = texts.mapInPandas(encode, "doc_id string, n_tokens long, ids binary")
+    made = texts.mapInPandas(encode, "doc_id string, n_tokens long, ids binary, id_bytes int")
     return made.withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
@@ -74,18 +81,18 @@ def write_files(tokens: DataFrame, folder: str, file_bytes: int = FILE_BYTES) ->
     size = kept.agg(F.coalesce(F.sum("n_tokens"), F.lit(0))).first()[0] * 4
     files = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(size / file_bytes))
     order = F.asc_nulls_last("doc_id"), F.asc("n_tokens"), F.crc32("ids").asc(), F.asc("copy")
-    ranged = kept.repartitionByRange(files, *order).sortWithinPartitions(*order).select("doc_id", "n_tokens", "ids")
+    ranged = kept.repartitionByRange(files, *order).sortWithinPartitions(*order)
+    ranged = ranged.select("doc_id", "n_tokens", "ids", "id_bytes")
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ahead = 0
         for batch in batches:
-            doc_id, n_tokens, ids = batch.columns
+            doc_id, n_tokens, ids, id_bytes = batch.columns
             ends = np.cumsum(n_tokens.to_numpy())
             inside = np.append(0, ends).astype(np.int32)
-            # the bytes of a batch lie one after the other: they are the values of the lists already
-            data = b"".join(ids.to_pylist())
-            values = pa.Array.from_buffers(pa.int32(), len(data) // 4, [None, pa.py_buffer(data)])
-            lists = pa.ListArray.from_arrays(pa.array(inside), values)
+            narrow = f"<u{id_bytes[0].as_py() if len(batch) else 4}"
+            values = np.frombuffer(b"".join(ids.to_pylist()), narrow).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(inside), pa.array(values))
             start = pa.array(ahead + inside[:-1].astype(np.int64))
             ahead += int(inside[-1])
             yield pa.RecordBatch.from_arrays(
