@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from claimsieve.functions.rules import named
+from claimsieve.sources.json_arrays import read_json_array
 from claimsieve.sources.specs import TableSpec
 
 
@@ -55,67 +56,8 @@ def read_json_whole(spark: SparkSession, path: str, schema: StructType) -> DataF
     return spark.read.schema(schema).option("multiLine", True).option("mode", "FAILFAST").json(path)
 
 
-def read_json_array(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """One array per file; one task per file, which parses it whole. A damaged file stops the job.
-
-    No size changes the result, but the rows of a file have to fit that task: `read_json_split` is for files beyond it.
-    The parser refuses what is cut or lacks a comma, but takes the first of several bare objects for the whole file. So
-    every file is also checked to start with a bracket, in a branch of the same query that yields no rows: it reads the
-    pieces up to a closing brace by many tasks, and the first piece of a file counts.
-    """
-    pieces = _pieces(spark, path, F.monotonically_increasing_id().alias("place"))
-    start = pieces.filter("at = 0").groupBy("file").agg(F.min_by("value", "place").alias("value"))
-    opened = start.select("file", F.col("value").rlike(r"^[\s\uFEFF]*(\[|$)").alias("opened"))
-    refused = F.when(~F.col("opened"), _refuse("no bracket at the start", F.col("file")).cast("string"))
-    return read_json_whole(spark, path, schema).unionByName(_no_rows(opened.filter(refused.isNotNull()), schema))
-
-
-def _pieces(spark: SparkSession, path: str, *more: Column) -> DataFrame:
-    """value, file, at: the text of files cut at closing braces, and where the split that holds a piece begins."""
-    file, at = F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at")
-    return spark.read.option("lineSep", "}").text(path).select("value", file, at, *more)
-
-
-def _refuse(reason: str, file: Column) -> Column:
-    return F.raise_error(F.concat(F.lit(f"not an array of objects ({reason}): "), file))
-
-
-def _no_rows(df: DataFrame, schema: StructType) -> DataFrame:
-    return df.select(*(F.lit(None).cast(field.dataType).alias(field.name) for field in schema))
-
-
-def read_json_split(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """One array of flat objects per file, each file read by many tasks: an explicit choice for huge files.
-
-    The text source splits files at the closing brace and each piece is parsed as one object. A file is refused unless
-    it has one opening and one closing bracket and a comma before every object but the first; a cut file lacks its
-    closing bracket. A brace inside a value or a nested object leaves a piece that is no valid JSON and is refused too.
-    The counts per file are a branch of the same query that yields no rows.
-    """
-    pieces = _pieces(spark, path)
-    value = F.col("value")
-    empty = value.rlike(r"^[\s\uFEFF]*\[\s*\]\s*$")
-    closing = value.rlike(r"^\s*\]\s*$") | empty
-    first = value.rlike(r"^[\s\uFEFF]*\[\s*\{")
-    following = value.rlike(r"^\s*,\s*\{")
-
-    body = F.regexp_replace("value", r"^[\s\[,\uFEFF]+", "")
-    text = F.when(first | following, F.concat(body, F.lit("}"))).otherwise(
-        _refuse("no comma or bracket before an object", F.col("file"))
-    )
-    parsed = F.from_json(text, schema, {"mode": "FAILFAST"})
-    rows = pieces.filter(~closing).select(F.inline(F.array(parsed)))
-
-    def number(condition: Column) -> Column:
-        return F.sum(condition.cast("int"))
-
-    brackets = pieces.groupBy("file").agg(number(first | empty).alias("opened"), number(closing).alias("closed"))
-    whole = (F.col("opened") == 1) & (F.col("closed") == 1)
-    refused = F.when(~whole, _refuse("brackets do not match", F.col("file")).cast("string"))
-    return rows.unionByName(_no_rows(brackets.filter(refused.isNotNull()), schema))
-
-
-JSON_READERS = {"array": read_json_array, "whole": read_json_whole, "lines": read_json_lines, "split": read_json_split}
+# `split` is the former name of a reader by many tasks, which `array` now is
+JSON_READERS = {"array": read_json_array, "whole": read_json_whole, "lines": read_json_lines, "split": read_json_array}
 
 
 def read_raw(spark: SparkSession, spec: TableSpec, path: str, json_layout: str = "array") -> DataFrame:

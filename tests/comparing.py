@@ -38,3 +38,30 @@ def oracle_bag(connection, sql):
 
 def physical(df):
     return df._jdf.queryExecution().executedPlan().toString()
+
+
+def plan_nodes(df):
+    """(kind, text) of every node of the plan that ran, subqueries included; what is reused counts where it was made.
+
+    Kinds are class names such as FileSourceScanExec, ShuffleExchangeExec or SortMergeJoinExec.
+    """
+    df.collect()
+
+    def items(sequence):
+        return [sequence.apply(i) for i in range(sequence.size())]
+
+    def walk(node):
+        kind = node.getClass().getSimpleName()
+        if kind in ("ReusedExchangeExec", "ReusedSubqueryExec"):
+            return
+        if kind == "AdaptiveSparkPlanExec":
+            yield from walk(node.executedPlan())
+            return
+        if kind.endswith("QueryStageExec"):
+            yield from walk(node.plan())
+            return
+        yield kind, node.simpleString(10_000)
+        for below in [*items(node.children()), *items(node.subqueries())]:
+            yield from walk(below)
+
+    return list(walk(df._jdf.queryExecution().executedPlan()))

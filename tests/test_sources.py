@@ -1,17 +1,21 @@
 """Readers and writers on small files."""
 
 import json
+import random
 
 import pytest
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
+from pyspark.sql.types import StringType, StructField, StructType
 
 from claimsieve.bindings.queries import STAGED, staged_inventory
 from claimsieve.sinks.writers import export_csv, register_views, write_table
 from claimsieve.sources.layout import Layout
 from claimsieve.sources import readers
-from claimsieve.sources.readers import read_csv, read_export, read_json_split, read_raw, rows_per_file, staged_files
+from claimsieve.sources.json_arrays import pieces
+from claimsieve.sources.readers import read_csv, read_export, read_raw, rows_per_file, staged_files
 from claimsieve.sources.specs import CLAIMS, DISEASES, SUBGROUPS
+from tests.comparing import plan_nodes
 
 
 def put(path, text):
@@ -55,7 +59,7 @@ def claim(i, **changes):
 
 @pytest.mark.parametrize("indent", [None, 2])
 @pytest.mark.parametrize("lead", ["", "\ufeff", " \n"])
-@pytest.mark.parametrize("reader", ["whole", "split"])
+@pytest.mark.parametrize("reader", ["whole", "array"])
 def test_json_array_any_layout(spark, tmp_path, indent, lead, reader):
     rows = [claim(i) for i in range(50)]
     rows[3] = dict(reversed(rows[3].items()))
@@ -72,13 +76,60 @@ def test_json_array_any_layout(spark, tmp_path, indent, lead, reader):
     assert found["6"].patient_id == "106"
 
 
-@pytest.mark.parametrize("bad", [{"disease_name": "a } b"}, {"disease_name": {"nested": 1}}, {"disease_name": '"},{"'}])
+@pytest.mark.parametrize("odd", ["a } b", {"nested": 1}, '"},{"', "]", '\\"}', {"deep": [{"x": "}]"}, {"y": ["{"]}]}])
 @pytest.mark.parametrize("action", ["count", "collect"])
-def test_json_array_with_a_brace_inside_is_refused_not_misread(spark, tmp_path, bad, action):
-    path = put(tmp_path / "claims.json", json.dumps([claim(0), claim(1, **bad), claim(2)]))
-    with pytest.raises((PySparkException, Py4JJavaError)):
-        getattr(read_raw(spark, CLAIMS, path, "split"), action)()
-    assert read_raw(spark, CLAIMS, path).count() == 3
+def test_json_array_with_braces_inside(spark, tmp_path, odd, action):
+    path = put(tmp_path / "claims.json", json.dumps([claim(0), claim(1, disease_name=odd), claim(2)]))
+    found = getattr(read_raw(spark, CLAIMS, path), action)()
+    if action == "count":
+        assert found == 3
+    else:
+        text = odd if isinstance(odd, str) else json.dumps(odd, separators=(",", ":"))
+        assert sorted((r.claim_id, r.disease_name) for r in found) == [("0", "Anthrax"), ("1", text), ("2", "Anthrax")]
+
+
+@pytest.fixture
+def small_splits(spark):
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    yield lambda size: spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def random_value(rnd, depth=0):
+    signs = ['"', "\\", "{", "}", "[", "]", ",", " ", "\n", "é", ":", "x"]
+    kind = rnd.random()
+    if depth < 3 and kind < 0.25:
+        return {"".join(rnd.choices(signs, k=3)) + str(i): random_value(rnd, depth + 1) for i in range(rnd.randrange(3))}
+    if depth < 3 and kind < 0.45:
+        return [random_value(rnd, depth + 1) for _ in range(rnd.randrange(3))]
+    return "".join(rnd.choices(signs, k=rnd.randrange(20)))
+
+
+@pytest.mark.parametrize("split", [1, 37, 400])
+def test_json_arrays_cut_anywhere(spark, tmp_path, small_splits, split):
+    """Random nesting, quotes and braces, three files side by side, splits of any size down to one byte."""
+    rnd = random.Random(split)
+    schema = StructType([StructField(name, StringType()) for name in ("id", "a", "b")])
+    expected = []
+    for file, count in enumerate([7, 12, 0]):
+        rows = [{"id": f"{file}-{i}", "a": random_value(rnd), "b": random_value(rnd)} for i in range(count)]
+        put(tmp_path / "in" / f"{file}.json", json.dumps(rows, indent=rnd.choice([None, 1]), ensure_ascii=False))
+        expected += [tuple(v if isinstance(v, str) else json.dumps(v, separators=(",", ":"), ensure_ascii=False)
+                           for v in row.values()) for row in rows]
+    small_splits(split)
+    found = readers.read_json_array(spark, str(tmp_path / "in"), schema)
+    assert sorted(map(tuple, found.collect())) == sorted(expected)
+
+
+def test_json_array_is_scanned_and_shuffled_once(spark, tmp_path, small_splits):
+    rows = [claim(i, disease_name={"n": i} if i % 7 == 0 else "x") for i in range(5000)]
+    path = put(tmp_path / "claims.json", json.dumps(rows))
+    small_splits(100_000)
+    kinds = [kind for kind, _ in plan_nodes(read_raw(spark, CLAIMS, path))]
+    assert kinds.count("FileSourceScanExec") == 1
+    # the pieces, a row per split and depth, the elements of more than one piece
+    assert kinds.count("ShuffleExchangeExec") == 3
+    assert not [kind for kind in kinds if "Python" in kind or "Arrow" in kind]
 
 
 def damaged_arrays():
@@ -93,50 +144,39 @@ def damaged_arrays():
 
 
 @pytest.mark.parametrize("text", list(damaged_arrays()))
-@pytest.mark.parametrize("reader", ["array", "split"])
-def test_damaged_arrays_are_refused(spark, tmp_path, text, reader):
+@pytest.mark.parametrize("split", [50, 1 << 20])
+def test_damaged_arrays_are_refused(spark, tmp_path, small_splits, text, split):
     path = put(tmp_path / "claims.json", text)
-    if reader == "array" and text.count("[") == 2:
-        pytest.skip("the exact reader takes the first array of a file that holds two")
+    small_splits(split)
     with pytest.raises((PySparkException, Py4JJavaError)):
-        read_raw(spark, CLAIMS, path, reader).collect()
-
-
-@pytest.mark.parametrize("opening", ["[", " \n[", "\ufeff[", ""])
-def test_bracket_check_reads_short_pieces(spark, tmp_path, opening):
-    objects = ",".join(json.dumps(claim(i)) for i in range(3000))
-    path = put(tmp_path / "claims.json", opening + objects + ("]" if opening else ""))
-    raw = read_raw(spark, CLAIMS, path)
-    leaves = raw._jdf.queryExecution().optimizedPlan().collectLeaves()
-    options = [leaves.apply(i).relation().options() for i in range(leaves.size())]
-    cuts = [option.apply("lineSep") for option in options if option.contains("lineSep")]
-    longest = [spark.read.option("lineSep", cut).text(path).selectExpr("max(length(value))").first()[0] for cut in cuts]
-    assert len(longest) == 1 and longest[0] < 1000
-    if opening:
-        assert raw.count() == 3000
-    else:
-        with pytest.raises((PySparkException, Py4JJavaError), match="no bracket at the start"):
-            raw.collect()
+        read_raw(spark, CLAIMS, path).collect()
+
+
+def test_one_damaged_file_among_whole_ones_is_refused_by_name(spark, tmp_path):
+    for i in range(3):
+        put(tmp_path / "in" / f"{i}.json", json.dumps([claim(i)]))
+    put(tmp_path / "in" / "cut.json", json.dumps([claim(8), claim(9)])[:-1])
+    with pytest.raises((PySparkException, Py4JJavaError), match="cut.json"):
+        read_raw(spark, CLAIMS, str(tmp_path / "in")).collect()
 
 
 def test_no_size_decides_how_an_array_is_read():
     assert not [name for name in vars(readers) if "BYTES" in name or "SIZE" in name]
 
 
-def test_json_array_is_read_by_many_tasks(spark, tmp_path):
+def test_json_array_is_read_by_many_tasks(spark, tmp_path, small_splits):
     path = put(tmp_path / "claims.json", json.dumps([claim(i) for i in range(20_000)]))
-    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "200000")
-    try:
-        pieces = read_json_split(spark, path, CLAIMS.raw_schema)
-        assert pieces.selectExpr("spark_partition_id() AS p").distinct().count() > 4
-        assert pieces.select("claim_id").distinct().count() == pieces.count() == 20_000
-    finally:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    small_splits(200_000)
+    assert pieces(spark, path).selectExpr("spark_partition_id() AS p").distinct().count() > 4
+    rows = readers.read_json_array(spark, path, CLAIMS.raw_schema)
+    assert rows.select("claim_id").distinct().count() == rows.count() == 20_000
 
 
-def test_empty_json_array(spark, tmp_path):
-    assert read_raw(spark, CLAIMS, put(tmp_path / "claims.json", "[]\n")).count() == 0
+@pytest.mark.parametrize("text", ["[]\n", "", " \n", "\ufeff[ \n ]"])
+def test_empty_json_array(spark, tmp_path, text):
+    put(tmp_path / "in" / "empty.json", text)
+    put(tmp_path / "in" / "claims.json", json.dumps([claim(1)]))
+    assert read_raw(spark, CLAIMS, str(tmp_path / "in")).count() == 1
 
 
 def test_json_lines(spark, tmp_path):
