@@ -7,7 +7,7 @@ ends in exactly one token `t` for which (last token of the shorter prefix, t) is
 
 with weight 1, or the number of UTF-8 bytes for a character outside the vocabulary. No piece of the vocabulary
 crosses from a word into the space before the next one, so the table of a text is the tables of its space-led words
-one after the other, and each distinct word is worked out once per worker (a memo of bounded size).
+one after the other, and each distinct word is worked out once per worker (memos bounded in bytes).
 
 The table keeps one signed byte per character: the change of the count. Its running sum is the exact count at every
 prefix, from which totals, truncation points and budget splits follow without encoding anything again.
@@ -29,9 +29,10 @@ from claimsieve.llm.shared import blocks
 
 MODEL = "piece_bpe_32k.model"
 SPACE = "▁"
-MEMO_WORDS = 1_000_000
+MEMO_BYTES = 48 << 20
+ENTRY_BYTES = 200  # of a word or a pair with its place in a dictionary, beside the characters
 MEMO_WORD_CHARS = 64
-BLOCK_CHARS = 4_000_000
+BLOCK_CHARS = 1_000_000
 
 _loaded: dict[str, "PrefixCounter"] = {}
 
@@ -54,6 +55,7 @@ class PrefixCounter:
         self.words = re.compile(r"(?s).+" if inner or lines else rf"\n|{SPACE}*[^{SPACE}\n]+|{SPACE}+").findall
         self.memo: dict[str, bytes] = {}
         self.pairs: dict[tuple[str, str], bool] = {}
+        self.memo_bytes = self.pair_bytes = 0
 
     def merge(self, text: str) -> list[str]:
         """The pieces of a short text: the best-ranked adjacent pair is joined first, the left one among equals."""
@@ -73,10 +75,12 @@ class PrefixCounter:
         """Whether `right` can stand after `left` in an encoding. `left` is empty at the start."""
         known = self.pairs.get((left, right))
         if known is None:
-            if len(self.pairs) >= MEMO_WORDS:
-                self.pairs.clear()
             known = self.merge(left + right) == ([left, right] if left else [right])
+            if self.pair_bytes > MEMO_BYTES:
+                self.pairs.clear()
+                self.pair_bytes = 0
             self.pairs[left, right] = known
+            self.pair_bytes += ENTRY_BYTES + len(left) + len(right)
         return known
 
     def learn(self, words: list[str]) -> Iterator[bytes]:
@@ -104,14 +108,19 @@ class PrefixCounter:
     def tables(self, texts: Sequence[str]) -> list[bytes]:
         """Per text one byte per character, behind one for the leading space that the model adds; b"" for no text."""
         worded = [self.words(SPACE + text.replace(" ", SPACE)) if text else [] for text in texts]
-        if len(self.memo) > MEMO_WORDS:
+        if self.memo_bytes > MEMO_BYTES:
             self.memo.clear()
+            self.memo_bytes = 0
         memo = self.memo
         new = sorted(word for word in set().union(*worded) if word not in memo)
-        known = dict(zip(new, self.learn(new), strict=True))
-        memo.update((word, table) for word, table in known.items() if len(word) <= MEMO_WORD_CHARS)
-        long = {word: table for word, table in known.items() if len(word) > MEMO_WORD_CHARS}
-        return [b"".join([memo.get(word) or long[word] for word in words]) for words in worded]
+        here: dict[str, bytes] = {}  # of this block alone: long words, and all once the memo is full
+        for word, table in zip(new, self.learn(new), strict=True):
+            if len(word) > MEMO_WORD_CHARS or self.memo_bytes > MEMO_BYTES:
+                here[word] = table
+            else:
+                memo[word] = table
+                self.memo_bytes += ENTRY_BYTES + 2 * len(word)
+        return [b"".join([memo.get(word) or here[word] for word in words]) for words in worded]
 
 
 def counter(model_file: str) -> PrefixCounter:
