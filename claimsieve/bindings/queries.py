@@ -16,7 +16,6 @@ from claimsieve.functions.rules import named
 from claimsieve.operators.allocation import allocation_weights
 from claimsieve.operators.dedupe import one_row_per_audited_key, one_row_per_key
 from claimsieve.operators.ordering import top_k
-from claimsieve.operators.skew import join_one_per_key, rows_per_key
 from claimsieve.operators.quality import duplicate_keys, duplicate_report, null_profile, null_report
 from claimsieve.operators.typed import conform
 from claimsieve.plans import job, readback, usecases
@@ -243,32 +242,36 @@ def uc11(t: Tables) -> DataFrame:
 
 
 def uc12(t: Tables) -> DataFrame:
-    orders = t("orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
-    customers = t("customer").select(F.col("c_custkey").alias("o_custkey"), "c_name")
-    insured = join_one_per_key(orders, customers, rows_per_key(orders, "o_custkey"), "o_custkey", "rows")
-    patients = insured.select(
-        F.col("o_orderkey").alias("patient_id"),
-        F.col("c_name").alias("patient_name"),
+    charges = t("orders").select(
+        F.col("o_custkey").alias("patient_id"),
+        "o_orderkey",
         F.col("o_orderstatus").alias("cashless_flag"),
         F.col("o_totalprice").alias("total_charges"),
     )
-    return usecases.cashless_high_charges(patients, flag="F")
+    patients = t("customer").select(F.col("c_custkey").alias("patient_id"), F.col("c_name").alias("patient_name"))
+    found = usecases.cashless_high_charges(charges, flag="F", patients=patients)
+    return found.select(F.col("o_orderkey").alias("patient_id"), "patient_name", "cashless_flag", "total_charges")
 
 
 def uc13(t: Tables) -> DataFrame:
-    shipped = t("lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_shipdate")
-    parts = t("part").select(F.col("p_partkey").alias("l_partkey"), "p_type", "p_size", "p_name")
-    lines = join_one_per_key(shipped, parts, rows_per_key(shipped, "l_partkey"), "l_partkey", "rows")
-    birth = F.make_date(F.lit(SHIPPED_AS_OF.year) - F.col("p_size"), F.lit(6), F.lit(30))
-    patients = lines.select(
-        F.col("l_orderkey").alias("patient_id"),
+    shipped = t("lineitem").select(
+        F.col("l_partkey").alias("patient_id"),
+        "l_orderkey",
         "l_linenumber",
+        F.col("l_shipdate").cast("date").alias("procedure_date"),
+    )
+    birth = F.make_date(F.lit(SHIPPED_AS_OF.year) - F.col("p_size"), F.lit(6), F.lit(30))
+    parts = t("part").select(
+        F.col("p_partkey").alias("patient_id"),
         F.col("p_type").alias("patient_gender"),
         birth.alias("patient_birth_date"),
         F.col("p_name").alias("procedure_name"),
-        F.col("l_shipdate").cast("date").alias("procedure_date"),
     )
-    return usecases.recent_knee_surgery(patients, SHIPPED_AS_OF, text="widget", gender="PROMO")
+    found = usecases.recent_knee_surgery(shipped, SHIPPED_AS_OF, text="widget", gender="PROMO", patients=parts)
+    return found.select(
+        F.col("l_orderkey").alias("patient_id"),
+        *("l_linenumber", "patient_gender", "patient_birth_date", "procedure_name", "procedure_date"),
+    )
 
 
 # --- the cleansing job over derived raw tables ------------------------------------------------

@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,15 +24,14 @@ from claimsieve.functions import fixed_values as fixed
 from claimsieve.functions.ages import AsOf, calendar_age, older_than, within_past_year, younger_than
 from claimsieve.functions.rules import contains_ignoring_case, money_or_zero
 from claimsieve.operators.allocation import TOTAL, allocate_to_groups
-from claimsieve.operators.skew import join_one_per_key, rows_per_key
+from claimsieve.operators.skew import join_even
 
 MONEY_RESULT = TOTAL
 
 
 def claims_per_disease(claims: DataFrame) -> DataFrame:
     """UC01: claims per disease; claims without a disease are a group of their own."""
-    counts = claims.groupBy("disease_name").agg(F.count("*").alias("total_claims"))
-    return counts
+    return claims.groupBy("disease_name").agg(F.count("*").alias("total_claims"))
 
 
 def young_subscribers(
@@ -61,31 +61,28 @@ def _attach(per_key: DataFrame, rows: DataFrame, key: str, unique_keys: bool) ->
     """Inner join of one result row per key with the rows of a large table, evenly even if a key repeats a lot."""
     if unique_keys:
         return per_key.join(rows, key)
-    return join_one_per_key(rows, per_key, rows_per_key(rows, key), key, "rows")
+    return join_even(rows, per_key, key)
 
 
 def subgroups_per_group(groups: DataFrame, bridge: DataFrame, unique_keys: bool = False) -> DataFrame:
     """UC03: distinct subgroups of every mapped group. `unique_keys`: no pair of the bridge repeats."""
     counts = bridge.groupBy("grp_id").agg(_distinct("subgrp_id", unique_keys).alias("subgroup_count"))
     named = counts.join(groups.select("grp_id", "grp_name"), "grp_id")
-    merged = named.groupBy("grp_id", "grp_name").agg(F.max("subgroup_count").alias("subgroup_count"))
-    return merged
+    return named.groupBy("grp_id", "grp_name").agg(F.max("subgroup_count").alias("subgroup_count"))
 
 
 def patients_per_hospital(hospitals: DataFrame, patients: DataFrame, unique_keys: bool = False) -> DataFrame:
     """UC04: distinct patients of every hospital that has any. `unique_keys`: no patient id repeats."""
     counts = patients.groupBy("hospital_id").agg(_distinct("patient_id", unique_keys).alias("patient_count"))
     named = counts.join(hospitals.select("hospital_id", "hospital_name"), "hospital_id")
-    merged = named.groupBy("hospital_id", "hospital_name").agg(F.max("patient_count").alias("patient_count"))
-    return merged
+    return named.groupBy("hospital_id", "hospital_name").agg(F.max("patient_count").alias("patient_count"))
 
 
 def subscriptions_per_subgroup(subscribers: DataFrame, subgroups: DataFrame) -> DataFrame:
     """UC05: subscriptions per subgroup; missing and unknown subgroups stay, without a name."""
     counts = subscribers.groupBy("subgrp_id").agg(F.count("*").alias("subscription_count"))
     named = counts.join(subgroups.select("subgrp_id", "subgrp_name"), "subgrp_id", "left")
-    merged = named.groupBy("subgrp_id", "subgrp_name").agg(F.sum("subscription_count").alias("subscription_count"))
-    return merged
+    return named.groupBy("subgrp_id", "subgrp_name").agg(F.sum("subscription_count").alias("subscription_count"))
 
 
 def rejected_claims(claims: DataFrame, status: str = "Rejected") -> DataFrame:
@@ -97,8 +94,7 @@ def claims_per_city(claims: DataFrame, patients: DataFrame, unique_keys: bool =
     """UC07: claims per city of their patient."""
     per_patient = claims.groupBy("patient_id").agg(F.count("*").alias("claims"))
     located = _attach(per_patient, patients.select("patient_id", "city"), "patient_id", unique_keys)
-    counts = located.groupBy("city").agg(F.sum("claims").alias("total_claims"))
-    return counts
+    return located.groupBy("city").agg(F.sum("claims").alias("total_claims"))
 
 
 def policy_type_preference(
@@ -109,8 +105,7 @@ def policy_type_preference(
     per_group = allocate_to_groups(bridge, per_subgroup, ["subscriptions"], weight_scale)
     typed = per_group.join(groups.select("grp_id", "grp_type"), "grp_id")
     weighted = F.round(F.sum("subscriptions"), 2).cast(MONEY_RESULT)
-    counts = typed.groupBy("grp_type").agg(weighted.alias("weighted_subscription_count"))
-    return counts
+    return typed.groupBy("grp_type").agg(weighted.alias("weighted_subscription_count"))
 
 
 def average_premium(subscribers: DataFrame, subgroups: DataFrame) -> DataFrame:
@@ -143,10 +138,8 @@ def group_profitability(
     accepted = claims.filter(F.col("claim_or_rejected") == status)
     per_subscriber = accepted.groupBy("sub_id").agg(F.sum(money_or_zero(F.col("claim_amount"))).alias("claimed"))
     slim = subscribers.select("sub_id", "subgrp_id")
-    if unique_keys:
-        insured = slim.join(per_subscriber, "sub_id", "left")
-    else:
-        insured = join_one_per_key(slim, per_subscriber, rows_per_key(slim, "sub_id"), "sub_id", "rows", "left")
+    join = slim.join if unique_keys else partial(join_even, slim)
+    insured = join(per_subscriber, "sub_id", "left")
     members = insured.groupBy("subgrp_id").agg(
         F.count("*").alias("members"), F.coalesce(F.sum("claimed"), F.lit(0)).cast(TOTAL).alias("claimed")
     )
@@ -166,8 +159,7 @@ def group_profitability(
         "grp_id",
     )
     premium, claim = F.col("total_allocated_premium"), F.col("total_allocated_claim_amount")
-    result = rounded.filter((premium != 0) | (claim != 0)).withColumn("profit", (premium - claim).cast(MONEY_RESULT))
-    return result
+    return rounded.filter((premium != 0) | (claim != 0)).withColumn("profit", (premium - claim).cast(MONEY_RESULT))
 
 
 def minor_cancer_patients(
@@ -194,31 +186,53 @@ def _limitation(df: DataFrame, reason: str) -> DataFrame:
     return spark.range(1).select(F.lit(fixed.NOT_AVAILABLE).alias("status"), F.lit(reason).alias("reason"))
 
 
+def _with(facts: DataFrame, patients: DataFrame | None) -> DataFrame:
+    return facts if patients is None else join_even(facts, patients, "patient_id")
+
+
 def cashless_high_charges(
-    patients: DataFrame, threshold: int = fixed.CASHLESS_CHARGES, flag: str = "Y"
+    charges: DataFrame,
+    threshold: int = fixed.CASHLESS_CHARGES,
+    flag: str = "Y",
+    patients: DataFrame | None = None,
 ) -> DataFrame:
-    """UC12: cashless patients with charges from `threshold` on; a stated limitation without the columns."""
-    if not {"cashless_flag", "total_charges"} <= set(patients.columns):
-        return _limitation(patients, fixed.NO_CASHLESS_COLUMNS)
-    return patients.filter((F.col("cashless_flag") == flag) & (F.col("total_charges") >= threshold))
+    """UC12: cashless patients with charges from `threshold` on; a stated limitation without the columns.
+
+    `patients` adds the columns of each patient, one row per patient_id, to the charges that the filter leaves.
+    """
+    if not {"cashless_flag", "total_charges"} <= set(charges.columns):
+        return _limitation(charges, fixed.NO_CASHLESS_COLUMNS)
+    return _with(charges.filter((F.col("cashless_flag") == flag) & (F.col("total_charges") >= threshold)), patients)
 
 
 def recent_knee_surgery(
-    patients: DataFrame,
+    procedures: DataFrame,
     as_of: AsOf = None,
     years: int = fixed.KNEE_SURGERY_AGE,
     text: str = fixed.KNEE_TEXT,
     gender: str = "Female",
+    patients: DataFrame | None = None,
 ) -> DataFrame:
-    """UC13: women older than `years` with such surgery in the past year; a limitation without the columns."""
-    if not {"procedure_name", "procedure_date"} <= set(patients.columns):
-        return _limitation(patients, fixed.NO_PROCEDURE_COLUMNS)
-    return patients.filter(
-        (F.col("patient_gender") == gender)
-        & older_than(F.col("patient_birth_date"), years, as_of)
-        & within_past_year(F.col("procedure_date"), as_of)
-        & contains_ignoring_case(F.col("procedure_name"), text)
-    )
+    """UC13: women older than `years` with such surgery in the past year; a limitation without the columns.
+
+    `patients`, one row per patient_id, may hold any columns but procedure_date; every table is filtered by what it
+    holds before the two are joined.
+    """
+    sides = [procedures] if patients is None else [procedures, patients]
+    if not {"procedure_name", "procedure_date"} <= {name for side in sides for name in side.columns}:
+        return _limitation(procedures, fixed.NO_PROCEDURE_COLUMNS)
+    conditions = {
+        "patient_gender": F.col("patient_gender") == gender,
+        "patient_birth_date": older_than(F.col("patient_birth_date"), years, as_of),
+        "procedure_date": within_past_year(F.col("procedure_date"), as_of),
+        "procedure_name": contains_ignoring_case(F.col("procedure_name"), text),
+    }
+
+    def matching(side: DataFrame) -> DataFrame:
+        held = [condition for name, condition in conditions.items() if name in side.columns]
+        return side.filter(reduce(Column.__and__, held)) if held else side
+
+    return _with(matching(procedures), None if patients is None else matching(patients))
 
 
 @dataclass(frozen=True)

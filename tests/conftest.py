@@ -6,7 +6,12 @@ from claimsieve.session import local_session
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     session = local_session(
-        8, **{"spark.driver.memory": "8g", "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared"))}
+        8,
+        **{
+            "spark.driver.memory": "8g",
+            "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
+            "spark.sql.maxMetadataStringLength": "2000",
+        },
     )
     yield session
     session.stop()
