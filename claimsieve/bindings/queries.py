@@ -24,7 +24,7 @@ from claimsieve.plans.usecases import answer
 from claimsieve.session import scratch_folder
 from claimsieve.sinks.writers import export_csv, export_json_lines, write_table
 from claimsieve.sources.layout import Layout
-from claimsieve.sources.readers import read_export, read_raw, rows_per_file, staged_files
+from claimsieve.sources.readers import inventory, read_export, read_raw
 from claimsieve.sources.specs import CLAIMS, TABLES
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -376,20 +376,11 @@ def typed_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(spark.read.parquet(core))
 
 
-STAGED = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
-
-
 def staged_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The files of the relational tables with their rows; the parts of a table count for it, an empty file with 0."""
-
-    def name(path: str) -> Column:
-        return F.regexp_extract(path, r"([^/]+\.parquet)(?:/[^/]+)?$", 1)
-
-    files = staged_files(spark, sf_dir).select(name("path").alias("file")).distinct()
-    wanted = files.filter(F.col("file").isin([f"{table}.parquet" for table in STAGED]))
-    counts = [rows_per_file(loader(spark, sf_dir)(table), name("_metadata.file_path")) for table in STAGED]
-    listed = wanted.join(functools.reduce(DataFrame.unionByName, counts), "file", "left")
-    return listed.select("file", F.coalesce("rows", F.lit(0).cast("long")).alias("rows"))
+    """Everything that lies in the folder with its rows; the parts of a table count for it, an empty file with 0."""
+    # what lies directly in the folder: the first name behind its own in the path
+    inside = F.regexp_extract("path", rf"/\Q{sf_dir.strip('/').rsplit('/', 1)[-1]}\E/([^/]+)", 1)
+    return inventory(spark, sf_dir).groupBy(inside.alias("file")).agg(F.sum("rows").alias("rows"))
 
 
 def dedupe_audited(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -19,8 +19,29 @@ def rows_per_file(df: DataFrame, file: Column | None = None) -> DataFrame:
 
 def staged_files(spark: SparkSession, path: str) -> DataFrame:
     """SRC-05: the files below a folder; their content is not read."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    return files.select("path", "length", "modificationTime")
+    return _listed(spark, path).select("path", "length", "modificationTime")
+
+
+def _listed(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+
+
+def inventory(spark: SparkSession, path: str, pattern: str = "*.parquet") -> DataFrame:
+    """SRC-05: path, length, modificationTime and rows of every file below a folder, in folders of any depth.
+
+    Rows are counted for Parquet files, those whose name matches `pattern`: a single scan over all of them, whatever
+    their columns, asks for no column and so reads footers alone. A file without rows has 0, any other file null.
+    """
+    # the files differ in their columns; a name that none of them has is never read
+    files = spark.read.schema("`no column` int").option("recursiveFileLookup", True)
+    counts = rows_per_file(files.option("pathGlobFilter", pattern).parquet(path))
+    name = F.col("_metadata.file_name")
+    counted = name.like(pattern.replace("%", r"\%").replace("_", r"\_").replace("*", "%"))
+    listed = _listed(spark, path).select(
+        *("path", "length", "modificationTime"), F.col("_metadata.file_path").alias("file"), counted.alias("counted")
+    )
+    rows = F.when(F.col("counted"), F.coalesce("rows", F.lit(0)))
+    return listed.join(counts, "file", "left").select("path", "length", "modificationTime", rows.alias("rows"))
 
 
 def read_csv(spark: SparkSession, path: str) -> DataFrame:

@@ -8,7 +8,7 @@ from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql.types import StringType, StructField, StructType
 
-from claimsieve.bindings.queries import STAGED, staged_inventory
+from claimsieve.bindings.queries import staged_inventory
 from claimsieve.sinks.writers import export_csv, register_views, write_table
 from claimsieve.sources.layout import Layout
 from claimsieve.sources import readers
@@ -207,12 +207,22 @@ def test_rows_per_file(spark, tmp_path):
     assert sum(row.rows for row in listed) == 10 and len(listed) == 2
 
 
-def test_inventory_lists_empty_files(spark, tmp_path):
-    for i, table in enumerate(STAGED):
-        frame = spark.range(i).toPandas()
-        frame.to_parquet(str(tmp_path / f"{table}.parquet"))
-    listed = {row.file: row.rows for row in staged_inventory(spark, str(tmp_path)).collect()}
-    assert listed == {f"{table}.parquet": i for i, table in enumerate(STAGED)}
+def test_inventory_lists_every_file(spark, tmp_path):
+    for i in range(4):
+        spark.range(i).toPandas().to_parquet(str(tmp_path / f"table {i}_x%.parquet"))
+    write_table(spark.range(10).selectExpr("id AS other", "'x' AS more").repartition(3), str(tmp_path / "folder.parquet"))
+    put(tmp_path / "deep" / "er" / "notes.txt", "hello")
+    listed = readers.inventory(spark, str(tmp_path))
+    rows = {row.path.split("/")[-1]: row.rows for row in listed.collect()}
+    assert {name: n for name, n in rows.items() if name.startswith("table")} == {f"table {i}_x%.parquet": i for i in range(4)}
+    assert sorted(n for name, n in rows.items() if name.startswith("part-")) and sum(
+        n for name, n in rows.items() if name.startswith("part-")
+    ) == 10
+    assert rows["notes.txt"] is None
+    scans = [text for kind, text in plan_nodes(listed) if "FileScan parquet" in text]
+    assert len(scans) == 1 and "ReadSchema: struct<>" in scans[0]
+    whole = {row.file: row.rows for row in staged_inventory(spark, str(tmp_path)).collect()}
+    assert whole == {f"table {i}_x%.parquet": i for i in range(4)} | {"folder.parquet": 10, "deep": None}
 
 
 def test_full_refresh_replaces_rows(spark, tmp_path):
