@@ -1,7 +1,8 @@
 """The full run: raw files -> stage -> reports and clean tables -> core -> outputs.
 
 Raw text is parsed once and staged as Parquet; the reports and the cleaner read the staged columns
-they need. Every step replaces its tables, so a failed run is simply started again.
+they need. A run writes a version of its own and publishes it when all tables stand, so a failed run
+changes nothing that readers see and is simply started again.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from claimsieve.operators.typed import conform
 from claimsieve.plans.cleansing import apply_rules, normalise
 from claimsieve.plans.sizing import SHUFFLE_TARGET, SPLIT_TARGET, sized_tasks
 from claimsieve.plans.usecases import USE_CASES, answer
+from claimsieve.sinks import snapshots
 from claimsieve.sinks.writers import export_csv, register_views, write_table
 from claimsieve.sources.layout import Layout
 from claimsieve.sources.readers import read_export, read_raw
@@ -87,18 +89,14 @@ def clean_tables(spark: SparkSession, layout: Layout, csv: bool = False) -> dict
 
 def open_core(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:
     """The core tables straight from the Parquet clean layer, which has their types already."""
-    core = clean_tables(spark, layout)
-    register_views(core)
-    return core
+    return clean_tables(spark, layout)
 
 
 def load_core(spark: SparkSession, layout: Layout, csv: bool = False) -> dict[str, DataFrame]:
-    """SNK-02 / 03: full reload of the core tables from the clean folders, and a view for each."""
+    """SNK-02 / 03: full reload of the core tables from the clean folders."""
     tables = clean_tables(spark, layout, csv)
     _run_all([lambda name=name, df=df: write_table(df, layout.core(name)) for name, df in tables.items()])
-    core = {name: spark.read.schema(df.schema).parquet(layout.core(name)) for name, df in tables.items()}
-    register_views(core)
-    return core
+    return {name: spark.read.schema(df.schema).parquet(layout.core(name)) for name, df in tables.items()}
 
 
 def register_allocation_view(core: Mapping[str, DataFrame], weight_scale: int | None = None) -> None:
@@ -129,15 +127,21 @@ def run(
     copy_core: bool = False,
     shuffle_target: int = SHUFFLE_TARGET,
     split_target: int = SPLIT_TARGET,
-) -> None:
-    """Everything, from the raw folder to the output tables.
+) -> Layout:
+    """Everything, from the raw folder to the output tables. Returns the folders of the published version.
 
-    A CSV clean layer is loaded into typed core tables. A Parquet one is typed already and read in place, unless
+    Readers see the former version until the last table is written, and all of the new one from then on; the views of
+    the session follow. A CSV clean layer is loaded into typed core tables. A Parquet one is typed already and read in place, unless
     `copy_core` asks for a second copy. The targets are bytes per shuffle partition and per input split; the session's
     settings are as before when the job ends.
     """
+    fresh = snapshots.begin(layout)
     with sized_tasks(spark, layout.raw(""), shuffle_target, split_target):
-        cleanse(spark, layout, json_layout=json_layout, csv_export=csv)
-        core = load_core(spark, layout, csv) if csv or copy_core else open_core(spark, layout)
-        register_allocation_view(core, weight_scale)
-        write_outputs(core, layout, fixed_day(spark, as_of), weight_scale)
+        cleanse(spark, fresh, json_layout=json_layout, csv_export=csv)
+        core = load_core(spark, fresh, csv) if csv or copy_core else open_core(spark, fresh)
+        write_outputs(core, fresh, fixed_day(spark, as_of), weight_scale)
+    snapshots.publish(spark, fresh)
+    register_views(core)
+    register_allocation_view(core, weight_scale)
+    snapshots.remove_old(spark, layout)
+    return fresh

@@ -10,6 +10,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from claimsieve.operators.ordering import top_k
+from claimsieve.sinks.snapshots import current
 from claimsieve.sources.layout import Layout
 
 
@@ -44,5 +45,5 @@ def view(name: str, df: DataFrame) -> DataFrame:
 
 
 def read_back(spark: SparkSession, layout: Layout, name: str) -> DataFrame:
-    """The validation read of the stored table."""
-    return view(name, spark.read.parquet(layout.output(READ_BACKS[name].table)))
+    """The validation read of the stored table, of the current version unless `layout` names one."""
+    return view(name, spark.read.parquet(current(spark, layout).output(READ_BACKS[name].table)))

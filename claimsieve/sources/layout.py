@@ -1,4 +1,7 @@
-"""SRC-06: the folders of one run, all below one base path on any Hadoop file system."""
+"""SRC-06: the folders of one run, all below one base path on any Hadoop file system.
+
+Raw files lie directly below the base. All that a run writes lies in the folder of its version, where there is one.
+"""
 
 from __future__ import annotations
 
@@ -8,12 +11,22 @@ from dataclasses import dataclass
 @dataclass(frozen=True)
 class Layout:
     base: str
+    version: str | None = None
 
-    def _in(self, *parts: str) -> str:
+    def _below(self, *parts: str) -> str:
         return "/".join([self.base.rstrip("/"), *parts])
 
+    def _in(self, *parts: str) -> str:
+        return self._below(*parts) if self.version is None else self._below("versions", self.version, *parts)
+
     def raw(self, file: str) -> str:
-        return self._in("raw", file)
+        return self._below("raw", file)
+
+    def versions(self) -> str:
+        return self._below("versions")
+
+    def pointer(self, name: str) -> str:
+        return self._below(name)
 
     def stage(self, table: str) -> str:
         return self._in("stage", table)

@@ -12,6 +12,7 @@ from claimsieve.plans import job
 from claimsieve.plans.readback import READ_BACKS, read_back
 from claimsieve.plans.sizing import MIB, sized_tasks, task_sizes
 from claimsieve.plans.usecases import USE_CASES
+from claimsieve.sinks import snapshots
 from claimsieve.sources.layout import Layout
 from claimsieve.sources.specs import TABLES
 
@@ -74,7 +75,7 @@ def finished(request, spark, tmp_path_factory):
     lines = variant == "lines"
     layout = write_raw(tmp_path_factory.mktemp("job"), lines)
     for _ in range(2):  # a second run replaces the first
-        job.run(
+        published = job.run(
             spark,
             layout,
             as_of=AS_OF,
@@ -82,7 +83,7 @@ def finished(request, spark, tmp_path_factory):
             csv=clean_format == "csv",
             copy_core=variant == "copied",
         )
-    return layout
+    return published
 
 
 EXPECTED = {
@@ -187,7 +188,49 @@ def test_line_breaks_pass_through_the_delimited_layer(spark, tmp_path):
     claims = json.loads(path.read_text())
     claims[0]["disease_name"] = 'one\ntwo, "three"\r\nfour'
     path.write_text(json.dumps(claims))
-    job.run(spark, layout, as_of=AS_OF, csv=True)
+    layout = job.run(spark, layout, as_of=AS_OF, csv=True)
     stored = spark.read.parquet(layout.core("claims"))
     assert 'one\ntwo, "three"\r\nfour'.title().lower() in {(r.disease_name or "").lower() for r in stored.collect()}
     assert stored.count() == spark.read.parquet(layout.stage("claims")).select("claim_id").distinct().count()
+
+
+class Killed(BaseException):
+    """Stands for a driver that goes away."""
+
+
+@pytest.mark.parametrize("lost_at", ["core/claims", "output/uc08_policy_type_preference"])
+def test_a_run_lost_between_two_tables_leaves_the_former_state(spark, tmp_path, monkeypatch, lost_at):
+    layout = write_raw(tmp_path)
+    first = job.run(spark, layout, as_of=AS_OF, copy_core=True)
+
+    def state():
+        found = snapshots.current(spark, layout)
+        tables = [found.output(name) for name in USE_CASES] + [found.core(name) for name in TABLES]
+        return [sorted(map(str, spark.read.parquet(path).collect())) for path in tables]
+
+    before = state()
+    (tmp_path / "raw" / "claims.json").write_text(json.dumps(CLAIMS[:1]))
+    write = job.write_table
+
+    def dying(df, path):
+        if lost_at in path:
+            raise Killed(path)
+        write(df, path)
+
+    monkeypatch.setattr(job, "write_table", dying)
+    with pytest.raises(Killed):
+        job.run(spark, layout, as_of=AS_OF, copy_core=True)
+    assert snapshots.current(spark, layout) == first and state() == before
+    assert len(snapshots.versions(spark, layout)) == 2
+    monkeypatch.setattr(job, "write_table", write)
+    second = job.run(spark, layout, as_of=AS_OF, copy_core=True)
+    assert snapshots.current(spark, layout) == second and state() != before
+    # the remains of the lost run are gone; the version before is there for readers that have opened it
+    assert snapshots.versions(spark, layout) == sorted([first.version, second.version])
+    third = job.run(spark, layout, as_of=AS_OF, copy_core=True)
+    assert snapshots.versions(spark, layout) == [second.version, third.version]
+
+
+def test_nothing_is_read_before_the_first_run(spark, tmp_path):
+    with pytest.raises(snapshots.NothingPublished):
+        read_back(spark, Layout(str(tmp_path)), "va01")
