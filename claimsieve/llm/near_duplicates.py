@@ -7,14 +7,17 @@
    is later than the latest first arrival of all components. Two documents agree in a component with a probability
    equal to the probability Jaccard similarity of their weights.
 3. Bands of `ROWS` components are bucket keys. Only buckets with two or more nodes matter.
-4. In rounds, every member of a bucket is compared with a few leaders of the bucket, never with all others: leaders are
-   taken from the smallest components of the bucket first, members of the leader's own component are skipped, leaders
-   that have met all others leave. Links merge components between rounds, so that a bucket of thousands of copies of one
-   text is settled as soon as they hang together. Rounds end when each bucket holds a single component or is exhausted,
-   and the number of leaders grows fourfold each round; no bucket and no partner is capped.
+4. The members of a bucket are compared inside a task by their whole sketches, a byte per component; no pair is sent
+   anywhere because of its bucket alone. First, pairs of `SURE` agreement propose a spanning forest of each bucket, no
+   more edges than members; their exact comparison merges most of what belongs together. Then the buckets that still
+   hold several components are compared with their shingle sets at hand: pairs of different components and at least
+   `FLOOR` agreement, the likeliest first, each link joining components at once, so again only the edges of a forest
+   leave the task. Buckets above `CHUNK` members or `CHUNK_BYTES` of sets are cut into parts, and the largest component
+   meets the others only, part by part: no bucket, partner or candidate is capped.
 5. A comparison is the exact probability Jaccard of the two shingle multisets; a link needs `SIMILARITY`.
 
-With 36 bands of 7 rows a pair of similarity 0.8 is missed with probability 2e-4, one of 0.85 with 1e-6.
+With 36 bands of 7 rows a pair of similarity 0.8 is missed with probability 2e-4, one of 0.85 with 1e-6. The agreement
+of 252 components has a standard deviation of 0.025 at 0.8, so `FLOOR` misses another 4e-5 there.
 """
 
 from __future__ import annotations
@@ -23,6 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -36,6 +40,12 @@ ROWS = 7
 BLOCK_CHARS = 1_000_000
 MEMO_WORDS = 150_000
 ARRIVALS = 50_000
+SURE = 0.82
+FLOOR = 0.7
+CHUNK = 2_000
+CHUNK_BYTES = 64 << 20
+LEADERS = 8
+STRIP_BYTES = 32 << 20
 
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
@@ -171,19 +181,25 @@ def content_key(text: Column) -> Column:
     return key(F.coalesce(text, F.lit("")))
 
 
-def shingle_sets(docs: DataFrame, keys: DataFrame) -> DataFrame:
-    """content_key, shingles and weights (binary) of the nodes in `keys`, each once."""
+def shingle_sets(docs: DataFrame, keys: DataFrame, components: int) -> DataFrame:
+    """content_key, shingles, weights, sketch (binary) and bytes of the nodes in `keys`, each once.
+
+    The sketch here holds the last byte of each component: one in 256 unlike ones looks alike.
+    """
 
     def sets(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in blocks(pdfs, "text", BLOCK_CHARS):
             found, text, shingle, weight = shingles(list(pdf["text"]))
             ends = np.searchsorted(text, np.arange(1, len(found) + 1))
             spans = list(zip([0, *ends[:-1]], ends, strict=True))
+            winners = prob_min_hash(len(found), text, shingle, weight, components).astype(np.uint8)
             yield pd.DataFrame(
                 {
                     "content_key": found,
                     "shingles": [shingle[a:b].tobytes() for a, b in spans],
                     "weights": [weight[a:b].astype("<u4").tobytes() for a, b in spans],
+                    "sketch": [row.tobytes() for row in winners],
+                    "bytes": [12 * int(b - a) + 200 for a, b in spans],
                 }
             )
 
@@ -191,7 +207,8 @@ def shingle_sets(docs: DataFrame, keys: DataFrame) -> DataFrame:
     wanted = keys.select("content_key")
     near, hit = marked(texts, F.xxhash64("content_key"), wanted, F.xxhash64("content_key"))
     once = near.filter(hit).groupBy("content_key").agg(F.min("text").alias("text")).join(wanted, "content_key")
-    return once.select("text").mapInPandas(sets, "content_key binary, shingles binary, weights binary")
+    fields = "content_key binary, shingles binary, weights binary, sketch binary, bytes long"
+    return once.select("text").mapInPandas(sets, fields)
 
 
 def links(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
@@ -242,32 +259,160 @@ def merged(nodes: DataFrame, edges: DataFrame) -> DataFrame:
         edges = edges.select("a", "b")
 
 
+class Group:
+    """Members of one bucket, or of two parts of it, in a task."""
+
+    def __init__(self, rows: list[dict], exact: bool, similarity: float):
+        self.rows, self.exact, self.similarity = rows, exact, similarity
+        self.leader: dict[bytes, bytes] = {}
+
+    def component(self, row: dict) -> bytes:
+        own = row["component"]
+        while (above := self.leader.get(own, own)) != own:
+            self.leader[own] = own = self.leader.get(above, above)
+        return own
+
+    def likely(self) -> list[tuple[float, int, int]]:
+        """(agreement, place, place) of the pairs worth a look, the likeliest first, ties by place."""
+        least = FLOOR if self.exact else SURE
+        sketches = np.stack([np.frombuffer(row["sketch"], np.uint8) for row in self.rows])
+        sides = np.array([row["side"] for row in self.rows])
+        names = {name: number for number, name in enumerate({row["component"] for row in self.rows})}
+        own = np.array([names[row["component"]] for row in self.rows])
+        one_part = len(set(sides.tolist())) == 1 and self.rows[0]["p"] == self.rows[0]["q"]
+        # the rows of the largest component meet the others from their side
+        outer = np.flatnonzero(own != np.bincount(own).argmax()) if one_part else np.flatnonzero(sides == sides.max())
+        if one_part and len(names) == len(own):
+            outer = np.arange(len(own))
+        inner = np.zeros(len(own), bool)
+        inner[outer] = True
+        found = []
+        strip = max(1, STRIP_BYTES // sketches.size)
+        for start in range(0, len(outer), strip):
+            some = outer[start : start + strip]
+            agreement = (sketches[some][:, None, :] == sketches[None, :, :]).mean(axis=2)
+            agreement[own[some][:, None] == own[None, :]] = 0
+            if not one_part:
+                agreement[sides[some][:, None] == sides[None, :]] = 0
+            agreement[inner[None, :] & (np.arange(len(own))[None, :] <= some[:, None])] = 0  # met from the other side
+            left, right = np.nonzero(agreement >= least)
+            found += zip((-agreement[left, right]).tolist(), some[left].tolist(), right.tolist(), strict=True)
+        return sorted(found)
+
+    def linked(self, a: dict, b: dict) -> bool:
+        """Whether the pair is alike; without sets at hand every likely pair counts."""
+        if not self.exact:
+            return True
+        return (
+            probability_jaccard(
+                np.frombuffer(a["shingles"], np.uint64), np.frombuffer(a["weights"], "<u4"),
+                np.frombuffer(b["shingles"], np.uint64), np.frombuffer(b["weights"], "<u4"),
+            ) >= self.similarity - 1e-9
+        )
+
+    def forest(self) -> list[dict]:
+        """The links that join components, each pair looked at unless links before it have joined it."""
+        edges = []
+        for _, i, j in self.likely():
+            a, b = self.rows[i], self.rows[j]
+            own, other = self.component(a), self.component(b)
+            if own != other and self.linked(a, b):
+                self.leader[max(own, other)] = min(own, other)
+                low, high = sorted((a["content_key"], b["content_key"]))
+                edges.append({"a": low, "b": high})
+        return edges
+
+
+def compared(rows: DataFrame, exact: bool, similarity: float) -> DataFrame:
+    """Edges (a, b) between the members of each group (bucket, p, q), which stream through a task one after the other.
+
+    In a group of two parts, p and q, only members of different `side` meet.
+    """
+    schema = pa.schema([("a", pa.binary()), ("b", pa.binary())])
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group: list[dict] = []
+        name = None
+        for batch in batches:
+            for row in batch.to_pylist():
+                if (row["bucket"], row["p"], row["q"]) != name:
+                    if len(group) > 1:
+                        yield pa.RecordBatch.from_pylist(Group(group, exact, similarity).forest(), schema=schema)
+                    group, name = [], (row["bucket"], row["p"], row["q"])
+                group.append(row)
+        if len(group) > 1:
+            yield pa.RecordBatch.from_pylist(Group(group, exact, similarity).forest(), schema=schema)
+
+    keys = "bucket", "p", "q"
+    dealt = rows.repartition(*keys).sortWithinPartitions(*keys, "content_key")
+    return dealt.mapInArrow(compare, "a binary, b binary").distinct()
+
+
+def _met_by_leaders(placed: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """Links of the members of buckets that were cut to a few leaders of the bucket, of small components first."""
+    sized = Window.partitionBy("bucket", "component")
+    order = Window.partitionBy("bucket").orderBy("members", F.xxhash64("content_key"), "content_key")
+    counted = placed.withColumn("members", F.count("*").over(sized))
+    leaders = counted.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= LEADERS)
+    leaders = leaders.select("bucket", F.col("content_key").alias("leader"), F.col("component").alias("leads"))
+    met = placed.join(leaders, "bucket").filter(F.col("component") != F.col("leads"))
+    pairs = met.select(F.least("content_key", "leader").alias("a"), F.greatest("content_key", "leader").alias("b"))
+    return links(pairs.distinct(), sets, similarity)
+
+
+def _parts(rows: Column, size: Column) -> Column:
+    return F.greatest(F.ceil(rows / CHUNK), F.ceil(size / CHUNK_BYTES), F.lit(1)).cast("int")
+
+
+def _open_groups(placed: DataFrame) -> DataFrame:
+    """The members of buckets with several components, in the groups (p, q) in which they are compared.
+
+    The largest component is cut into parts 0 to a - 1, the other members into parts from a on. Pairs of parts of the
+    largest component are no groups. What fits is one group.
+    """
+    parts = placed.groupBy("bucket", "component").agg(F.count("*").alias("n"), F.sum("bytes").alias("size"))
+    largest = F.max(F.struct("n", "size", "component"))
+    whole = parts.groupBy("bucket").agg(
+        largest.alias("largest"), F.sum("n").alias("n"), F.sum("size").alias("size"), F.count("*").alias("components")
+    )
+    a, b = F.col("large_parts"), F.col("small_parts")
+    opened = whole.filter(F.col("components") > 1).select(
+        "bucket",
+        F.col("largest.component").alias("largest"),
+        (_parts(F.col("n"), F.col("size")) == 1).alias("single"),
+        _parts(F.col("largest.n"), F.col("largest.size")).alias("large_parts"),
+        _parts(F.col("n") - F.col("largest.n"), F.col("size") - F.col("largest.size")).alias("small_parts"),
+    )
+    is_large = F.col("component") == F.col("largest")
+    part = F.pmod(F.xxhash64("content_key"), F.when(is_large, a).otherwise(b)).cast("int")
+    own = F.when(F.col("single"), 0).when(is_large, part).otherwise(a + part)
+
+    def pair(other: Column) -> Column:
+        return F.struct(F.least("side", other).alias("p"), F.greatest("side", other).alias("q"))
+
+    smalls = F.transform(F.sequence(F.lit(0), b - 1), lambda i: pair(a + i))
+    larges = F.transform(F.sequence(F.lit(0), a - 1), pair)
+    groups = F.when(F.col("single"), F.array(pair(F.lit(0)))).when(is_large, smalls).otherwise(F.concat(larges, smalls))
+    dealt = placed.join(opened, "bucket").withColumn("side", own).withColumn("group", F.explode(groups))
+    return dealt.select("bucket", "group.p", "group.q", "side", "content_key", "component")
+
+
 def settled(members: DataFrame, nodes: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     """`nodes` after all buckets of `members` (bucket, content_key) are settled."""
-    leaders_per_bucket, turn = 2, 0
-    while True:
-        placed = members.join(nodes, "content_key")
-        parts = placed.groupBy("bucket", "component").agg(F.count("*").alias("size"))
-        open_buckets = parts.groupBy("bucket").agg(F.count("*").alias("parts")).filter(F.col("parts") > 1)
-        sized = parts.join(open_buckets.select("bucket"), "bucket")
-        members = stored(placed.join(sized, ["bucket", "component"]))
-        if members.isEmpty():
-            return nodes
-        order = Window.partitionBy("bucket").orderBy("size", F.xxhash64("content_key", F.lit(turn)), "content_key")
-        leaders = members.withColumn("place", F.row_number().over(order)).filter(
-            F.col("place") <= leaders_per_bucket
-        )
-        leaders = stored(
-            leaders.select("bucket", F.col("content_key").alias("leader"), F.col("component").alias("leads"))
-        )
-        met = members.join(leaders, "bucket").filter(F.col("component") != F.col("leads"))
-        pairs = met.select(
-            F.least("content_key", "leader").alias("a"), F.greatest("content_key", "leader").alias("b")
-        ).distinct()
-        nodes = merged(nodes, stored(links(pairs, sets, similarity)))
-        gone = leaders.select("bucket", F.col("leader").alias("content_key"))
-        members = members.select("bucket", "content_key").join(gone, ["bucket", "content_key"], "left_anti")
-        leaders_per_bucket, turn = 4 * leaders_per_bucket, turn + 1
+    sizes = members.groupBy("bucket").agg(F.count("*").alias("n"))
+    wide = sizes.filter(F.col("n") > CHUNK)
+    side = F.pmod(F.xxhash64("content_key"), F.ceil(F.col("n") / CHUNK)).cast("int")
+    parted = members.join(sizes, "bucket").select("bucket", "content_key", side.alias("side"))
+    alone = parted.select("*", *(F.col("side").alias(name) for name in "pq"), F.col("content_key").alias("component"))
+    sketches = sets.select("content_key", "sketch")
+    proposed = stored(compared(alone.join(sketches, "content_key"), False, similarity))
+    nodes = merged(nodes, stored(links(proposed, sets, similarity)))
+    if not wide.isEmpty():
+        cut = members.join(wide.select("bucket"), "bucket").join(nodes, "content_key")
+        nodes = merged(nodes, stored(_met_by_leaders(cut, sets, similarity)))
+    placed = members.join(nodes, "content_key").join(sets.select("content_key", "bytes"), "content_key")
+    doubtful = _open_groups(stored(placed)).join(sets.drop("bytes"), "content_key")
+    return merged(nodes, stored(compared(doubtful, True, similarity)))
 
 
 def content_classes(
@@ -280,7 +425,7 @@ def content_classes(
     shared = in_bucket.groupBy("bucket").agg(F.count("*").alias("nodes")).filter(F.col("nodes") > 1)
     members = stored(in_bucket.join(shared.select("bucket"), "bucket"))
     nodes = stored(members.select("content_key").distinct())
-    sets = stored(shingle_sets(docs, nodes))
+    sets = stored(shingle_sets(docs, nodes, bands * rows))
     start = nodes.withColumn("component", F.col("content_key"))
     return found.select("doc_id", "content_key"), settled(members, start, sets, similarity)
 

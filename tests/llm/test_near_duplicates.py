@@ -70,6 +70,29 @@ def rows():
     return copies(12)
 
 
+@pytest.mark.parametrize("limits", [{"CHUNK": 4}, {"CHUNK_BYTES": 3000}])
+def test_buckets_in_parts_give_the_same_classes(spark, rows, monkeypatch, limits):
+    for name, value in limits.items():
+        monkeypatch.setattr(near_duplicates, name, value)
+    assert bag(near_duplicates.classes(documents(spark, rows))) == brute_force(rows)
+
+
+def test_a_bucket_of_unlike_texts_sends_few_pairs(spark):
+    """Texts that share a passage are alike in many bands and not alike: members grow, edges do not."""
+    passage = [f"p{i}" for i in range(60)]
+    texts = [" ".join(passage + [f"s{i}x{j}" for j in range(22)]) for i in range(400)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r.class_id for r in near_duplicates.classes(docs).collect()} == set(range(400))
+    rows = []
+    for number, text in enumerate(texts):
+        key, _, shingle, weight = near_duplicates.shingles([text])
+        sketch = near_duplicates.prob_min_hash(1, np.zeros(len(shingle), int), shingle, weight, 252).astype(np.uint8)
+        rows.append({"bucket": 1, "p": 0, "q": 0, "side": 0, "content_key": key[0], "component": key[0],
+                     "sketch": sketch[0].tobytes(), "shingles": shingle.tobytes(),
+                     "weights": weight.astype("<u4").tobytes()})
+    assert near_duplicates.Group(rows, True, 0.8).forest() == []
+    assert len(near_duplicates.Group(rows, False, 0.8).forest()) < 20
+
 
 def test_classes(spark, rows):
     assert bag(near_duplicates.classes(documents(spark, rows))) == brute_force(rows)
