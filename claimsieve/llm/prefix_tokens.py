@@ -29,7 +29,7 @@ from claimsieve.llm.shared import blocks
 
 MODEL = "piece_bpe_32k.model"
 SPACE = "▁"
-MEMO_BYTES = 48 << 20
+MEMO_BYTES = 120 << 20
 ENTRY_BYTES = 200  # of a word or a pair with its place in a dictionary, beside the characters
 MEMO_WORD_CHARS = 64
 BLOCK_CHARS = 1_000_000
