@@ -108,8 +108,11 @@ class Encoder:
 
 
 def encoder(path: str) -> Encoder:
+    """The encoder by arrays, whose table has a fixed size; it takes what is not Latin to the one above."""
+    from claimsieve.llm.latin_tokens import LatinEncoder  # builds on this module
+
     if path not in _loaded:
-        _loaded[path] = Encoder(path)
+        _loaded[path] = LatinEncoder(path)
     return _loaded[path]
 
 
