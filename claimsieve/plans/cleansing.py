@@ -11,9 +11,13 @@ from claimsieve.operators.dedupe import one_row_per_key
 from claimsieve.sources.specs import TableSpec
 
 
-def normalise(raw: DataFrame, null_tokens: Sequence[str] = ()) -> DataFrame:
-    """PRJ-03: blank to null on every column, in one projection."""
-    return raw.select(*(blank_to_null(named(column), null_tokens).alias(column) for column in raw.columns))
+def normalise(raw: DataFrame, null_tokens: Sequence[str] = (), untouched: Sequence[str] = ()) -> DataFrame:
+    """PRJ-03: blank to null on every column but the `untouched`, in one projection."""
+
+    def value(column: str):
+        return named(column) if column in untouched else blank_to_null(named(column), null_tokens).alias(column)
+
+    return raw.select(*map(value, raw.columns))
 
 
 def apply_rules(normalised: DataFrame, spec: TableSpec) -> DataFrame:

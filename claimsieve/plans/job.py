@@ -9,10 +9,13 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from claimsieve.functions.ages import AsOf, fixed_day
+from claimsieve.functions.rules import named
 from claimsieve.operators.allocation import allocation_weights
 from claimsieve.operators.dedupe import one_row_per_audited_key
 from claimsieve.operators.quality import duplicate_keys, null_profile
@@ -23,12 +26,22 @@ from claimsieve.plans.usecases import USE_CASES, answer
 from claimsieve.sinks import snapshots
 from claimsieve.sinks.writers import export_csv, register_views, write_table
 from claimsieve.sources.layout import Layout
-from claimsieve.sources.readers import read_export, read_raw
+from claimsieve.sources import quarantine
+from claimsieve.sources.readers import read_export, read_raw, read_raw_checked
 from claimsieve.sources.specs import TABLES, TableSpec
 
 CONCURRENT_WRITES = 4
 
 
+@dataclass(frozen=True)
+class Damage:
+    """What becomes of damaged rows: how many a table may have (null: any number), and whether ragged CSV rows are only
+    reported or taken out of the data as well."""
+
+    limit: int | None = None
+    set_aside: bool = False
+
+
 def _run_all(steps: Iterable[Callable[[], None]]) -> None:
     """Independent writes side by side, so that small tables fill the tail of large ones."""
     with ThreadPoolExecutor(CONCURRENT_WRITES) as pool:
@@ -37,12 +50,32 @@ def _run_all(steps: Iterable[Callable[[], None]]) -> None:
 
 
 def stage_table(
-    spark: SparkSession, layout: Layout, spec: TableSpec, json_layout: str, null_tokens: Sequence[str]
+    spark: SparkSession,
+    layout: Layout,
+    spec: TableSpec,
+    json_layout: str,
+    null_tokens: Sequence[str],
+    damage: Damage | None = None,
 ) -> DataFrame:
-    """Parse one raw table, blank to null, and keep it as Parquet under its raw column names."""
-    raw = read_raw(spark, spec, layout.raw(spec.file), json_layout)
-    write_table(normalise(raw, null_tokens), layout.stage(spec.name))
-    return spark.read.schema(spec.raw_schema).parquet(layout.stage(spec.name))
+    """Parse one raw table, blank to null, and keep it as Parquet under its raw column names.
+
+    With `damage`, damaged rows are stored with their text beside the good ones, and written to the quarantine from
+    there: the source is parsed once. JSON records that do not parse give no row; ragged CSV rows give one, filled or
+    cut, unless they are to be set aside too.
+    """
+    path = layout.raw(spec.file)
+    if damage is None:
+        write_table(normalise(read_raw(spark, spec, path, json_layout), null_tokens), layout.stage(spec.name))
+        return spark.read.schema(spec.raw_schema).parquet(layout.stage(spec.name))
+    rows = read_raw_checked(spark, spec, path, json_layout)
+    # the text of a damaged row stays as it was delivered, blanks and all
+    checked = normalise(rows, null_tokens, untouched=quarantine.CHECKS)
+    write_table(checked, layout.stage(spec.name))
+    staged = spark.read.schema(checked.schema).parquet(layout.stage(spec.name))
+    write_table(quarantine.damaged(staged), layout.quarantine(spec.name))
+    quarantine.refuse_beyond(spark.read.parquet(layout.quarantine(spec.name)), spec.name, damage.limit)
+    kept = staged.filter(F.col(quarantine.RECORD).isNull()) if spec.is_json or damage.set_aside else staged
+    return kept.select(*(named(column) for column in spec.raw_columns))
 
 
 def audit_keys(staged: DataFrame, spec: TableSpec, mode: str = "raw") -> DataFrame:
@@ -58,6 +91,7 @@ def cleanse(
     json_layout: str = "array",
     null_tokens: Sequence[str] = (),
     csv_export: bool = False,
+    damage: Damage | None = None,
 ) -> None:
     """Raw files to null reports, duplicate reports and clean tables.
 
@@ -66,7 +100,7 @@ def cleanse(
     """
 
     def table_job(spec: TableSpec) -> None:
-        staged = stage_table(spark, layout, spec, json_layout, null_tokens)
+        staged = stage_table(spark, layout, spec, json_layout, null_tokens, damage)
         write_table(null_profile(staged, spec.name), layout.null_report(spec.name))
         write_table(audit_keys(staged, spec), layout.duplicate_report(spec.name))
         write_table(audit_keys(staged, spec, "cleaned"), layout.key_audit(spec.name))
@@ -127,17 +161,19 @@ def run(
     copy_core: bool = False,
     shuffle_target: int = SHUFFLE_TARGET,
     split_target: int = SPLIT_TARGET,
+    damage: Damage | None = None,
 ) -> Layout:
     """Everything, from the raw folder to the output tables. Returns the folders of the published version.
 
     Readers see the former version until the last table is written, and all of the new one from then on; the views of
     the session follow. A CSV clean layer is loaded into typed core tables. A Parquet one is typed already and read in place, unless
-    `copy_core` asks for a second copy. The targets are bytes per shuffle partition and per input split; the session's
+    `copy_core` asks for a second copy. `damage` turns on the quarantine of damaged rows; without it, JSON that does not
+    parse stops the job and ragged CSV rows are filled or cut. The targets are bytes per shuffle partition and per input split; the session's
     settings are as before when the job ends.
     """
     fresh = snapshots.begin(layout)
     with sized_tasks(spark, layout.raw(""), shuffle_target, split_target):
-        cleanse(spark, fresh, json_layout=json_layout, csv_export=csv)
+        cleanse(spark, fresh, json_layout=json_layout, csv_export=csv, damage=damage)
         core = load_core(spark, fresh, csv) if csv or copy_core else open_core(spark, fresh)
         write_outputs(core, fresh, fixed_day(spark, as_of), weight_scale)
     snapshots.publish(spark, fresh)

@@ -150,7 +150,7 @@ def _object(text: Column, first: Column) -> Column:
 
 
 def elements(found: DataFrame, starts: DataFrame) -> DataFrame:
-    """The text of every element of the arrays; what stands behind the last one has to be the closing bracket."""
+    """file and text of every element of the arrays; what stands behind the last one has to be the closing bracket."""
     known = found.join(starts, ["file", "block"])
     ends = (F.col("begins") == F.col("start")) & (F.col("reach") == 1 - F.col("depth"))
     order = Window.partitionBy("file", "block").orderBy("id")
@@ -170,7 +170,7 @@ def elements(found: DataFrame, starts: DataFrame) -> DataFrame:
     )
     first = (F.col("begun_block") == -1) & (F.col("begun_number") == 0)
     alone = F.col("ends") & F.col("fresh")
-    whole = keyed.filter(alone).select(_object(F.col("value"), first).alias("text"))
+    whole = keyed.filter(alone).select("file", _object(F.col("value"), first).alias("text"))
     joined = (
         keyed.filter(~alone)
         .groupBy("file", "begun_block", "begun_number")
@@ -186,7 +186,13 @@ def elements(found: DataFrame, starts: DataFrame) -> DataFrame:
     checked = F.when(F.col("ends"), _object(F.col("text"), first)).when(
         ~tail, _refuse("no closing bracket at the end", F.col("file"))
     )
-    return whole.unionByName(joined.select(checked.alias("text")).filter(F.col("text").isNotNull()))
+    return whole.unionByName(joined.select("file", checked.alias("text")).filter(F.col("text").isNotNull()))
+
+
+def elements_of(spark: SparkSession, path: str) -> DataFrame:
+    """file and text of every element of the arrays in the files of a path."""
+    found = placed(lexed(pieces(spark, path)))
+    return elements(found, split_starts(found))
 
 
 def read_json_array(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
@@ -195,6 +201,4 @@ def read_json_array(spark: SparkSession, path: str, schema: StructType) -> DataF
     A file of blanks or an empty array has no rows. Files that are cut, lack a bracket or a comma, hold anything but
     objects in their array or anything behind it stop the job, as do objects that do not parse.
     """
-    found = placed(lexed(pieces(spark, path)))
-    texts = elements(found, split_starts(found))
-    return texts.select(F.inline(F.array(F.from_json("text", schema, {"mode": "FAILFAST"}))))
+    return elements_of(spark, path).select(F.inline(F.array(F.from_json("text", schema, {"mode": "FAILFAST"}))))

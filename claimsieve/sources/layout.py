@@ -46,5 +46,8 @@ class Layout:
     def duplicate_report(self, table: str) -> str:
         return self._in("logs", "duplicates", table)
 
+    def quarantine(self, table: str) -> str:
+        return self._in("logs", "quarantine", table)
+
     def key_audit(self, table: str) -> str:
         return self._in("logs", "merged_keys", table)

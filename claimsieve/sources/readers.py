@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from claimsieve.functions.rules import named
+from claimsieve.sources import quarantine
 from claimsieve.sources.json_arrays import read_json_array
 from claimsieve.sources.specs import TableSpec
 
@@ -86,3 +87,15 @@ def read_raw(spark: SparkSession, spec: TableSpec, path: str, json_layout: str =
     if spec.is_json:
         return JSON_READERS[json_layout](spark, path, spec.raw_schema)
     return read_csv(spark, path).select(*(named(column) for column in spec.raw_columns))
+
+
+def read_raw_checked(spark: SparkSession, spec: TableSpec, path: str, json_layout: str = "array") -> DataFrame:
+    """`read_raw` with the columns that tell damaged rows."""
+    if not spec.is_json:
+        rows = quarantine.read_csv_checked(spark, path)
+        return rows.select(*(named(column) for column in spec.raw_columns), *quarantine.CHECKS)
+    if json_layout == "lines":
+        return quarantine.read_json_lines_checked(spark, path, spec.raw_schema)
+    if json_layout == "whole":
+        raise ValueError("a file read as one value has no records to set aside")
+    return quarantine.read_json_array_checked(spark, path, spec.raw_schema)

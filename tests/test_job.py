@@ -13,6 +13,7 @@ from claimsieve.plans.readback import READ_BACKS, read_back
 from claimsieve.plans.sizing import MIB, sized_tasks, task_sizes
 from claimsieve.plans.usecases import USE_CASES
 from claimsieve.sinks import snapshots
+from claimsieve.sources import quarantine
 from claimsieve.sources.layout import Layout
 from claimsieve.sources.specs import TABLES
 
@@ -234,3 +235,41 @@ def test_a_run_lost_between_two_tables_leaves_the_former_state(spark, tmp_path,
 def test_nothing_is_read_before_the_first_run(spark, tmp_path):
     with pytest.raises(snapshots.NothingPublished):
         read_back(spark, Layout(str(tmp_path)), "va01")
+
+
+def damaged_input(tmp_path, lines):
+    layout = write_raw(tmp_path, lines)
+    subgroups = tmp_path / "raw" / "subgroup.csv"
+    text = subgroups.read_text().rstrip("\r\n")
+    width = text.splitlines()[0].count(",")
+    subgroups.write_text(text + "\n S8 ,few\n" + "S9,\"ma,ny\"," + "1," * width + "extra\n")
+    bad = '{"claim_id": 900, "patient_id": }'
+    claims = tmp_path / "raw" / "claims.json"
+    whole = claims.read_text()
+    claims.write_text(whole + "\n" + bad if lines else whole.rstrip()[:-1] + ", " + bad + "]")
+    return layout, bad
+
+
+@pytest.mark.parametrize("lines", [False, True])
+@pytest.mark.parametrize("set_aside", [False, True])
+def test_damaged_rows_are_counted_and_kept(spark, tmp_path, lines, set_aside):
+    layout, bad = damaged_input(tmp_path, lines)
+    options = {"as_of": AS_OF, "json_layout": "lines" if lines else "array"}
+    with pytest.raises(quarantine.DamagedInput, match="allowed"):
+        job.run(spark, layout, **options, damage=job.Damage(limit=0))
+    with pytest.raises(snapshots.NothingPublished):
+        snapshots.current(spark, layout)
+    published = job.run(spark, layout, **options, damage=job.Damage(limit=2, set_aside=set_aside))
+    found = spark.read.parquet(published.quarantine("subgroups"))
+    assert {(r.file.rsplit("/", 1)[1], r.reason, r.rows) for r in quarantine.damage_report(found).collect()} == {
+        ("subgroup.csv", quarantine.TOO_FEW, 1),
+        ("subgroup.csv", quarantine.TOO_MANY, 1),
+    }
+    assert " S8 ,few" in {r.record for r in found.collect()}
+    claims = spark.read.parquet(published.quarantine("claims")).collect()
+    assert [(r.reason, r.record.strip()) for r in claims] == [(quarantine.NOT_JSON, bad)]
+    assert spark.read.parquet(published.quarantine("patients")).count() == 0
+    ids = {r.subgrp_id for r in spark.table("subgroups").collect()}
+    assert ({"S8", "S9"} <= ids) is not set_aside
+    for name in ("va01", "va07", "va10"):
+        assert [tuple(row) for row in read_back(spark, published, name).collect()] == EXPECTED[name]
