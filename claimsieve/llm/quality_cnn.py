@@ -36,6 +36,7 @@ class Settings:
     embedding: int = 6
     filters: int = 32
     epochs: int = 14
+    least_steps: int = 600
     rows: int = 256
     shortened: float = 0.4
     shortest: int = 16
@@ -90,12 +91,12 @@ class ByteNetwork:
         parts = [self.pooled(chunks[i : i + 256])[0] for i in range(0, len(chunks), 256)]
         return np.concatenate(parts) @ self.weights["out"] + self.weights["out bias"]
 
-    def gradients(self, chunks: np.ndarray, labels: np.ndarray) -> dict[str, np.ndarray]:
+    def gradients(self, chunks: np.ndarray, labels: np.ndarray, heavy: np.ndarray | float = 1.0) -> dict[str, np.ndarray]:
         """Of the mean logistic loss; only the place that won the pooling passes a gradient back."""
         w, s = self.weights, self.settings
         best, places = self.pooled(chunks)
         logits = best @ w["out"] + w["out bias"]
-        error = (1 / (1 + np.exp(-logits)) - labels).astype(np.float32) / len(labels)
+        error = (heavy * (1 / (1 + np.exp(-logits)) - labels)).astype(np.float32) / len(labels)
         back = error[:, None] * w["out"] * (best > 0)
         won = self.windows(chunks)[np.arange(len(chunks))[:, None], places]
         inputs = w["bytes"][won].reshape(len(chunks), s.filters, -1)
@@ -114,12 +115,15 @@ class ByteNetwork:
         """Adam over shuffled rows; equal rows in equal order give equal weights.
 
         A share of the rows is cut to a random length each time, so that short texts are not strange to the network.
+        Few rows are gone over more often, up to `least_steps`, and each class weighs the same however many rows it has.
         """
         s, rng = self.settings, np.random.default_rng(self.settings.seed)
         mean = {name: np.zeros_like(value) for name, value in self.weights.items()}
         square = {name: np.zeros_like(value) for name, value in self.weights.items()}
         steps = 0
-        for _ in range(s.epochs):
+        shares = np.bincount(labels.astype(int), minlength=2) / max(1, len(labels))
+        heavy = (0.5 / np.maximum(shares, 1e-9)).astype(np.float32)[labels.astype(int)]
+        for _ in range(max(s.epochs, -(-s.least_steps // max(1, -(-len(chunks) // s.rows))))):
             order = rng.permutation(len(chunks))
             for at in range(0, len(order), s.rows):
                 rows = order[at : at + s.rows]
@@ -127,7 +131,7 @@ class ByteNetwork:
                 lengths = np.exp(rng.uniform(np.log(s.shortest), np.log(s.chunk), len(rows)))
                 lengths[rng.random(len(rows)) >= s.shortened] = s.chunk
                 seen = np.where(np.arange(s.chunk) < lengths[:, None], chunks[rows], 0)
-                for name, slope in self.gradients(seen, labels[rows]).items():
+                for name, slope in self.gradients(seen, labels[rows], heavy[rows]).items():
                     mean[name] = 0.9 * mean[name] + 0.1 * slope
                     square[name] = 0.99 * square[name] + 0.01 * slope * slope
                     move = mean[name] / (1 - 0.9**steps) / (np.sqrt(square[name] / (1 - 0.99**steps)) + 1e-8)
