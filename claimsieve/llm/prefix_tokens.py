@@ -5,9 +5,12 @@ ends in exactly one token `t` for which (last token of the shorter prefix, t) is
 
     tokens(prefix i) = tokens(prefix i - len(t)) + weight(t)
 
-with weight 1, or the number of UTF-8 bytes for a character outside the vocabulary. No piece of the vocabulary
-crosses from a word into the space before the next one, so the table of a text is the tables of its space-led words
-one after the other, and each distinct word is worked out once per worker (memos bounded in bytes).
+with weight 1, or the number of UTF-8 bytes for a character outside the vocabulary. The pieces that end at a character
+are known from the longest stretch before it that some piece begins with, so a character costs a step of an automaton
+and a look at the one or two pieces that fit. No piece of the vocabulary crosses from a word into the space before the
+next one, so the table of a text is the tables of its space-led words one after the other, and each distinct word is
+worked out once per worker while it keeps coming up: the memos are bounded in bytes, and that of words has an older half
+that goes when the younger one is full.
 
 The table keeps one signed byte per character: the change of the count. Its running sum is the exact count at every
 prefix, from which totals, truncation points and budget splits follow without encoding anything again.
@@ -32,6 +35,7 @@ SPACE = "▁"
 MEMO_BYTES = 120 << 20
 ENTRY_BYTES = 200  # of a word or a pair with its place in a dictionary, beside the characters
 MEMO_WORD_CHARS = 64
+MEMO_STEPS = 200_000
 BLOCK_CHARS = 1_000_000
 
 _loaded: dict[str, "PrefixCounter"] = {}
@@ -48,13 +52,15 @@ class PrefixCounter:
             for i in range(model.get_piece_size())
             if not any(kind(i) for kind in skip)
         }
-        self.longest = max(map(len, self.rank))
         inner = any(SPACE in piece.lstrip(SPACE) for piece in self.rank)
         lines = any("\n" in piece for piece in self.rank)
         # where a piece could cross into the next word, the whole text is one word
         self.words = re.compile(r"(?s).+" if inner or lines else rf"\n|{SPACE}*[^{SPACE}\n]+|{SPACE}+").findall
+        self.beginnings = {piece[:end] for piece in self.rank for end in range(1, len(piece) + 1)}
         self.memo: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.pairs: dict[tuple[str, str], bool] = {}
+        self.steps: dict[str, tuple[str, list[tuple[str, int, int]]]] = {}
         self.memo_bytes = self.pair_bytes = 0
 
     def merge(self, text: str) -> list[str]:
@@ -73,34 +79,49 @@ class PrefixCounter:
 
     def follows(self, left: str, right: str) -> bool:
         """Whether `right` can stand after `left` in an encoding. `left` is empty at the start."""
-        known = self.pairs.get((left, right))
-        if known is None:
-            known = self.merge(left + right) == ([left, right] if left else [right])
-            if self.pair_bytes > MEMO_BYTES:
-                self.pairs.clear()
-                self.pair_bytes = 0
-            self.pairs[left, right] = known
-            self.pair_bytes += ENTRY_BYTES + len(left) + len(right)
+        known = self.merge(left + right) == ([left, right] if left else [right])
+        if self.pair_bytes > MEMO_BYTES:
+            self.pairs.clear()
+            self.pair_bytes = 0
+        self.pairs[left, right] = known
+        self.pair_bytes += ENTRY_BYTES + len(left) + len(right)
         return known
 
+    def step(self, text: str) -> tuple[str, list[tuple[str, int, int]]]:
+        """The longest end of `text` that a piece begins with, and (piece, length, weight) of all that end there, longest
+        first. The last character is one of them even where the vocabulary lacks it."""
+        ends = [text[start:] for start in range(len(text))]
+        fits = [(end, len(end), 1) for end in ends if end in self.rank]
+        if text[-1] not in self.rank:
+            fits.append((text[-1], 1, len(text[-1].encode())))
+        found = next((end for end in ends if end in self.beginnings), ""), fits
+        if len(self.steps) > MEMO_STEPS:
+            self.steps.clear()
+        self.steps[text] = found
+        return found
+
     def learn(self, words: list[str]) -> Iterator[bytes]:
         """The change of the token count at each character of each word. Neighbours that begin alike share that part."""
-        rank, follows, longest = self.rank, self.follows, self.longest
-        before, last, counts = "", [""], [0]
+        steps, pairs, step, follows = self.steps, self.pairs, self.step, self.follows
+        before, states, last, counts = "", [""], [""], [0]
         for word in words:
             shared = 0
             for a, b in zip(before, word, strict=False):
                 if a != b:
                     break
                 shared += 1
-            del last[shared + 1 :], counts[shared + 1 :]
+            del states[shared + 1 :], last[shared + 1 :], counts[shared + 1 :]
+            state = states[shared]
             for end in range(shared + 1, len(word) + 1):
-                for start in range(max(0, end - longest), end):
-                    piece = word[start:end]
-                    if (piece in rank or start == end - 1) and follows(last[start], piece):
-                        weight = 1 if piece in rank else len(piece.encode())
+                text = state + word[end - 1]
+                state, fits = steps.get(text) or step(text)
+                for piece, length, weight in fits:
+                    left = last[end - length]
+                    known = pairs.get((left, piece))
+                    if known or known is None and follows(left, piece):
+                        states.append(state)
                         last.append(piece)
-                        counts.append(counts[start] + weight)
+                        counts.append(counts[end - length] + weight)
                         break
             before = word
             yield bytes([(b - a) & 255 for a, b in zip(counts, counts[1:], strict=False)])
@@ -108,18 +129,27 @@ class PrefixCounter:
     def tables(self, texts: Sequence[str]) -> list[bytes]:
         """Per text one byte per character, behind one for the leading space that the model adds; b"" for no text."""
         worded = [self.words(SPACE + text.replace(" ", SPACE)) if text else [] for text in texts]
-        if self.memo_bytes > MEMO_BYTES:
-            self.memo.clear()
-            self.memo_bytes = 0
-        memo = self.memo
-        new = sorted(word for word in set().union(*worded) if word not in memo)
+        if self.memo_bytes > MEMO_BYTES // 2:
+            self.older, self.memo, self.memo_bytes = self.memo, {}, 0
+        memo, older, new = self.memo, self.older, []
         here: dict[str, bytes] = {}  # of this block alone: long words, and all once the memo is full
-        for word, table in zip(new, self.learn(new), strict=True):
-            if len(word) > MEMO_WORD_CHARS or self.memo_bytes > MEMO_BYTES:
+
+        def keep(word: str, table: bytes) -> None:
+            if len(word) > MEMO_WORD_CHARS or self.memo_bytes > MEMO_BYTES // 2:
                 here[word] = table
             else:
                 memo[word] = table
                 self.memo_bytes += ENTRY_BYTES + 2 * len(word)
+
+        for word in set().union(*worded):
+            if word not in memo:
+                if word in older:
+                    keep(word, older[word])
+                else:
+                    new.append(word)
+        new.sort()
+        for word, table in zip(new, self.learn(new), strict=True):
+            keep(word, table)
         return [b"".join([memo.get(word) or here[word] for word in words]) for words in worded]
 
 

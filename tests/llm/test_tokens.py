@@ -42,6 +42,18 @@ def test_every_prefix_is_exact(pieces):
         assert counts.tolist() == [len(pieces.encode(text[:i])) for i in range(len(text) + 1)]
 
 
+def test_counts_are_the_same_with_full_memos(pieces, monkeypatch):
+    monkeypatch.setattr(prefix_tokens, "MEMO_BYTES", 2_000)
+    monkeypatch.setattr(prefix_tokens, "MEMO_STEPS", 20)
+    made = prefix_tokens.PrefixCounter(public_tokenizers.path(prefix_tokens.MODEL))
+    texts = [text or "" for _, text in ROWS] + [text for _, text in random_texts(300)]
+    for _ in range(2):
+        for start in range(0, len(texts), 7):
+            some = texts[start : start + 7]
+            totals = [int(prefix_tokens.prefix_counts(table)[-1]) for table in made.tables(some)]
+            assert totals == [len(pieces.encode(text)) for text in some]
+
+
 def test_budget_cuts_stay_within_the_budget():
     counts = np.array([0, 1, 2, 2, 3, 2, 3, 4, 5, 9, 10])
     cuts = prefix_tokens.budget_cuts(counts, 3)
