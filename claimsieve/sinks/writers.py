@@ -17,7 +17,8 @@ def write_table(df: DataFrame, path: str) -> None:
 
 
 def export_csv(df: DataFrame, path: str) -> None:
-    """Headed CSV that `read_export` reads back unchanged: quotes doubled, blanks and line breaks kept, null and '' apart."""
+    """Headed CSV that `read_export` reads back: quotes doubled, blanks and line breaks kept. The file tells null and ''
+    apart, the reader gives null for both."""
     (
         df.write.mode("overwrite")
         .option("header", True)

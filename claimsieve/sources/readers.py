@@ -9,6 +9,7 @@ from pyspark.sql.types import StructType
 from claimsieve.functions.rules import named
 from claimsieve.sources import quarantine
 from claimsieve.sources.json_arrays import read_json_array
+from claimsieve.sources.quoted_csv import read_quoted_csv
 from claimsieve.sources.specs import TableSpec
 
 
@@ -56,11 +57,11 @@ def read_csv(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_export(spark: SparkSession, path: str) -> DataFrame:
-    """CSV that `export_csv` wrote: quoted values may hold line breaks of any kind.
-
-    One task reads a file, and a file is what one of our tasks wrote.
-    """
-    return _csv(spark).option("multiLine", True).option("lineSep", "\n").csv(path)
+    """CSV that `export_csv` wrote, every column text: quoted values may hold line breaks of any kind, and many tasks
+    read a file."""
+    whole = _csv(spark).option("multiLine", True).option("lineSep", "\n").csv(path)
+    # a folder of files without a byte has no header
+    return read_quoted_csv(spark, path, whole.columns) if whole.columns else whole
 
 
 def _csv(spark: SparkSession) -> DataFrameReader:

@@ -6,12 +6,13 @@ import random
 import pytest
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from claimsieve.bindings.queries import staged_inventory
 from claimsieve.sinks.writers import export_csv, register_views, write_table
 from claimsieve.sources.layout import Layout
-from claimsieve.sources import readers
+from claimsieve.sources import quoted_csv, readers
 from claimsieve.sources.json_arrays import pieces
 from claimsieve.sources.readers import read_csv, read_export, read_raw, rows_per_file, staged_files
 from claimsieve.sources.specs import CLAIMS, DISEASES, SUBGROUPS
@@ -192,6 +193,41 @@ def test_csv_export_reads_back_unchanged(spark, tmp_path):
     assert sorted((int(r.id), r.t) for r in back.collect()) == rows
 
 
+def test_export_with_line_breaks_is_read_by_many_tasks(spark, tmp_path):
+    rnd = random.Random(5)
+    signs = ["a", " ", '"', ",", "\n", "\r", "\r\n", "é", "\\", '""', "\t", "'"]
+
+    def value():
+        return rnd.choice([None, "", "x", "\n", '"\n"', "".join(rnd.choices(signs, k=rnd.randrange(12)))])
+
+    rows = [(str(i), value(), value()) for i in range(3000)] + [("long", "b\n" * 4000, '"\n' * 4000)]
+    path = str(tmp_path / "out")
+    export_csv(spark.createDataFrame(rows, "id string, `t x` string, u string").coalesce(1), path)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
+    try:
+        back = read_export(spark, path)
+        assert back.columns == ["id", "t x", "u"]
+        assert spark.read.text(path).select(F.spark_partition_id()).distinct().count() > 20
+        assert sorted(map(tuple, back.collect())) == sorted(tuple(v or None for v in row) for row in rows)
+        assert [kind for kind, text in plan_nodes(back) if "FileScan text" in text] == ["FileSourceScanExec"]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_quoted_csv_defines_odd_rows(spark, tmp_path):
+    put(tmp_path / "some" / "a.csv", 'x,"y\nz"\n1\n\n2,"",3\n"4",\n')
+    put(tmp_path / "some" / "b.csv", 'x,"y\nz"\n')
+    put(tmp_path / "some" / "c.csv", "")
+    rows = quoted_csv.read_quoted_csv(spark, str(tmp_path / "some"), ["x", "y\nz"]).collect()
+    assert sorted(map(tuple, rows), key=str) == [("1", None), ("2", None), ("4", None)]
+    with pytest.raises(Exception, match="another header"):
+        quoted_csv.read_quoted_csv(spark, str(tmp_path / "some"), ["x", "y"]).collect()
+    put(tmp_path / "cut.csv", 'x,y\n1,"2\n3,4\n')
+    with pytest.raises(Exception, match="a quoted value has no end"):
+        quoted_csv.read_quoted_csv(spark, str(tmp_path / "cut.csv"), ["x", "y"]).collect()
+
+
 def test_staged_files_lists_without_reading(spark, tmp_path):
     write_table(spark.range(10), str(tmp_path / "t" / "one"))
     put(tmp_path / "t" / "two.txt", "hello")
