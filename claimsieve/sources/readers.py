@@ -12,6 +12,8 @@ from claimsieve.sources.json_arrays import read_json_array
 from claimsieve.sources.quoted_csv import read_quoted_csv
 from claimsieve.sources.specs import TableSpec
 
+SPLIT_BYTES = 128 << 20  # the session's default for an input split
+
 
 def rows_per_file(df: DataFrame, file: Column | None = None) -> DataFrame:
     """SRC-05: the files that a table is read from, with their rows; no column is read."""
@@ -56,12 +58,16 @@ def read_csv(spark: SparkSession, path: str) -> DataFrame:
     return _csv(spark).csv(path)
 
 
-def read_export(spark: SparkSession, path: str) -> DataFrame:
-    """CSV that `export_csv` wrote, every column text: quoted values may hold line breaks of any kind, and many tasks
-    read a file."""
+def read_export(spark: SparkSession, path: str, split_bytes: int = SPLIT_BYTES) -> DataFrame:
+    """CSV that `export_csv` wrote, every column text: quoted values may hold line breaks of any kind.
+
+    Where a file is larger than `split_bytes`, many tasks read each file. Otherwise no file has more than one split, and
+    a task per file gives the same rows without a shuffle.
+    """
     whole = _csv(spark).option("multiLine", True).option("lineSep", "\n").csv(path)
-    # a folder of files without a byte has no header
-    return read_quoted_csv(spark, path, whole.columns) if whole.columns else whole
+    largest = _listed(spark, path).agg(F.max("length")).first()[0] or 0
+    # files without a byte have no header
+    return read_quoted_csv(spark, path, whole.columns) if whole.columns and largest > split_bytes else whole
 
 
 def _csv(spark: SparkSession) -> DataFrameReader:

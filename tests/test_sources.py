@@ -206,8 +206,9 @@ def test_export_with_line_breaks_is_read_by_many_tasks(spark, tmp_path):
     before = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
     try:
-        back = read_export(spark, path)
-        assert back.columns == ["id", "t x", "u"]
+        whole, back = read_export(spark, path), read_export(spark, path, split_bytes=2000)
+        assert whole.columns == back.columns == ["id", "t x", "u"]
+        assert sorted(map(tuple, whole.collect())) == sorted(map(tuple, back.collect()))
         assert spark.read.text(path).select(F.spark_partition_id()).distinct().count() > 20
         assert sorted(map(tuple, back.collect())) == sorted(tuple(v or None for v in row) for row in rows)
         assert [kind for kind, text in plan_nodes(back) if "FileScan text" in text] == ["FileSourceScanExec"]
