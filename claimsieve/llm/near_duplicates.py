@@ -46,6 +46,7 @@ CHUNK = 2_000
 CHUNK_BYTES = 64 << 20
 LEADERS = 8
 STRIP_BYTES = 32 << 20
+SLICE = 500
 
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
@@ -168,7 +169,11 @@ def sketched(docs: DataFrame, bands: int, rows: int) -> DataFrame:
 
 
 def content_key(text: Column) -> Column:
-    """The key that documents with the same words share; null without words."""
+    """The key that documents with the same words share; null without words.
+
+    Called non-deterministic, so that a filter on the key stays above it. Pushed below, it would work the key out a second
+    time in the same task, and every task would hold two Python workers at once.
+    """
 
     def of(text: str) -> bytes | None:
         words = text.lower().split()
@@ -178,7 +183,7 @@ def content_key(text: Column) -> Column:
     def key(texts: pd.Series) -> pd.Series:
         return texts.map(of)
 
-    return key(F.coalesce(text, F.lit("")))
+    return key.asNondeterministic()(F.coalesce(text, F.lit("")))
 
 
 def shingle_sets(docs: DataFrame, keys: DataFrame, components: int) -> DataFrame:
@@ -211,6 +216,12 @@ def shingle_sets(docs: DataFrame, keys: DataFrame, components: int) -> DataFrame
     return once.select("text").mapInPandas(sets, fields)
 
 
+def sliced(batch: pa.RecordBatch) -> Iterator[dict]:
+    """The rows of a batch, a few hundred taken out of Arrow at a time."""
+    for start in range(0, batch.num_rows, SLICE):
+        yield from batch.slice(start, SLICE).to_pylist()
+
+
 def links(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     """The pairs (a, b) of at least the similarity."""
 
@@ -219,19 +230,19 @@ def links(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
             F.col("content_key").alias(name), F.col("shingles").alias(f"{name}_set"), F.col("weights").alias(f"{name}_weights")
         )
 
-    def compare(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in pdfs:
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
             near = [
                 probability_jaccard(
-                    np.frombuffer(row.a_set, np.uint64), np.frombuffer(row.a_weights, "<u4"),
-                    np.frombuffer(row.b_set, np.uint64), np.frombuffer(row.b_weights, "<u4"),
+                    np.frombuffer(row["a_set"], np.uint64), np.frombuffer(row["a_weights"], "<u4"),
+                    np.frombuffer(row["b_set"], np.uint64), np.frombuffer(row["b_weights"], "<u4"),
                 ) >= similarity - 1e-9
-                for row in pdf.itertuples(index=False)
+                for row in sliced(batch)
             ]
-            yield pdf.loc[np.array(near, bool), ["a", "b"]]
+            yield batch.select(["a", "b"]).filter(pa.array(near, pa.bool_()))
 
     both = pairs.join(side("a"), "a").join(side("b"), "b")
-    return both.mapInPandas(compare, "a binary, b binary")
+    return both.mapInArrow(compare, "a binary, b binary")
 
 
 def merged(nodes: DataFrame, edges: DataFrame) -> DataFrame:
@@ -334,7 +345,7 @@ def compared(rows: DataFrame, exact: bool, similarity: float) -> DataFrame:
         group: list[dict] = []
         name = None
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in sliced(batch):
                 if (row["bucket"], row["p"], row["q"]) != name:
                     if len(group) > 1:
                         yield pa.RecordBatch.from_pylist(Group(group, exact, similarity).forest(), schema=schema)

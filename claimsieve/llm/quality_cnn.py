@@ -11,11 +11,12 @@ Scoring reads whole texts.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -138,7 +139,7 @@ class ByteNetwork:
                     self.weights[name] -= np.float32(s.rate) * (move + s.decay * self.weights[name])
         return self
 
-    def probabilities(self, texts: list[str]) -> np.ndarray:
+    def probabilities(self, texts: Iterable[str]) -> np.ndarray:
         """Of label 1, one per text; texts are taken together until a few thousand chunks are filled."""
         scores, waiting, count = [], [], 0
 
@@ -203,9 +204,11 @@ def train(docs: DataFrame, labels: DataFrame, training: Column, settings: Settin
 
 def quality(network: ByteNetwork, text: Column) -> Column:
     """Probability that a text is good, as a column. Null counts as empty."""
-    @F.pandas_udf("double")
-    def score(texts: pd.Series) -> pd.Series:
-        return pd.Series(network.probabilities(list(texts)), index=texts.index, dtype="float64")
+
+    @F.arrow_udf("double")
+    def score(texts: pa.Array) -> pa.Array:
+        # the texts leave Arrow one by one: a batch is never there a second time as strings
+        return pa.array(network.probabilities(text.as_py() for text in texts), pa.float64())
 
     return score(F.coalesce(text, F.lit("")))
 

@@ -128,3 +128,21 @@ def test_sketches_estimate_probability_jaccard():
     assert (sketch[0] == sketch[2]).all() and keys[0] == keys[2]
     agree = (sketch[0] == sketch[1]).mean()
     assert abs(agree - jaccard(weights(first), weights(second))) < 0.03
+
+
+def python_steps(df):
+    """The plan's Python nodes; each that a task passes through holds a Python worker."""
+    lines = df._jdf.queryExecution().executedPlan().toString().splitlines()
+    return [line.split("[")[0].strip(" :+-*") for line in lines if "EvalPython" in line or "MapIn" in line]
+
+
+def test_a_task_works_the_key_out_once(spark, monkeypatch):
+    docs = documents(spark, [(1, "a b c d e f"), (2, None), (3, " ")])
+    nodes = spark.createDataFrame([(bytes(16), bytes(16))], "content_key binary, component binary")
+    sets = near_duplicates.shingle_sets(docs, nodes, 252)
+    assert sum("ArrowEvalPython" in step for step in python_steps(sets)) == 1
+    monkeypatch.setattr(near_duplicates, "content_classes", lambda *_: (None, nodes))
+    kept = near_duplicates.one_per_class(docs)
+    # one for the documents with words, one for those without, in tasks of their own
+    assert sum("ArrowEvalPython" in step for step in python_steps(kept)) == 2
+    assert sorted(row["doc_id"] for row in kept.collect()) == [1, 2, 3]
