@@ -47,6 +47,7 @@ CHUNK_BYTES = 64 << 20
 LEADERS = 8
 STRIP_BYTES = 32 << 20
 SLICE = 500
+CONTESTED_BITS = 1 << 24
 
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
@@ -426,10 +427,25 @@ def settled(members: DataFrame, nodes: DataFrame, sets: DataFrame, similarity: f
     return merged(nodes, stored(compared(doubtful, True, similarity)))
 
 
+def contested(keyed: DataFrame, components: DataFrame) -> DataFrame:
+    """(content_key, component) of the keys in classes of several documents, whether near copies or the same words."""
+    counted = keyed.filter(F.col("content_key").isNotNull()).groupBy("content_key").agg(F.count("*").alias("documents"))
+    near = F.col("component").isNotNull()
+    found = counted.join(components, "content_key", "left").filter(near | (F.col("documents") > 1))
+    found = found.withColumn("component", F.coalesce("component", "content_key"))
+    # a component bears the key of one of its nodes, so that of a single document bears its only key
+    alone = found.groupBy("component").agg(F.sum("documents").alias("documents")).filter(F.col("documents") == 1)
+    keys = alone.select(F.col("component").alias("content_key"))
+    return found.join(keys, "content_key", "left_anti").select("content_key", "component")
+
+
 def content_classes(
-    docs: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS
+    docs: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS, several: bool = False
 ) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, content_key) of every document, and (content_key, component) of the nodes that share a bucket."""
+    """(doc_id, content_key) of every document, and (content_key, component) of the nodes that share a bucket.
+
+    With `several`, the components are instead those of `contested`: every key whose class has several documents.
+    """
     found = stored(sketched(docs, bands, rows))
     exploded = found.filter(F.col("buckets").isNotNull()).select("content_key", F.explode("buckets").alias("bucket"))
     in_bucket = exploded.distinct()
@@ -438,7 +454,8 @@ def content_classes(
     nodes = stored(members.select("content_key").distinct())
     sets = stored(shingle_sets(docs, nodes, bands * rows))
     start = nodes.withColumn("component", F.col("content_key"))
-    return found.select("doc_id", "content_key"), settled(members, start, sets, similarity)
+    keyed, components = found.select("doc_id", "content_key"), settled(members, start, sets, similarity)
+    return keyed, stored(contested(keyed, components)) if several else components
 
 
 def classes(docs: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
@@ -460,18 +477,24 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS,
 
 
 def one_per_class(docs: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """The columns of `docs`, one row of each class: the smallest id, null last. Documents without words all stay."""
-    _, components = content_classes(docs, similarity, bands, rows)
+    """The columns of `docs`, one row of each class: the smallest id, null last. Documents without words all stay.
+
+    Only rows whose key hits a mark of a class of several documents are shuffled; the others stay where they are.
+    """
+    _, components = content_classes(docs, similarity, bands, rows, True)
 
     columns = [F.col(f"`{name}`") for name in docs.columns]
     # names with a blank meet no column of `docs`
     keyed = docs.select(*columns, content_key(F.col("text")).alias("own key"))
-    joined = keyed.filter(F.col("own key").isNotNull()).join(
-        components.toDF("node key", "node class"), F.col("own key") == F.col("node key"), "left"
-    )
-    chosen = joined.select(*columns, F.coalesce("node class", "own key").alias("class key"))
-    # the limit on the row number is pushed below the shuffle: a class of any size sends one row per task
-    order = Window.partitionBy("class key").orderBy(F.col("doc_id").asc_nulls_last(), F.xxhash64(*columns))
-    first = chosen.withColumn("class place", F.row_number().over(order)).filter(F.col("class place") == 1)
-    wordless = keyed.filter(F.col("own key").isNull())
-    return first.select(*columns).unionByName(wordless.select(*columns))
+    near, hit = marked(keyed, F.xxhash64("own key"), components, F.xxhash64("content_key"), CONTESTED_BITS)
+    meets = hit & F.col("own key").isNotNull()
+
+    def first(rows: DataFrame, name: str) -> DataFrame:
+        # the limit on the row number is pushed below the shuffle: a group of any size sends one row per task
+        order = Window.partitionBy(name).orderBy(F.col("doc_id").asc_nulls_last(), F.xxhash64(*columns))
+        return rows.withColumn("place in group", F.row_number().over(order)).filter(F.col("place in group") == 1)
+
+    of_key = first(near.filter(meets), "own key").select(*columns, "own key")
+    classed = of_key.join(components.toDF("node key", "node class"), F.col("own key") == F.col("node key"), "left")
+    chosen = first(classed.select(*columns, F.coalesce("node class", "own key").alias("class key")), "class key")
+    return chosen.select(*columns).unionByName(near.filter(~meets).select(*columns))

@@ -104,6 +104,43 @@ def test_one_row_of_each_class_stays(spark, rows):
     assert kept.columns == documents(spark, []).columns
 
 
+def shuffled_texts(df):
+    """The rows with a text that went through a shuffle when `df` was collected, without adaptive execution."""
+    moved, steps = 0, [df._jdf.queryExecution().executedPlan()]
+    while steps:
+        step = steps.pop()
+        children = step.children()
+        steps += [children.apply(i) for i in range(children.size())]
+        if step.nodeName() == "Exchange" and "text#" in step.output().mkString(" "):
+            moved += step.metrics().apply("shuffleRecordsWritten").value()
+    return moved
+
+
+def test_only_rows_of_classes_of_several_documents_are_shuffled(spark):
+    rows = [(i, " ".join(f"u{i}x{j}" for j in range(20))) for i in range(400)]
+    words = [f"w{j}" for j in range(60)]
+    rows += [(900 + i, " ".join([*words[:59], f"n{i}"])) for i in range(3)]
+    rows += [(910, " ".join(words)), (None, " ".join(words)), (911, None), (912, None)]
+    rows += [(920, "the same words"), (919, "The same  words"), (919, "The same  words")]
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        kept = near_duplicates.one_per_class(spark.createDataFrame(rows, "doc_id long, text string"))
+        ids = sorted(r.doc_id for r in kept.collect())
+        moved = shuffled_texts(kept)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert ids == [*range(400), 900, 911, 912, 919]
+    assert 0 < moved < 40
+
+
+def test_unlike_rows_that_hit_a_mark_stay(spark, rows, monkeypatch):
+    monkeypatch.setattr(near_duplicates, "CONTESTED_BITS", 1)
+    kept = near_duplicates.one_per_class(documents(spark, ODD + rows))
+    expected = {c for _, c in brute_force(rows)} | {1, 2, 3, 4, 5, 6, None, 8, 9, 9007199254740993}
+    assert {r.doc_id for r in kept.collect()} == expected
+    assert kept.count() == len({c for _, c in brute_force(rows)}) + 10
+
+
 def test_odd_rows(spark):
     short = [(20, "four words are here"), (21, "Four words  are here"), (22, "four words are there")]
     assert bag(near_duplicates.classes(documents(spark, ODD + short))) == brute_force(ODD + short)
