@@ -23,15 +23,16 @@ of 252 components has a standard deviation of 0.025 at 0.8, so `FLOOR` misses an
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from claimsieve.llm.shared import blocks, marked, stored
+from claimsieve.llm.shared import marked, stored
 
 WORDS = 5
 SIMILARITY = 0.8
@@ -153,19 +154,36 @@ def probability_jaccard(a: np.ndarray, x: np.ndarray, b: np.ndarray, y: np.ndarr
     return float((1 / (from_here / common_x + before / common_y)).sum())
 
 
+def text_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches of a task cut where their texts pass `BLOCK_CHARS`, so that few texts at a time leave Arrow.
+
+    Workers outlive the task, so what they remember of words and hold for further batches goes with it.
+    """
+    for batch in batches:
+        lengths = pc.utf8_length(batch["text"]).to_numpy(zero_copy_only=False).astype(np.int64)
+        number = (np.cumsum(lengths) - lengths) // BLOCK_CHARS
+        cuts = [0, *(np.flatnonzero(np.diff(number)) + 1).tolist(), batch.num_rows]
+        for start, end in pairwise(cuts):
+            if end > start:
+                yield batch.slice(start, end - start)
+    word_hashes.clear()
+    pa.default_memory_pool().release_unused()
+
+
 def sketched(docs: DataFrame, bands: int, rows: int) -> DataFrame:
     """doc_id, content_key (null without words) and `buckets`; a block sends the buckets of equal texts once."""
 
-    def sketch(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in blocks(pdfs, "text", BLOCK_CHARS):
-            keys, text, shingle, weight = shingles(list(pdf["text"]))
+    def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in text_blocks(batches):
+            keys, text, shingle, weight = shingles(block["text"].to_pylist())
             found = band_keys(prob_min_hash(len(keys), text, shingle, weight, bands * rows), bands, rows)
             first = {key: i for i, key in reversed(list(enumerate(keys))) if key is not None}
             own = [row if key is not None and first[key] == i else None for i, (key, row) in enumerate(zip(keys, found))]
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "content_key": keys, "buckets": own})
+            columns = [block["doc_id"], pa.array(keys, pa.binary()), pa.array(own, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "content_key", "buckets"])
 
     texts = docs.select(F.col("doc_id").cast("string"), F.coalesce("text", F.lit("")).alias("text"))
-    made = texts.mapInPandas(sketch, "doc_id string, content_key binary, buckets array<long>")
+    made = texts.mapInArrow(sketch, "doc_id string, content_key binary, buckets array<long>")
     return made.withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
@@ -180,9 +198,9 @@ def content_key(text: Column) -> Column:
         words = text.lower().split()
         return xxhash.xxh3_128_digest(" ".join(words)) if words else None
 
-    @F.pandas_udf("binary")
-    def key(texts: pd.Series) -> pd.Series:
-        return texts.map(of)
+    @F.arrow_udf("binary")
+    def key(texts: pa.Array) -> pa.Array:
+        return pa.array((of(text.as_py()) for text in texts), pa.binary())
 
     return key.asNondeterministic()(F.coalesce(text, F.lit("")))
 
@@ -193,19 +211,19 @@ def shingle_sets(docs: DataFrame, keys: DataFrame, components: int) -> DataFrame
     The sketch here holds the last byte of each component: one in 256 unlike ones looks alike.
     """
 
-    def sets(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in blocks(pdfs, "text", BLOCK_CHARS):
-            found, text, shingle, weight = shingles(list(pdf["text"]))
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in text_blocks(batches):
+            found, text, shingle, weight = shingles(block["text"].to_pylist())
             ends = np.searchsorted(text, np.arange(1, len(found) + 1))
             spans = list(zip([0, *ends[:-1]], ends, strict=True))
             winners = prob_min_hash(len(found), text, shingle, weight, components).astype(np.uint8)
-            yield pd.DataFrame(
+            yield pa.RecordBatch.from_pydict(
                 {
-                    "content_key": found,
-                    "shingles": [shingle[a:b].tobytes() for a, b in spans],
-                    "weights": [weight[a:b].astype("<u4").tobytes() for a, b in spans],
-                    "sketch": [row.tobytes() for row in winners],
-                    "bytes": [12 * int(b - a) + 200 for a, b in spans],
+                    "content_key": pa.array(found, pa.binary()),
+                    "shingles": pa.array([shingle[a:b].tobytes() for a, b in spans], pa.binary()),
+                    "weights": pa.array([weight[a:b].astype("<u4").tobytes() for a, b in spans], pa.binary()),
+                    "sketch": pa.array([row.tobytes() for row in winners], pa.binary()),
+                    "bytes": pa.array([12 * int(b - a) + 200 for a, b in spans], pa.int64()),
                 }
             )
 
@@ -214,7 +232,7 @@ def shingle_sets(docs: DataFrame, keys: DataFrame, components: int) -> DataFrame
     near, hit = marked(texts, F.xxhash64("content_key"), wanted, F.xxhash64("content_key"))
     once = near.filter(hit).groupBy("content_key").agg(F.min("text").alias("text")).join(wanted, "content_key")
     fields = "content_key binary, shingles binary, weights binary, sketch binary, bytes long"
-    return once.select("text").mapInPandas(sets, fields)
+    return once.select("text").mapInArrow(sets, fields)
 
 
 def sliced(batch: pa.RecordBatch) -> Iterator[dict]:
