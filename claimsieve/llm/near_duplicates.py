@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from claimsieve.llm.shared import marked, stored
+from claimsieve.llm.shared import marked, release, stored
 
 WORDS = 5
 SIMILARITY = 0.8
@@ -166,8 +166,9 @@ def text_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for start, end in pairwise(cuts):
             if end > start:
                 yield batch.slice(start, end - start)
+        release()
     word_hashes.clear()
-    pa.default_memory_pool().release_unused()
+    release()
 
 
 def sketched(docs: DataFrame, bands: int, rows: int) -> DataFrame:
@@ -200,7 +201,9 @@ def content_key(text: Column) -> Column:
 
     @F.arrow_udf("binary")
     def key(texts: pa.Array) -> pa.Array:
-        return pa.array((of(text.as_py()) for text in texts), pa.binary())
+        keys = pa.array((of(text.as_py()) for text in texts), pa.binary())
+        release()
+        return keys
 
     return key.asNondeterministic()(F.coalesce(text, F.lit("")))
 
@@ -259,6 +262,7 @@ def links(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
                 for row in sliced(batch)
             ]
             yield batch.select(["a", "b"]).filter(pa.array(near, pa.bool_()))
+            release()
 
     both = pairs.join(side("a"), "a").join(side("b"), "b")
     return both.mapInArrow(compare, "a binary, b binary")
@@ -372,6 +376,8 @@ def compared(rows: DataFrame, exact: bool, similarity: float) -> DataFrame:
                 group.append(row)
         if len(group) > 1:
             yield pa.RecordBatch.from_pylist(Group(group, exact, similarity).forest(), schema=schema)
+        group.clear()
+        release()
 
     keys = "bucket", "p", "q"
     dealt = rows.repartition(*keys).sortWithinPartitions(*keys, "content_key")

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from claimsieve.llm.shared import crc_of_id, sampled_labels
+from claimsieve.llm.shared import crc_of_id, release, sampled_labels
 
 # log-odds of a network that has learned nothing: on the good side, so that nobody is rejected
 UNLEARNED = 1.0
@@ -208,7 +208,9 @@ def quality(network: ByteNetwork, text: Column) -> Column:
     @F.arrow_udf("double")
     def score(texts: pa.Array) -> pa.Array:
         # the texts leave Arrow one by one: a batch is never there a second time as strings
-        return pa.array(network.probabilities(text.as_py() for text in texts), pa.float64())
+        scores = pa.array(network.probabilities(text.as_py() for text in texts), pa.float64())
+        release()
+        return scores
 
     return score(F.coalesce(text, F.lit("")))
 

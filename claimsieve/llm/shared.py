@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -30,6 +32,15 @@ def blocks(pdfs: Iterator[pd.DataFrame], text: str, size: int) -> Iterator[pd.Da
             lengths = pdf[text].fillna("").str.len()
             for _, part in pdf.groupby((lengths.cumsum() - lengths) // size, sort=False):
                 yield part
+            release()
+
+
+def release() -> None:
+    """Hands freed memory back to the system: a Python worker outlives its task and would keep it through later stages."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # the C library of Linux has it
+    if trim:
+        trim(0)
 
 
 def crc_of_id(doc_id) -> F.Column:

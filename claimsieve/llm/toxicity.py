@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from claimsieve.llm.shared import crc_of_id, sampled_labels, stored
+from claimsieve.llm.shared import crc_of_id, release, sampled_labels, stored
 
 LENGTHS = (3, 4, 5)
 BITS = 20
@@ -159,7 +159,9 @@ def toxicity(model: Model, text: Column) -> Column:
 
     @F.pandas_udf("double")
     def score(texts: pd.Series) -> pd.Series:
-        return pd.Series([model.probability(t) for t in texts], index=texts.index, dtype="float64")
+        scores = pd.Series([model.probability(t) for t in texts], index=texts.index, dtype="float64")
+        release()
+        return scores
 
     return score(F.coalesce(text, F.lit("")))
 
